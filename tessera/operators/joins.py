@@ -20,3 +20,19 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def ensure_parallelism(df: DataFrame, key: str, factor: int = 2) -> DataFrame:
+    """Spread a compute-heavy, byte-light input over all task slots.
+
+    A few-megabyte text table can arrive as one Parquet split although each
+    row costs milliseconds of CPU (shingling, MinHash). When the input has
+    fewer partitions than the cluster's default parallelism it is hash
+    partitioned by ``key`` (deterministic under task retries); on large
+    inputs, which already have more splits than slots, nothing changes and
+    no shuffle is added.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots * factor, key)

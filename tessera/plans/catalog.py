@@ -46,3 +46,8 @@ def brand_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the documents labelled toxic (the lookup set of ``similar_to``)."""
+    return read_table(spark, sf_dir, "labels").filter(F.col("toxic") == 1).select("doc_id")

@@ -9,6 +9,7 @@ views ``lineitem part events documents labels ...`` are assumed registered.
 
 from __future__ import annotations
 
+from tessera.functions.hashing import MINHASH_PRIME, MINHASH_RANGE, SHINGLE_PRIME, shingle_weights
 from tessera.plans import registry as reg
 
 ORDER_BRAND = """SELECT DISTINCT l.l_orderkey AS basket, p.p_brand AS item
@@ -142,5 +143,123 @@ WHERE m.std_lift >= {reg.MIN_STD_LIFT}""")
     return q
 
 
+def _similarity_ctes() -> str:
+    """CTEs d, chars, win, sh, sizes, params, mh, bands, cand, inter, psim."""
+    p = reg.LSH
+    k, t = p.shingle_size, p.threshold
+    weights = shingle_weights(k)
+    poly = " + ".join(["c * %d" % weights[0]]
+                      + ["lead(c, %d) OVER w * %d" % (j, weights[j]) for j in range(1, k)])
+    values = ", ".join("(%d, %d, %d)" % (i, a, b) for i, (a, b) in enumerate(p.hash_params()))
+    return f"""
+d AS (SELECT doc_id, text FROM documents
+      WHERE doc_id IS NOT NULL AND text IS NOT NULL AND length(text) >= {k}),
+chars AS (SELECT doc_id, unicode(unnest(string_split(text, '')))::BIGINT AS c,
+                 generate_subscripts(string_split(text, ''), 1) AS pos FROM d),
+win AS (SELECT doc_id, {poly} AS v FROM chars WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+sh AS (SELECT DISTINCT doc_id, v % {SHINGLE_PRIME} AS shingle FROM win WHERE v IS NOT NULL),
+sizes AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+params AS (SELECT * FROM (VALUES {values}) t(fn, a, b)),
+mh AS (SELECT s.doc_id, p.fn, min(((p.a * s.shingle + p.b) % {MINHASH_PRIME}) % {MINHASH_RANGE}) AS v
+       FROM sh s CROSS JOIN params p GROUP BY s.doc_id, p.fn),
+bands AS (SELECT doc_id, fn // {p.rows} AS band, string_agg(v::VARCHAR, ',' ORDER BY fn) AS band_rows
+          FROM mh GROUP BY doc_id, fn // {p.rows}),
+cand AS (SELECT DISTINCT a.doc_id AS first, b.doc_id AS second FROM bands a JOIN bands b
+         ON a.band = b.band AND a.band_rows = b.band_rows AND a.doc_id < b.doc_id),
+inter AS (SELECT c.first, c.second, count(s2.shingle) AS common
+          FROM cand c JOIN sh s1 ON s1.doc_id = c.first
+          LEFT JOIN sh s2 ON s2.doc_id = c.second AND s2.shingle = s1.shingle
+          GROUP BY c.first, c.second),
+psim AS (SELECT i.first, i.second,
+                i.common::DOUBLE / (n1.n + n2.n - i.common)::DOUBLE AS similarity
+         FROM inter i JOIN sizes n1 ON n1.doc_id = i.first JOIN sizes n2 ON n2.doc_id = i.second),
+simp AS (SELECT * FROM psim WHERE similarity >= {t})"""
+
+
+def _quality_ctes() -> str:
+    """CTEs rounds, samp, spairs, sjac, fp, fn on top of the similarity CTEs."""
+    t = reg.LSH.threshold
+    seed = reg.LSH.seed
+    return _similarity_ctes() + f""",
+rounds AS (SELECT range::INTEGER AS round FROM range(0, {reg.FPFN_ROUNDS})),
+samp AS (SELECT r.round, d.doc_id FROM d CROSS JOIN rounds r
+         WHERE ('0x' || substr(md5(d.doc_id::VARCHAR || ':' || ({seed} + r.round)::VARCHAR), 1, 8))::BIGINT
+               / 4294967296.0 < {reg.FPFN_FRACTION}),
+spairs AS (SELECT s1.round, s1.doc_id AS first, s2.doc_id AS second
+           FROM samp s1 JOIN samp s2 ON s1.round = s2.round AND s1.doc_id < s2.doc_id),
+sinter AS (SELECT p.round, p.first, p.second, count(b.shingle) AS common
+           FROM spairs p JOIN sh a ON a.doc_id = p.first
+           LEFT JOIN sh b ON b.doc_id = p.second AND b.shingle = a.shingle
+           GROUP BY p.round, p.first, p.second),
+sjac AS (SELECT i.round, i.first, i.second,
+                i.common::DOUBLE / (n1.n + n2.n - i.common)::DOUBLE AS similarity,
+                c.first IS NOT NULL AS is_candidate
+         FROM sinter i JOIN sizes n1 ON n1.doc_id = i.first JOIN sizes n2 ON n2.doc_id = i.second
+         LEFT JOIN cand c ON c.first = i.first AND c.second = i.second),
+fnp AS (SELECT round, first, second, similarity FROM sjac
+        WHERE NOT is_candidate AND similarity >= {t}),
+per AS (SELECT r.round,
+               (SELECT count(*) FROM samp s WHERE s.round = r.round) AS n_docs,
+               (SELECT count(*) FROM sjac j WHERE j.round = r.round AND j.is_candidate) AS candidates,
+               (SELECT count(*) FROM sjac j WHERE j.round = r.round AND j.is_candidate
+                                              AND j.similarity >= {t}) AS verified,
+               (SELECT count(*) FROM fnp f WHERE f.round = r.round) AS false_negatives
+        FROM rounds r),
+fp AS (SELECT round, candidates, verified,
+              CASE WHEN candidates = 0 THEN NULL
+                   ELSE (candidates - verified)::DOUBLE / candidates::DOUBLE END AS fp_rate FROM per),
+fn AS (SELECT round, n_docs, candidates, false_negatives,
+              CASE WHEN n_docs * (n_docs - 1) // 2 - candidates = 0 THEN NULL
+                   ELSE false_negatives::DOUBLE / (n_docs * (n_docs - 1) // 2 - candidates)::DOUBLE
+              END AS fn_rate FROM per)"""
+
+
+def near_duplicates_sql() -> dict[str, str]:
+    t = reg.LSH.threshold
+    sim = _similarity_ctes()
+    qual = _quality_ctes()
+    q: dict[str, str] = {}
+    q["doc_length_filter"] = f"SELECT doc_id, length(text) AS n_chars FROM documents " \
+                             f"WHERE doc_id IS NOT NULL AND length(text) >= {reg.LSH.shingle_size}"
+    q["shingles"] = _with(sim, "SELECT doc_id, shingle FROM sh")
+    q["minhash"] = _with(sim, "SELECT doc_id, string_agg(v::VARCHAR, ',' ORDER BY fn) AS signature "
+                              "FROM mh GROUP BY doc_id")
+    q["bands"] = _with(sim, "SELECT doc_id, band, band_rows FROM bands")
+    q["buckets"] = _with(sim, """
+SELECT band, doc_id, bucket_size FROM
+  (SELECT band, doc_id, count(*) OVER (PARTITION BY band, band_rows) AS bucket_size FROM bands)
+WHERE bucket_size > 1""")
+    q["candidate_pairs"] = _with(sim, "SELECT first, second FROM cand")
+    q["pair_similarity"] = _with(sim, "SELECT first, second, similarity FROM psim")
+    q["similar_pairs"] = _with(sim, "SELECT first, second, similarity FROM simp")
+    q["signature_similarity"] = _with(sim, """
+SELECT c.first, c.second, count(*) FILTER (WHERE m1.v = m2.v) AS matching_rows
+FROM cand c JOIN mh m1 ON m1.doc_id = c.first JOIN mh m2 ON m2.doc_id = c.second AND m2.fn = m1.fn
+GROUP BY c.first, c.second""")
+    q["similar_to"] = _with(sim + ",\ntox AS (SELECT doc_id FROM labels WHERE toxic = 1)", """
+SELECT first AS doc_id, second AS similar_id FROM simp WHERE first IN (SELECT doc_id FROM tox)
+UNION ALL
+SELECT second AS doc_id, first AS similar_id FROM simp WHERE second IN (SELECT doc_id FROM tox)""")
+    q["exact_similar_pairs"] = _with(sim + f""",
+sp AS (SELECT a.doc_id AS first, b.doc_id AS second FROM sizes a JOIN sizes b
+       ON a.doc_id < b.doc_id AND least(a.n, b.n)::DOUBLE >= {t} * greatest(a.n, b.n)::DOUBLE - 1e-9),
+spi AS (SELECT p.first, p.second, count(y.shingle) AS common
+        FROM sp p JOIN sh x ON x.doc_id = p.first
+        LEFT JOIN sh y ON y.doc_id = p.second AND y.shingle = x.shingle
+        GROUP BY p.first, p.second)""", f"""
+SELECT i.first, i.second, i.common::DOUBLE / (n1.n + n2.n - i.common)::DOUBLE AS similarity
+FROM spi i JOIN sizes n1 ON n1.doc_id = i.first JOIN sizes n2 ON n2.doc_id = i.second
+WHERE i.common::DOUBLE / (n1.n + n2.n - i.common)::DOUBLE >= {t}""")
+    q["doc_sample"] = _with(qual, "SELECT round, doc_id FROM samp")
+    q["false_positive_rate"] = _with(qual, "SELECT * FROM fp")
+    q["false_negatives"] = _with(qual, "SELECT * FROM fnp")
+    q["false_negative_rate"] = _with(qual, "SELECT * FROM fn")
+    q["fpfn_analysis"] = _with(qual, f"""
+SELECT count(*) AS rounds, {reg.FPFN_FRACTION}::DOUBLE AS fraction,
+       avg(fp_rate) AS avg_fp_rate, avg(fn_rate) AS avg_fn_rate
+FROM fp JOIN fn USING (round)""")
+    return q
+
+
 def all_sql() -> dict[str, str]:
-    return market_basket_sql()
+    return {**market_basket_sql(), **near_duplicates_sql()}

@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 from tessera.operators import itemsets as its
 from tessera.operators import rules as rl
 from tessera.plans import catalog
+from tessera.operators import quality as qa
+from tessera.operators import similarity as sim
 from tessera.plans.market_basket import mine_itemsets
+from tessera.plans.near_duplicates import LshParams, analyze_quality, exact_key_pairs, find_near_duplicates
 
 # Fixed job parameters (relative supports keep their meaning across scale factors).
 ORDER_BRAND_SUPPORT = 0.004      # fraction of orders
@@ -23,14 +26,45 @@ USER_K_SUPPORT = 0.16            # fraction of users
 PRUNE_SUPPORT = 0.025            # order x brand|type: leaves a strict subset of items
 MIN_STD_LIFT = 0.2
 TOP_N = 10
+LSH = LshParams()                # k = 9, b = 13, r = 11, seed = 1, threshold = 0.85
+FPFN_FRACTION = 0.1
+FPFN_ROUNDS = 3
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# Materialised intermediate results, reused by the jobs of one application
+# (they live in the checkpoint folder); ``clear_cache`` forces recomputation.
+_CACHE: dict = {}
+
+
+def clear_cache() -> None:
+    _CACHE.clear()
+
+
+def _memo(spark: SparkSession, key: tuple, build):
+    full = (spark.sparkContext.applicationId, *key)
+    if full not in _CACHE:
+        _CACHE[full] = build()
+    return _CACHE[full]
+
+
 def _mined(spark, sf_dir, kind="order_brand", max_k=3):
-    if kind == "order_brand":
-        return mine_itemsets(catalog.order_brand_baskets(spark, sf_dir), ORDER_BRAND_SUPPORT, max_k)
-    return mine_itemsets(catalog.user_k_baskets(spark, sf_dir), USER_K_SUPPORT, max_k)
+    def build():
+        if kind == "order_brand":
+            return mine_itemsets(catalog.order_brand_baskets(spark, sf_dir), ORDER_BRAND_SUPPORT, 3)
+        return mine_itemsets(catalog.user_k_baskets(spark, sf_dir), USER_K_SUPPORT, 3)
+    return _memo(spark, ("itemsets", sf_dir, kind), build)
+
+
+def _near_dups(spark, sf_dir):
+    return _memo(spark, ("near_dups", sf_dir),
+                 lambda: find_near_duplicates(catalog.documents(spark, sf_dir), LSH))
+
+
+def _quality(spark, sf_dir):
+    return _memo(spark, ("quality", sf_dir),
+                 lambda: analyze_quality(_near_dups(spark, sf_dir), FPFN_FRACTION, FPFN_ROUNDS))
 
 
 def _flat_rules(df: DataFrame) -> DataFrame:
@@ -173,5 +207,102 @@ MARKET_BASKET: dict[str, Query] = {
 }
 
 
+# ------------------------------------------------------------------ near duplicates
+
+def q_doc_length_filter(spark, sf_dir):
+    kept = sim.doc_length_filter(catalog.documents(spark, sf_dir), LSH.shingle_size)
+    return kept.select("doc_id", F.length("text").alias("n_chars"))
+
+
+def q_shingles(spark, sf_dir):
+    sh = _near_dups(spark, sf_dir).shingles
+    return sh.select("doc_id", F.explode("shingles").alias("shingle"))
+
+
+def q_minhash(spark, sf_dir):
+    sig = _near_dups(spark, sf_dir).signatures
+    return sig.select("doc_id", F.array_join("signature", ",").alias("signature"))
+
+
+def q_bands(spark, sf_dir):
+    sig = _near_dups(spark, sf_dir).signatures.select("doc_id", "signature")
+    slices = sim.band_slices(sig, LSH.bands, LSH.rows)
+    return slices.select("doc_id", "band", F.array_join("band_rows", ",").alias("band_rows"))
+
+
+def q_buckets(spark, sf_dir):
+    sig = _near_dups(spark, sf_dir).signatures.select("doc_id", "signature")
+    return sim.buckets(sim.lsh_bands(sig, LSH.bands, LSH.rows)).select("band", "doc_id", "bucket_size")
+
+
+def q_candidate_pairs(spark, sf_dir):
+    return _near_dups(spark, sf_dir).candidate_pairs()
+
+
+def q_pair_similarity(spark, sf_dir):
+    return _near_dups(spark, sf_dir).pair_similarity()
+
+
+def q_similar_pairs(spark, sf_dir):
+    return _near_dups(spark, sf_dir).similar_pairs()
+
+
+def q_signature_similarity(spark, sf_dir):
+    nd = _near_dups(spark, sf_dir)
+    out = sim.signature_similarity(nd.candidate_pairs(), nd.signatures.select("doc_id", "signature"))
+    return out.select("first", "second", "matching_rows")
+
+
+def q_similar_to(spark, sf_dir):
+    """Near duplicates of every document labelled toxic (batch lookup)."""
+    queries = catalog.toxic_documents(spark, sf_dir)
+    return sim.similar_to(_near_dups(spark, sf_dir).similar_pairs(), queries)
+
+
+def q_exact_similar_pairs(spark, sf_dir):
+    nd = _near_dups(spark, sf_dir)
+    return nd.expand(exact_key_pairs(nd), {"similarity": 1.0})
+
+
+def q_doc_sample(spark, sf_dir):
+    return _quality(spark, sf_dir).sample
+
+
+def q_false_positive_rate(spark, sf_dir):
+    return _quality(spark, sf_dir).fp
+
+
+def q_false_negatives(spark, sf_dir):
+    return _quality(spark, sf_dir).fn_pairs
+
+
+def q_false_negative_rate(spark, sf_dir):
+    return _quality(spark, sf_dir).fn
+
+
+def q_fpfn_analysis(spark, sf_dir):
+    return _quality(spark, sf_dir).summary
+
+
+NEAR_DUPLICATES: dict[str, Query] = {
+    "doc_length_filter": q_doc_length_filter,
+    "shingles": q_shingles,
+    "minhash": q_minhash,
+    "bands": q_bands,
+    "buckets": q_buckets,
+    "candidate_pairs": q_candidate_pairs,
+    "pair_similarity": q_pair_similarity,
+    "similar_pairs": q_similar_pairs,
+    "signature_similarity": q_signature_similarity,
+    "similar_to": q_similar_to,
+    "exact_similar_pairs": q_exact_similar_pairs,
+    "doc_sample": q_doc_sample,
+    "false_positive_rate": q_false_positive_rate,
+    "false_negatives": q_false_negatives,
+    "false_negative_rate": q_false_negative_rate,
+    "fpfn_analysis": q_fpfn_analysis,
+}
+
+
 def all_queries() -> dict[str, Query]:
-    return dict(MARKET_BASKET)
+    return {**MARKET_BASKET, **NEAR_DUPLICATES}
