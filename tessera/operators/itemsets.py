@@ -23,13 +23,14 @@ plan stays lazy.
 
 from __future__ import annotations
 
+import math
 from typing import Union
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.operators.joins import broadcast_if_small
+from tessera.operators.joins import broadcast_if_small, known_rows
 
 Support = Union[int, float]
 
@@ -47,8 +48,12 @@ def basket_count(baskets: DataFrame) -> DataFrame:
     return baskets.agg(F.count_distinct("basket").alias("n_baskets"))
 
 
-def support_threshold(baskets: DataFrame, min_support: Support) -> Column:
-    """The absolute support threshold as a column (inclusive comparison)."""
+def support_threshold(baskets: DataFrame, min_support: Support, n_baskets: int | None = None) -> Column:
+    """The absolute support threshold as a column (inclusive comparison).
+
+    A fraction is multiplied by the number of baskets and rounded up: by the
+    given ``n_baskets`` if known, else by a scalar subquery over ``baskets``.
+    """
     if isinstance(min_support, bool):
         raise TypeError("min_support must be a count or a fraction")
     if isinstance(min_support, int):
@@ -57,6 +62,8 @@ def support_threshold(baskets: DataFrame, min_support: Support) -> Column:
         return F.lit(min_support)
     if not 0.0 < float(min_support) < 1.0:
         raise ValueError("a relative support must be in (0, 1)")
+    if n_baskets is not None:
+        return F.lit(math.ceil(float(min_support) * n_baskets))
     n = basket_count(baskets).scalar()
     return F.ceil(F.lit(float(min_support)) * n)
 
@@ -70,15 +77,15 @@ def item_dictionary(df: DataFrame, item_col: str, description_col: str) -> DataF
 
 # --------------------------------------------------------------------------- level 1
 
-def frequent_items(baskets: DataFrame, min_support: Support) -> DataFrame:
+def frequent_items(baskets: DataFrame, min_support: Support, n_baskets: int | None = None) -> DataFrame:
     """``(item, support)`` for items in at least ``min_support`` baskets."""
     counts = baskets.groupBy("item").agg(F.count(F.lit(1)).alias("support"))
-    return counts.filter(F.col("support") >= support_threshold(baskets, min_support))
+    return counts.filter(F.col("support") >= support_threshold(baskets, min_support, n_baskets))
 
 
 def prune_infrequent(baskets: DataFrame, items: DataFrame) -> DataFrame:
     """Keep the basket rows whose item is in ``items`` (A-priori monotonicity)."""
-    keep = broadcast_if_small(items.select("item"))
+    keep = broadcast_if_small(items.select("item"), rows=known_rows(items))
     return baskets.join(keep, "item", "left_semi").select("basket", "item")
 
 
@@ -89,7 +96,8 @@ def basket_itemlists(baskets: DataFrame, items: DataFrame,
     An array is only built when its length is provably bounded: every list is
     a subset of ``items``, whose size is checked against ``max_items`` first.
     """
-    n_items = items.limit(max_items + 1).count()
+    n_items = known_rows(items)
+    n_items = n_items if n_items is not None else items.limit(max_items + 1).count()
     if n_items > max_items:
         raise ValueError(f"more than {max_items} frequent items; per-basket lists are unbounded")
     pruned = prune_infrequent(baskets, items)
@@ -108,22 +116,23 @@ def basket_pairs(pruned: DataFrame) -> DataFrame:
 
 
 def count_itemsets(rows: DataFrame, item_cols: list[str], baskets: DataFrame,
-                   min_support: Support) -> DataFrame:
+                   min_support: Support, n_baskets: int | None = None) -> DataFrame:
     counts = rows.groupBy(*item_cols).agg(F.count(F.lit(1)).alias("support"))
-    return counts.filter(F.col("support") >= support_threshold(baskets, min_support))
+    return counts.filter(F.col("support") >= support_threshold(baskets, min_support, n_baskets))
 
 
-def frequent_pairs(baskets: DataFrame, items: DataFrame, min_support: Support) -> DataFrame:
+def frequent_pairs(baskets: DataFrame, items: DataFrame, min_support: Support,
+                   n_baskets: int | None = None) -> DataFrame:
     """``(item_1, item_2, support)`` for pairs of frequent items with enough support."""
     pairs = basket_pairs(prune_infrequent(baskets, items))
-    return count_itemsets(pairs, ["item_1", "item_2"], baskets, min_support)
+    return count_itemsets(pairs, ["item_1", "item_2"], baskets, min_support, n_baskets)
 
 
 # --------------------------------------------------------------------------- level 3
 
 def _semi_on_pair(df: DataFrame, pairs: DataFrame, first: str, second: str) -> DataFrame:
-    keep = broadcast_if_small(pairs.select(F.col("item_1").alias(first),
-                                           F.col("item_2").alias(second)))
+    keep = broadcast_if_small(pairs.select(F.col("item_1").alias(first), F.col("item_2").alias(second)),
+                              rows=known_rows(pairs))
     return df.join(keep, [first, second], "left_semi")
 
 
@@ -143,7 +152,7 @@ def candidate_triples(pairs: DataFrame) -> DataFrame:
 
 
 def frequent_triples(baskets: DataFrame, items: DataFrame, pairs: DataFrame,
-                     min_support: Support) -> DataFrame:
+                     min_support: Support, n_baskets: int | None = None) -> DataFrame:
     """``(item_1, item_2, item_3, support)`` counted only over candidate triples.
 
     Per basket, the frequent pairs present are joined with themselves on
@@ -159,7 +168,7 @@ def frequent_triples(baskets: DataFrame, items: DataFrame, pairs: DataFrame,
             .select(F.col("x.item_1").alias("item_1"), F.col("x.item_2").alias("item_2"),
                     F.col("y.item_2").alias("item_3")))
     rows = _semi_on_pair(rows, pairs, "item_2", "item_3")
-    return count_itemsets(rows, ["item_1", "item_2", "item_3"], baskets, min_support)
+    return count_itemsets(rows, ["item_1", "item_2", "item_3"], baskets, min_support, n_baskets)
 
 
 # --------------------------------------------------------------------------- reports
@@ -199,7 +208,7 @@ def _attach_descriptions(frame: DataFrame, dictionary: DataFrame, bounded_rows:
         wanted = F.broadcast(frame.select(F.explode(F.array(*cols)).alias("item")).distinct())
         d = F.broadcast(d.join(wanted, "item", "left_semi"))
     else:
-        d = broadcast_if_small(d)
+        d = broadcast_if_small(d, rows=known_rows(dictionary))
     for c in cols:
         frame = frame.join(d.select(F.col("item").alias(c), F.col("description").alias(_description_name(c))),
                            c, "left")

@@ -11,15 +11,26 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                       rows: int | None = None) -> DataFrame:
     """Mark ``df`` for broadcast iff it provably has at most ``max_rows`` rows.
 
-    The check is a bounded count (``limit(max_rows + 1)``), so call it on a
-    materialised (or otherwise cheap) frame. Larger frames are returned
-    unchanged and joined by shuffle (sort-merge, with AQE skew splitting).
+    ``rows`` is an upper bound known to the caller (e.g. the recorded count of
+    the materialised table ``df`` is projected from); otherwise the recorded
+    count of ``df`` or a bounded count (``limit(max_rows + 1)``) is used.
+    Larger frames are returned unchanged and joined by shuffle (sort-merge,
+    with AQE skew splitting).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if rows is None:
+        rows = getattr(df, "_tessera_rows", None)
+    if rows is None:
+        rows = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if rows <= max_rows else df
+
+
+def known_rows(df: DataFrame) -> int | None:
+    """The row count recorded when ``df`` was materialised, if any."""
+    return getattr(df, "_tessera_rows", None)
 
 
 def ensure_parallelism(df: DataFrame, key: str, factor: int = 2) -> DataFrame:

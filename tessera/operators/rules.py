@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.itemsets import itemset_array
-from tessera.operators.joins import broadcast_if_small
+from tessera.operators.joins import broadcast_if_small, known_rows
 
 RULE_COLUMNS = ["lhs", "rhs", "rule_count", "lhs_count", "rhs_count",
                 "confidence", "interest", "lift", "std_lift"]
@@ -64,9 +64,13 @@ def rule_counts(rules: DataFrame, items: DataFrame, lhs_levels: list[DataFrame])
     Every subset of a frequent itemset is frequent, so both inner joins keep
     every rule.
     """
+    sizes = [known_rows(df) for df in lhs_levels]
+    bound = sum(sizes) if all(n is not None for n in sizes) else None
     supports = broadcast_if_small(itemset_supports(lhs_levels)
-                                  .select(F.col("itemset").alias("lhs"), F.col("support").alias("lhs_count")))
-    rhs = broadcast_if_small(items.select(F.col("item").alias("rhs"), F.col("support").alias("rhs_count")))
+                                  .select(F.col("itemset").alias("lhs"), F.col("support").alias("lhs_count")),
+                                  rows=bound)
+    rhs = broadcast_if_small(items.select(F.col("item").alias("rhs"), F.col("support").alias("rhs_count")),
+                             rows=known_rows(items))
     return rules.join(supports, "lhs").join(rhs, "rhs").select(
         "lhs", "rhs", "rule_count", "lhs_count", "rhs_count")
 

@@ -34,8 +34,12 @@ class Itemsets:
     def triples(self) -> DataFrame | None:
         return self.levels.get(3)
 
+    n_baskets_value: int | None = None
+
     def n_baskets(self):
-        """The basket count as a scalar-subquery column (no driver round trip)."""
+        """The number of baskets (an int when known, else a scalar-subquery column)."""
+        if self.n_baskets_value is not None:
+            return self.n_baskets_value
         return its.basket_count(self.baskets).scalar()
 
 
@@ -44,12 +48,14 @@ def mine_itemsets(baskets: DataFrame, min_support: its.Support, max_k: int = 3,
     """Level-wise A-priori mining up to ``max_k`` (2 or 3)."""
     keep = materialize if checkpoint else (lambda df, name="": df)
     baskets = keep(baskets, "baskets")
-    levels = {1: keep(its.frequent_items(baskets, min_support), "k1")}
+    # one scalar (the basket count) reaches the driver; thresholds become literals
+    n = its.basket_count(baskets).first()["n_baskets"]
+    levels = {1: keep(its.frequent_items(baskets, min_support, n), "k1")}
     if max_k >= 2:
-        levels[2] = keep(its.frequent_pairs(baskets, levels[1], min_support), "k2")
+        levels[2] = keep(its.frequent_pairs(baskets, levels[1], min_support, n), "k2")
     if max_k >= 3:
-        levels[3] = keep(its.frequent_triples(baskets, levels[1], levels[2], min_support), "k3")
-    return Itemsets(baskets, levels)
+        levels[3] = keep(its.frequent_triples(baskets, levels[1], levels[2], min_support, n), "k3")
+    return Itemsets(baskets, levels, n)
 
 
 def rules_for(mined: Itemsets, min_std_lift: float = 0.2) -> DataFrame:

@@ -37,9 +37,19 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as Parquet in the checkpoint folder and return the re-read table.
 
     The re-read plan is a plain file scan: it has file-size statistics for the
-    planner, prunes columns and pushes filters, and its lineage is cut.
+    planner, prunes columns and pushes filters, and its lineage is cut. Its
+    exact row count (a metadata-only count of the written files) is recorded,
+    so later broadcast decisions need no extra job.
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/tessera/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._tessera_rows = out.count()
+    return out
+
+
+def row_count(df: DataFrame) -> int:
+    """Exact row count: recorded by :func:`materialize`, else counted now."""
+    known = getattr(df, "_tessera_rows", None)
+    return known if known is not None else df.count()
