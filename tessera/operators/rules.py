@@ -116,7 +116,8 @@ def rule_lines(rules: DataFrame, dictionary: DataFrame, decimals: int = 6) -> Da
     position is looked up by its own left join against the dictionary.
     """
     d = broadcast_if_small(dictionary.select("item", "description"))
-    out = rules.select("*", F.element_at("lhs", 1).alias("_l1"), F.element_at("lhs", 2).alias("_l2"))
+    out = rules.select("*", F.try_element_at("lhs", F.lit(1)).alias("_l1"),
+                       F.try_element_at("lhs", F.lit(2)).alias("_l2"))
     for key, name in (("_l1", "_d1"), ("_l2", "_d2"), ("rhs", "_dr")):
         out = out.join(d.select(F.col("item").alias(key), F.col("description").alias(name)), key, "left")
     fmt = f"%.{decimals}f"
