@@ -30,7 +30,7 @@ from tessera.functions.hashing import hash_family, minhash_signature
 from tessera.operators import quality as q
 from tessera.operators import similarity as sim
 from tessera.operators.exact import exact_similar_pairs
-from tessera.operators.joins import broadcast_if_small
+from tessera.operators.joins import broadcast_if_small, known_rows
 from tessera.sources.storage import materialize
 
 
@@ -56,18 +56,31 @@ def copy_key(shingles_col: str = "shingles"):
                     F.hash(shingles_col).alias("h2"))
 
 
-def one_array_per_key(sh: DataFrame, keys: DataFrame) -> DataFrame:
-    """``(copy_key, shingles)`` for the keys in ``keys``, taken from the smallest doc id.
+def key_representatives(sh: DataFrame, keys: DataFrame) -> DataFrame:
+    """``(copy_key, rep_id)``: the smallest doc id of each copy key in ``keys``.
 
-    The representative is chosen on narrow ``(copy_key, doc_id)`` rows, and
-    the arrays are then selected by a semi join on the id, so shingle arrays
-    are never aggregated or deduplicated through a shuffle.
+    Computed on narrow ``(copy_key, doc_id)`` rows only.
     """
     wanted = broadcast_if_small(keys.select("copy_key").distinct())
-    reps = (sh.select("copy_key", "doc_id").join(wanted, "copy_key", "left_semi")
-            .groupBy("copy_key").agg(F.min("doc_id").alias("doc_id")))
-    return (sh.join(broadcast_if_small(reps.select("doc_id")), "doc_id", "left_semi")
-            .select("copy_key", "shingles"))
+    return (sh.select("copy_key", "doc_id").join(wanted, "copy_key", "left_semi")
+            .groupBy("copy_key").agg(F.min("doc_id").alias("rep_id")))
+
+
+def rep_arrays(sh: DataFrame, reps: DataFrame) -> DataFrame:
+    """``(rep_id, shingles)``: the shingle arrays of the representatives.
+
+    Arrays are selected by a semi join on the id, so they are never
+    aggregated or deduplicated through a shuffle.
+    """
+    ids = reps.select(F.col("rep_id").alias("doc_id"))
+    return (sh.join(broadcast_if_small(ids, rows=known_rows(reps)), "doc_id", "left_semi")
+            .select(F.col("doc_id").alias("rep_id"), "shingles"))
+
+
+def one_array_per_key(sh: DataFrame, keys: DataFrame) -> DataFrame:
+    """``(copy_key, shingles)`` for the keys in ``keys``, taken from the smallest doc id."""
+    reps = key_representatives(sh, keys)
+    return (rep_arrays(sh, reps).join(reps, "rep_id").select("copy_key", "shingles"))
 
 
 @dataclass
@@ -157,10 +170,23 @@ class QualityReport:
     summary: DataFrame             # (rounds, fraction, avg_fp_rate, avg_fn_rate)
 
 
-def exact_key_pairs(nd: NearDuplicates, keys: DataFrame | None = None) -> DataFrame:
-    """Exact key pairs with Jaccard >= threshold (prefix-filtered join, no cross join)."""
+def exact_key_pairs(nd: NearDuplicates, keys: DataFrame | None = None, checkpoint: bool = True) -> DataFrame:
+    """Exact key pairs ``(first, second, similarity)`` with Jaccard >= threshold.
+
+    The prefix-filtered join runs on the representatives' long ids (cheaper
+    to shuffle and sort than the struct key); only the resulting pairs are
+    mapped back to copy keys, oriented so that ``first < second``.
+    """
+    keep = materialize if checkpoint else (lambda df, name="": df)
     keys = nd.members() if keys is None else keys
-    return exact_similar_pairs(one_array_per_key(nd.shingles, keys), nd.params.threshold, "copy_key")
+    reps = keep(key_representatives(nd.shingles, keys), "key_reps")
+    arrays = rep_arrays(nd.shingles, reps).withColumnRenamed("rep_id", "doc_id")
+    pairs = exact_similar_pairs(arrays, nd.params.threshold, "doc_id")
+    r1 = reps.select(F.col("rep_id").alias("first"), F.col("copy_key").alias("_k1"))
+    r2 = reps.select(F.col("rep_id").alias("second"), F.col("copy_key").alias("_k2"))
+    keyed = pairs.join(r1, "first").join(r2, "second")
+    return keyed.select(F.least("_k1", "_k2").alias("first"), F.greatest("_k1", "_k2").alias("second"),
+                        "similarity")
 
 
 def analyze_quality(nd: NearDuplicates, fraction: float = 0.1, rounds: int = 1,
@@ -170,7 +196,7 @@ def analyze_quality(nd: NearDuplicates, fraction: float = 0.1, rounds: int = 1,
     seed = nd.params.seed if seed is None else seed
     sample = keep(q.doc_sample(nd.shingles.select("doc_id"), fraction, seed, rounds), "sample")
     keys = keep(q.sampled_keys(sample, nd.members()), "sampled_keys")
-    exact = keep(exact_key_pairs(nd, keys), "key_exact")
+    exact = keep(exact_key_pairs(nd, keys, checkpoint), "key_exact")
     fn_keys = q.false_negative_key_pairs(exact, nd.key_candidates)
     round_ids = sample.sparkSession.range(rounds).select(F.col("id").cast("int").alias("round"))
     fp = q.false_positive_rate(round_ids, keys, nd.key_candidates, nd.key_similar())
