@@ -140,3 +140,29 @@ def minhash_signature(shingles: Column, params: list[tuple[int, int]]) -> Column
         return pd.Series(out)
 
     return _minhash(shingles)
+
+
+def shingles_with_signature(text: Column, k: int, params: list[tuple[int, int]]) -> Column:
+    """``struct<shingles, signature>`` from one pass over each text.
+
+    Same values as :func:`shingle_hashes` and :func:`minhash_signature`, but
+    the shingle arrays cross the JVM/Python boundary only once.
+    """
+    weights = np.array(shingle_weights(k), dtype=np.int64)
+    a = np.array([p[0] for p in params], dtype=np.int64)
+    b = np.array([p[1] for p in params], dtype=np.int64)
+    schema = T.StructType([
+        T.StructField("shingles", T.ArrayType(T.LongType(), containsNull=False)),
+        T.StructField("signature", T.ArrayType(T.LongType(), containsNull=False)),
+    ])
+
+    @F.pandas_udf(schema)
+    def _both(texts: pd.Series) -> pd.DataFrame:
+        sets, sigs = [], []
+        for t in texts:
+            x = None if t is None else text_shingle_hashes(t, weights)
+            sets.append(x)
+            sigs.append(None if x is None or x.size == 0 else minhash_block(x, a, b))
+        return pd.DataFrame({"shingles": sets, "signature": sigs})
+
+    return _both(text)

@@ -26,11 +26,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import hash_family, minhash_signature
+from tessera.functions.hashing import hash_family, shingles_with_signature
 from tessera.operators import quality as q
 from tessera.operators import similarity as sim
 from tessera.operators.exact import exact_similar_pairs
-from tessera.operators.joins import broadcast_if_small, known_rows
+from tessera.operators.joins import broadcast_if_small, ensure_parallelism, known_rows
 from tessera.sources.storage import materialize
 
 
@@ -56,31 +56,35 @@ def copy_key(shingles_col: str = "shingles"):
                     F.hash(shingles_col).alias("h2"))
 
 
-def key_representatives(sh: DataFrame, keys: DataFrame) -> DataFrame:
+def key_representatives(sh: DataFrame, keys: DataFrame, max_keys: int | None = None) -> DataFrame:
     """``(copy_key, rep_id)``: the smallest doc id of each copy key in ``keys``.
 
-    Computed on narrow ``(copy_key, doc_id)`` rows only.
+    Computed on narrow ``(copy_key, doc_id)`` rows only. ``max_keys`` is a
+    known upper bound of the number of keys (saves the size-check job).
     """
-    wanted = broadcast_if_small(keys.select("copy_key").distinct())
+    max_keys = known_rows(keys) if max_keys is None else max_keys
+    wanted = broadcast_if_small(keys.select("copy_key").distinct(), rows=max_keys)
     return (sh.select("copy_key", "doc_id").join(wanted, "copy_key", "left_semi")
             .groupBy("copy_key").agg(F.min("doc_id").alias("rep_id")))
 
 
-def rep_arrays(sh: DataFrame, reps: DataFrame) -> DataFrame:
+def rep_arrays(sh: DataFrame, reps: DataFrame, max_reps: int | None = None) -> DataFrame:
     """``(rep_id, shingles)``: the shingle arrays of the representatives.
 
     Arrays are selected by a semi join on the id, so they are never
     aggregated or deduplicated through a shuffle.
     """
     ids = reps.select(F.col("rep_id").alias("doc_id"))
-    return (sh.join(broadcast_if_small(ids, rows=known_rows(reps)), "doc_id", "left_semi")
+    bound = known_rows(reps) if max_reps is None else max_reps
+    return (sh.join(broadcast_if_small(ids, rows=bound), "doc_id", "left_semi")
             .select(F.col("doc_id").alias("rep_id"), "shingles"))
 
 
-def one_array_per_key(sh: DataFrame, keys: DataFrame) -> DataFrame:
+def one_array_per_key(sh: DataFrame, keys: DataFrame, max_keys: int | None = None) -> DataFrame:
     """``(copy_key, shingles)`` for the keys in ``keys``, taken from the smallest doc id."""
-    reps = key_representatives(sh, keys)
-    return (rep_arrays(sh, reps).join(reps, "rep_id").select("copy_key", "shingles"))
+    reps = key_representatives(sh, keys, max_keys)
+    bound = max_keys if max_keys is not None else known_rows(keys)
+    return rep_arrays(sh, reps, bound).join(reps, "rep_id").select("copy_key", "shingles")
 
 
 @dataclass
@@ -143,12 +147,15 @@ def find_near_duplicates(docs: DataFrame, params: LshParams = LshParams(),
                          checkpoint: bool = True) -> NearDuplicates:
     """Run shingling, MinHash, LSH and verification; see the module doc for the plan."""
     keep = materialize if checkpoint else (lambda df, name="": df)
-    sh = sim.shingles(docs, params.shingle_size, id_col, text_col).withColumnRenamed(id_col, "doc_id")
-    sh = keep(sh.select("doc_id", "shingles", copy_key().alias("copy_key")), "shingles")
-
-    sig = keep(sh.select("doc_id", "copy_key",
-                         minhash_signature(F.col("shingles"), params.hash_params()).alias("signature")),
-               "signatures")
+    kept = ensure_parallelism(sim.doc_length_filter(docs, params.shingle_size, id_col, text_col), id_col)
+    both = kept.select(F.col(id_col).alias("doc_id"),
+                       shingles_with_signature(F.col(text_col), params.shingle_size,
+                                               params.hash_params()).alias("_r"))
+    # one table, one pass over the texts; readers prune to the columns they need
+    table = keep(both.select("doc_id", "_r.shingles", copy_key("_r.shingles").alias("copy_key"),
+                             "_r.signature"), "shingles")
+    sh = table.select("doc_id", "shingles", "copy_key")
+    sig = table.select("doc_id", "copy_key", "signature")
     key_bands = (sim.lsh_bands(sig.select("copy_key", "signature"), params.bands, params.rows, "copy_key")
                  .distinct())
     key_candidates = keep(sim.candidate_pairs(key_bands, "copy_key"), "key_candidates")
@@ -156,7 +163,7 @@ def find_near_duplicates(docs: DataFrame, params: LshParams = LshParams(),
     # one shingle array per key that takes part in a candidate pair
     in_pairs = (key_candidates.select(F.col("first").alias("copy_key"))
                 .unionByName(key_candidates.select(F.col("second").alias("copy_key"))))
-    key_sh = one_array_per_key(sh, in_pairs)
+    key_sh = one_array_per_key(sh, in_pairs, 2 * known_rows(key_candidates) if checkpoint else None)
     key_similarity = keep(sim.pair_similarity(key_candidates, key_sh, "copy_key"), "key_similarity")
     return NearDuplicates(params, sh, sig, key_candidates, key_similarity)
 
