@@ -23,6 +23,11 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Coalescing targets max(minPartitionSize, min(advisory, total / parallelism)).
+        # Itemset and pair enumeration joins emit far more rows than they read, so a
+        # few-MB input must not collapse into one task; on large inputs the 64 MB
+        # advisory size governs and this floor has no effect.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
     )

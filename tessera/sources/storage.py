@@ -12,7 +12,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -38,14 +39,15 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
 
     The re-read plan is a plain file scan: it has file-size statistics for the
     planner, prunes columns and pushes filters, and its lineage is cut. Its
-    exact row count (a metadata-only count of the written files) is recorded,
-    so later broadcast decisions need no extra job.
+    exact row count is observed during the write itself (``DataFrame.observe``)
+    and recorded, so later broadcast decisions need no extra job.
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/tessera/{name}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
+    rows = Observation(f"rows_{name}")
+    df.observe(rows, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
     out = spark.read.parquet(path)
-    out._tessera_rows = out.count()
+    out._tessera_rows = int(rows.get["rows"])
     return out
 
 
