@@ -39,8 +39,9 @@ Support = Union[int, float]
 
 def basket_distinct(df: DataFrame, basket_col: str = "basket", item_col: str = "item") -> DataFrame:
     """Distinct ``(basket, item)`` rows; null baskets or items are dropped."""
-    return (df.select(F.col(basket_col).alias("basket"), F.col(item_col).alias("item"))
-            .na.drop().distinct())
+    # explicit IsNotNull predicates (unlike na.drop) are pushed through joins to the scans
+    return (df.filter(F.col(basket_col).isNotNull() & F.col(item_col).isNotNull())
+            .select(F.col(basket_col).alias("basket"), F.col(item_col).alias("item")).distinct())
 
 
 def basket_count(baskets: DataFrame) -> DataFrame:
