@@ -127,3 +127,10 @@ def similar_to(pairs: DataFrame, query_ids: DataFrame, id_col: str = "doc_id") -
     both = (pairs.select(F.col("first").alias(id_col), F.col("second").alias("similar_id"))
             .unionByName(pairs.select(F.col("second").alias(id_col), F.col("first").alias("similar_id"))))
     return both.join(query_ids.select(id_col).distinct(), id_col, "left_semi")
+
+
+def similar_to_id(pairs: DataFrame, doc_id, id_col: str = "doc_id") -> DataFrame:
+    """``(similar_id)``: the partners of one document (a filter on either side of the pairs)."""
+    first = pairs.filter(F.col("first") == F.lit(doc_id)).select(F.col("second").alias("similar_id"))
+    second = pairs.filter(F.col("second") == F.lit(doc_id)).select(F.col("first").alias("similar_id"))
+    return first.unionByName(second)

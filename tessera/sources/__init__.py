@@ -7,10 +7,10 @@ from tessera.sources.readers import (
 from tessera.sources.sinks import (
     write_parquet, write_rule_lines, write_top_itemsets_tsv,
 )
-from tessera.sources.storage import checkpoint_root, materialize
+from tessera.sources.storage import checkpoint_root, materialize, release, row_count
 
 __all__ = [
     "CONDITIONS_SCHEMA", "TWEETS_SCHEMA", "read_conditions_csv", "read_documents_json",
     "read_parquet", "read_table", "write_parquet", "write_rule_lines",
-    "write_top_itemsets_tsv", "checkpoint_root", "materialize",
+    "write_top_itemsets_tsv", "checkpoint_root", "materialize", "release", "row_count",
 ]

@@ -55,3 +55,18 @@ def row_count(df: DataFrame) -> int:
     """Exact row count: recorded by :func:`materialize`, else counted now."""
     known = getattr(df, "_tessera_rows", None)
     return known if known is not None else df.count()
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete the folders of tables returned by :func:`materialize` (shared file system).
+
+    Call it once no DataFrame derived from them will run again.
+    """
+    for df in tables:
+        spark = df.sparkSession
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+        for folder in folders:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)

@@ -209,3 +209,20 @@ def test_signature_similarity_and_s_curve(spark):
     assert check["p_high"] == pytest.approx(0.9075, abs=1e-4) and check["p_low"] == pytest.approx(0.0461, abs=1e-4)
     curve = {round(r.s, 2): r.probability for r in quality.lsh_s_curve(spark, 11, 13).collect()}
     assert len(curve) == 100 and curve[0.85] == pytest.approx(check["p_high"])
+
+
+def test_lsh_recall_and_containment_on_documents(spark):
+    """verified ⊆ candidates, verified ⊆ exact, recall close to the S-curve value."""
+    from conftest import SF01
+    from tessera.plans import catalog
+
+    nd = find_near_duplicates(catalog.documents(spark, SF01))
+    cand = {(r.first, r.second) for r in nd.candidate_pairs().collect()}
+    similar = {(r.first, r.second) for r in nd.similar_pairs().collect()}
+    exact_pairs = {(r.first, r.second) for r in nd.expand(exact_key_pairs(nd), {"similarity": 1.0}).collect()}
+    assert similar <= cand and similar <= exact_pairs
+    assert len(exact_pairs) == 129            # hash-independent answer at sf0.01
+    p_high = quality.lsh_parameter_check(11, 13)["p_high"]
+    assert len(similar) / len(exact_pairs) >= p_high - 0.05
+    partners = {r.similar_id for r in sim.similar_to_id(nd.similar_pairs(), next(iter(similar))[0]).collect()}
+    assert next(iter(similar))[1] in partners

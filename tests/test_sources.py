@@ -46,3 +46,12 @@ def test_sinks_and_materialize(spark):
     assert m._tessera_rows == 1 and storage.row_count(m) == 1
     root = storage.checkpoint_root(spark).split(":", 1)[-1].lstrip("/")
     assert root in m.inputFiles()[0]
+
+
+def test_release_deletes_materialized_folder(spark):
+    df = storage.materialize(spark.range(5), "to_release")
+    folder = df.inputFiles()[0].rsplit("/", 1)[0].split(":", 1)[-1]
+    folder = "/" + folder.lstrip("/")
+    assert os.path.isdir(folder)
+    storage.release(df)
+    assert not os.path.exists(folder)
