@@ -125,8 +125,13 @@ def count_itemsets(rows: DataFrame, item_cols: list[str], baskets: DataFrame,
 def frequent_pairs(baskets: DataFrame, items: DataFrame, min_support: Support,
                    n_baskets: int | None = None) -> DataFrame:
     """``(item_1, item_2, support)`` for pairs of frequent items with enough support."""
-    pairs = basket_pairs(prune_infrequent(baskets, items))
-    return count_itemsets(pairs, ["item_1", "item_2"], baskets, min_support, n_baskets)
+    return pairs_of_pruned(prune_infrequent(baskets, items), baskets, min_support, n_baskets)
+
+
+def pairs_of_pruned(pruned: DataFrame, baskets: DataFrame, min_support: Support,
+                    n_baskets: int | None = None) -> DataFrame:
+    """Level 2 over a basket relation that only holds frequent items."""
+    return count_itemsets(basket_pairs(pruned), ["item_1", "item_2"], baskets, min_support, n_baskets)
 
 
 # --------------------------------------------------------------------------- level 3
@@ -160,8 +165,13 @@ def frequent_triples(baskets: DataFrame, items: DataFrame, pairs: DataFrame,
     ``(basket, item_1)``; the resulting ``(a, b, c)`` have ``ab`` and ``ac``
     frequent, and a semi join keeps those with ``bc`` frequent as well.
     """
-    present = _semi_on_pair(basket_pairs(prune_infrequent(baskets, items)),
-                            pairs, "item_1", "item_2")
+    return triples_of_pruned(prune_infrequent(baskets, items), pairs, baskets, min_support, n_baskets)
+
+
+def triples_of_pruned(pruned: DataFrame, pairs: DataFrame, baskets: DataFrame, min_support: Support,
+                      n_baskets: int | None = None) -> DataFrame:
+    """Level 3 over a basket relation that only holds frequent items."""
+    present = _semi_on_pair(basket_pairs(pruned), pairs, "item_1", "item_2")
     x, y = present.alias("x"), present.alias("y")
     rows = (x.join(y, (F.col("x.basket") == F.col("y.basket"))
                    & (F.col("x.item_1") == F.col("y.item_1"))
@@ -172,6 +182,35 @@ def frequent_triples(baskets: DataFrame, items: DataFrame, pairs: DataFrame,
     return count_itemsets(rows, ["item_1", "item_2", "item_3"], baskets, min_support, n_baskets)
 
 
+# --------------------------------------------------------------------------- encoding
+
+def item_codes(items: DataFrame) -> DataFrame:
+    """``(item, code)``: order-preserving long codes of the frequent items.
+
+    A global sort (range partitioning) followed by ``monotonically_increasing_id``
+    numbers the items in sort order, so ``code_a < code_b`` iff ``item_a < item_b``
+    and level 2/3 enumeration can run on 8-byte keys instead of strings.
+    """
+    return items.select("item").orderBy("item").select("item", F.monotonically_increasing_id().alias("code"))
+
+
+def encode_baskets(baskets: DataFrame, codes: DataFrame) -> DataFrame:
+    """``(basket, item=code)`` for the rows whose item has a code (i.e. is frequent)."""
+    c = broadcast_if_small(codes, rows=known_rows(codes))
+    return baskets.join(c, "item").select("basket", F.col("code").alias("item"))
+
+
+def decode_itemsets(encoded: DataFrame, codes: DataFrame) -> DataFrame:
+    """Replace the codes in ``item_i`` columns by the items (one join per column)."""
+    c = broadcast_if_small(codes, rows=known_rows(codes))
+    cols = [x for x in ("item_1", "item_2", "item_3") if x in encoded.columns]
+    out = encoded
+    for x in cols:
+        out = (out.withColumnRenamed(x, f"_{x}")
+               .join(c.select(F.col("code").alias(f"_{x}"), F.col("item").alias(x)), f"_{x}").drop(f"_{x}"))
+    return out.select(*cols, "support")
+
+
 # --------------------------------------------------------------------------- reports
 
 def itemset_array(df: DataFrame) -> Column:

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame
 
 from tessera.operators import itemsets as its
 from tessera.operators import rules as rl
-from tessera.sources.storage import materialize
+from tessera.operators.joins import DEFAULT_BROADCAST_ROWS
+from tessera.sources.storage import materialize, row_count
 
 
 @dataclass
@@ -44,17 +45,36 @@ class Itemsets:
 
 
 def mine_itemsets(baskets: DataFrame, min_support: its.Support, max_k: int = 3,
-                  checkpoint: bool = True) -> Itemsets:
-    """Level-wise A-priori mining up to ``max_k`` (2 or 3)."""
+                  checkpoint: bool = True, max_encoded_items: int = DEFAULT_BROADCAST_ROWS) -> Itemsets:
+    """Level-wise A-priori mining up to ``max_k`` (2 or 3).
+
+    When the frequent items are at most ``max_encoded_items`` (a checked bound),
+    levels 2 and 3 are enumerated on order-preserving long codes of the items
+    (the encoding join also prunes infrequent items) and decoded at the end.
+    """
     keep = materialize if checkpoint else (lambda df, name="": df)
     baskets = keep(baskets, "baskets")
     # one scalar (the basket count) reaches the driver; thresholds become literals
     n = its.basket_count(baskets).first()["n_baskets"]
     levels = {1: keep(its.frequent_items(baskets, min_support, n), "k1")}
-    if max_k >= 2:
+    if max_k < 2:
+        return Itemsets(baskets, levels, n)
+    n_items = row_count(levels[1])
+    if not checkpoint or n_items > max_encoded_items:
         levels[2] = keep(its.frequent_pairs(baskets, levels[1], min_support, n), "k2")
+        if max_k >= 3:
+            levels[3] = keep(its.frequent_triples(baskets, levels[1], levels[2], min_support, n), "k3")
+        return Itemsets(baskets, levels, n)
+
+    codes = keep(its.item_codes(levels[1]), "item_codes")
+    pruned = its.encode_baskets(baskets, codes)
+    encoded = {2: keep(its.pairs_of_pruned(pruned, baskets, min_support, n), "k2_codes")}
     if max_k >= 3:
-        levels[3] = keep(its.frequent_triples(baskets, levels[1], levels[2], min_support, n), "k3")
+        encoded[3] = keep(its.triples_of_pruned(pruned, encoded[2], baskets, min_support, n), "k3_codes")
+    for k, level in encoded.items():
+        decoded = its.decode_itemsets(level, codes)
+        decoded._tessera_rows = level._tessera_rows   # the decode joins are 1:1
+        levels[k] = decoded
     return Itemsets(baskets, levels, n)
 
 
