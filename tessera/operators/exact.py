@@ -27,15 +27,27 @@ _EPS = 1e-9
 
 
 def prefix_tokens(sets: DataFrame, threshold: float, id_col: str = "doc_id") -> DataFrame:
-    """``(id, token, size)`` for the tokens in the Jaccard-``threshold`` prefix of each set."""
+    """``(id, token, size)`` for the shared tokens in the Jaccard-``threshold`` prefix of each set.
+
+    Tokens that occur in a single set come first in the global order but can
+    never form a pair, so only tokens with frequency >= 2 are joined back and
+    ranked; the u single-set tokens of a set are accounted for by count
+    (u = size - number of shared tokens), leaving ``p - u`` shared tokens in
+    the prefix of length p.
+    """
     if not 0.0 < threshold <= 1.0:
         raise ValueError("threshold must be in (0, 1]")
     tokens = sets.select(id_col, F.size("shingles").alias("_n"), F.explode("shingles").alias("token"))
-    freq = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("_f"))
-    ranked = tokens.join(freq, "token").withColumn(
-        "_r", F.row_number().over(Window.partitionBy(id_col).orderBy("_f", "token")))
-    keep = F.col("_n") - F.ceil(F.lit(float(threshold)) * F.col("_n") - F.lit(_EPS)) + F.lit(1)
-    return ranked.filter(F.col("_r") <= keep).select(id_col, "token", F.col("_n").alias("size"))
+    shared = (tokens.groupBy("token").agg(F.count(F.lit(1)).alias("_f"))
+              .filter(F.col("_f") >= 2))
+    per_set = Window.partitionBy(id_col)
+    ranked = (tokens.join(shared, "token")
+              .withColumn("_r", F.row_number().over(per_set.orderBy("_f", "token")))
+              .withColumn("_m", F.count(F.lit(1)).over(per_set)))
+    prefix_len = F.col("_n") - F.ceil(F.lit(float(threshold)) * F.col("_n") - F.lit(_EPS)) + F.lit(1)
+    unique_first = F.col("_n") - F.col("_m")
+    return (ranked.filter(F.col("_r") <= prefix_len - unique_first)
+            .select(id_col, "token", F.col("_n").alias("size")))
 
 
 def exact_candidate_pairs(prefixes: DataFrame, threshold: float, id_col: str = "doc_id",
