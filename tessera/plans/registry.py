@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from tessera.operators import itemsets as its
 from tessera.operators import rules as rl
 from tessera.plans import catalog
-from tessera.operators import quality as qa
 from tessera.operators import similarity as sim
 from tessera.plans.market_basket import mine_itemsets
 from tessera.plans.near_duplicates import LshParams, analyze_quality, exact_key_pairs, find_near_duplicates
