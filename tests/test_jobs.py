@@ -33,3 +33,30 @@ def test_near_duplicate_job_writes_all_outputs(spark):
     assert spark.read.parquet(os.path.join(out, "minhash")).count() == docs.filter(F.length("text") >= 9).count()
     assert spark.read.parquet(os.path.join(out, "fpfn_rounds")).count() == 2
     assert spark.read.parquet(os.path.join(out, "fpfn_summary")).first().rounds == 2
+
+
+def test_command_line_runs_both_jobs(spark):
+    import gzip
+    import json
+
+    from tessera.__main__ import main
+
+    d = tempfile.mkdtemp(prefix="tessera-cli-")
+    csv = os.path.join(d, "conditions.csv.gz")
+    with gzip.open(csv, "wt") as f:
+        f.write("START,STOP,PATIENT,ENCOUNTER,CODE,DESCRIPTION\n")
+        for p in range(6):
+            for code, desc in (("c1", "Cough"), ("c2", "Fever"), ("c3", "Rash")):
+                if p % 3 != 0 or code != "c3":
+                    f.write(f"2020-01-01,,p{p},e{p},{code},{desc}\n")
+    assert main(["market-basket", csv, "--out", os.path.join(d, "mb"), "-s", "2", "-l", "0"]) == 0
+    assert spark.read.parquet(os.path.join(d, "mb", "frequent_k2")).count() == 3
+    news = os.path.join(d, "news.json")
+    with open(news, "w") as f:
+        for i, t in enumerate(["the quick brown fox jumps over the lazy dog"] * 2 + ["something else entirely here"]):
+            f.write(json.dumps({"text": t, "tweet_id": f"t{i}", "url": "u"}) + "\n")
+    assert main(["near-duplicates", news, "--out", os.path.join(d, "nd"), "--similar-to", "t0",
+                 "--fpfn-analysis", "--fpfn-analysis-fraction", "0.99"]) == 0
+    pairs = spark.read.parquet(os.path.join(d, "nd", "similar_pairs")).collect()
+    assert [(r.first, r.second, r.similarity) for r in pairs] == [("t0", "t1", 1.0)]
+    assert [r.similar_id for r in spark.read.parquet(os.path.join(d, "nd", "similar_to")).collect()] == ["t1"]
