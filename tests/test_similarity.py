@@ -226,3 +226,18 @@ def test_lsh_recall_and_containment_on_documents(spark):
     assert len(similar) / len(exact_pairs) >= p_high - 0.05
     partners = {r.similar_id for r in sim.similar_to_id(nd.similar_pairs(), next(iter(similar))[0]).collect()}
     assert next(iter(similar))[1] in partners
+
+
+def test_copy_group_pairs_salted_grid_is_exact(spark):
+    from tessera.plans.near_duplicates import copy_group_pairs
+
+    rows, next_id = [], 0
+    for key, size in (("a", 1), ("b", 2), ("c", 7), ("d", 20)):
+        for _ in range(size):
+            rows.append((next_id, key))
+            next_id += 1
+    members = spark.createDataFrame(rows, "doc_id long, copy_key string")
+    want = {(k, x, y) for k in "abcd" for x, y in combinations(sorted(i for i, kk in rows if kk == k), 2)}
+    for split in (3, 2048):
+        got = [(r.copy_key, r.first, r.second) for r in copy_group_pairs(members, split).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
