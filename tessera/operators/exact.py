@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tessera.operators.joins import pairs_within_groups
 from tessera.operators.similarity import pair_similarity
 
 # ceil(t * n) is taken of (t * n - _EPS): the prefix can only get longer, which
@@ -58,13 +59,11 @@ def exact_candidate_pairs(prefixes: DataFrame, threshold: float, id_col: str = "
     before the distinct.
     """
     group_cols = group_cols or []
-    left = prefixes.select(*group_cols, "token", F.col(id_col).alias("first"), F.col("size").alias("_n1"))
-    right = prefixes.select(*group_cols, "token", F.col(id_col).alias("second"), F.col("size").alias("_n2"))
-    size_ok = (F.least("_n1", "_n2").cast("double")
-               >= F.lit(float(threshold)) * F.greatest("_n1", "_n2").cast("double") - F.lit(_EPS))
-    return (left.join(right, [*group_cols, "token"])
-            .filter((F.col("first") < F.col("second")) & size_ok)
-            .select(*group_cols, "first", "second").distinct())
+    pairs = pairs_within_groups(prefixes.select(*group_cols, "token", id_col, "size"),
+                                [*group_cols, "token"], id_col, carry=["size"])
+    size_ok = (F.least("size_1", "size_2").cast("double")
+               >= F.lit(float(threshold)) * F.greatest("size_1", "size_2").cast("double") - F.lit(_EPS))
+    return pairs.filter(size_ok).select(*group_cols, "first", "second").distinct()
 
 
 def exact_similar_pairs(sets: DataFrame, threshold: float, id_col: str = "doc_id") -> DataFrame:

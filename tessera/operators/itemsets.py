@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.operators.joins import broadcast_if_small, known_rows
+from tessera.operators.joins import broadcast_if_small, known_rows, pairs_within_groups
 
 Support = Union[int, float]
 
@@ -108,12 +108,13 @@ def basket_itemlists(baskets: DataFrame, items: DataFrame,
 # --------------------------------------------------------------------------- level 2
 
 def basket_pairs(pruned: DataFrame) -> DataFrame:
-    """All ``(basket, item_1, item_2)`` with ``item_1 < item_2`` inside each basket."""
-    left, right = pruned.alias("l"), pruned.alias("r")
-    return (left.join(right, (F.col("l.basket") == F.col("r.basket"))
-                      & (F.col("l.item") < F.col("r.item")))
-            .select(F.col("l.basket").alias("basket"),
-                    F.col("l.item").alias("item_1"), F.col("r.item").alias("item_2")))
+    """All ``(basket, item_1, item_2)`` with ``item_1 < item_2`` inside each basket.
+
+    A self-join on ``basket``, salted on a grid for baskets with many items
+    (see :func:`pairs_within_groups`).
+    """
+    return (pairs_within_groups(pruned, ["basket"], "item")
+            .select("basket", F.col("first").alias("item_1"), F.col("second").alias("item_2")))
 
 
 def count_itemsets(rows: DataFrame, item_cols: list[str], baskets: DataFrame,
@@ -148,12 +149,8 @@ def candidate_triples(pairs: DataFrame) -> DataFrame:
     Prefix join of the frequent pairs with themselves on ``item_1`` (the
     classic A-priori candidate generation), then a semi join for the last pair.
     """
-    p = pairs.select("item_1", "item_2")
-    x, y = p.alias("x"), p.alias("y")
-    joined = (x.join(y, (F.col("x.item_1") == F.col("y.item_1"))
-                     & (F.col("x.item_2") < F.col("y.item_2")))
-              .select(F.col("x.item_1").alias("item_1"), F.col("x.item_2").alias("item_2"),
-                      F.col("y.item_2").alias("item_3")))
+    joined = (pairs_within_groups(pairs.select("item_1", "item_2"), ["item_1"], "item_2")
+              .select("item_1", F.col("first").alias("item_2"), F.col("second").alias("item_3")))
     return _semi_on_pair(joined, pairs, "item_2", "item_3")
 
 
@@ -172,12 +169,8 @@ def triples_of_pruned(pruned: DataFrame, pairs: DataFrame, baskets: DataFrame, m
                       n_baskets: int | None = None) -> DataFrame:
     """Level 3 over a basket relation that only holds frequent items."""
     present = _semi_on_pair(basket_pairs(pruned), pairs, "item_1", "item_2")
-    x, y = present.alias("x"), present.alias("y")
-    rows = (x.join(y, (F.col("x.basket") == F.col("y.basket"))
-                   & (F.col("x.item_1") == F.col("y.item_1"))
-                   & (F.col("x.item_2") < F.col("y.item_2")))
-            .select(F.col("x.item_1").alias("item_1"), F.col("x.item_2").alias("item_2"),
-                    F.col("y.item_2").alias("item_3")))
+    rows = (pairs_within_groups(present, ["basket", "item_1"], "item_2")
+            .select("item_1", F.col("first").alias("item_2"), F.col("second").alias("item_3")))
     rows = _semi_on_pair(rows, pairs, "item_2", "item_3")
     return count_itemsets(rows, ["item_1", "item_2", "item_3"], baskets, min_support, n_baskets)
 

@@ -47,3 +47,37 @@ def ensure_parallelism(df: DataFrame, key: str, factor: int = 2) -> DataFrame:
     if df.rdd.getNumPartitions() >= slots:
         return df
     return df.repartition(slots * factor, key)
+
+
+# Members per side of one grid cell in ``pairs_within_groups``.
+PAIR_CELL = 2048
+
+
+def pairs_within_groups(df: DataFrame, group_cols: list[str], member_col: str,
+                        carry: list[str] | None = None, cell: int = PAIR_CELL) -> DataFrame:
+    """``(group..., first, second[, c_1, c_2 ...])``: member pairs inside each group, first < second.
+
+    A group of m members yields m (m - 1) / 2 rows from m input rows, so a
+    hot group is invisible to byte-based skew detection while its output can
+    swamp one task. Groups are salted on a grid: with B = ceil(m / cell)
+    buckets, member x goes to bucket h(x) mod B; left rows are replicated over
+    the B right buckets and right rows over the B left buckets, and each cell
+    (i, j) is a separate join key. Every pair meets in exactly one cell, no
+    cell yields more than about ``cell``^2 rows, and groups of at most
+    ``cell`` members keep one cell. Group sizes come from a partial + final
+    count; singleton groups drop out before the join. ``carry`` columns of
+    each member are returned as ``<c>_1`` and ``<c>_2``.
+    """
+    carry = carry or []
+    sizes = (df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_m"))
+             .filter(F.col("_m") > 1)
+             .select(*group_cols, F.ceil(F.col("_m") / F.lit(cell)).cast("int").alias("_b")))
+    m = df.join(sizes, group_cols)
+    bucket = F.pmod(F.xxhash64(member_col), F.col("_b").cast("long")).cast("int")
+    cells = F.sequence(F.lit(0), F.col("_b") - 1)
+    left = m.select(*group_cols, F.col(member_col).alias("first"),
+                    *[F.col(c).alias(f"{c}_1") for c in carry], bucket.alias("_i"), F.explode(cells).alias("_j"))
+    right = m.select(*group_cols, F.col(member_col).alias("second"),
+                     *[F.col(c).alias(f"{c}_2") for c in carry], bucket.alias("_j"), F.explode(cells).alias("_i"))
+    return (left.join(right, [*group_cols, "_i", "_j"]).filter(F.col("first") < F.col("second"))
+            .select(*group_cols, "first", "second", *[f"{c}_{k}" for c in carry for k in (1, 2)]))

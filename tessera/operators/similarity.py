@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.hashing import hash_family, minhash_signature, shingle_hashes
 from tessera.functions.setsim import jaccard, matching_positions
-from tessera.operators.joins import ensure_parallelism
+from tessera.operators.joins import ensure_parallelism, pairs_within_groups
 
 # Defaults of the job (shingle size, bands, rows per band, seed, threshold).
 SHINGLE_SIZE = 9
@@ -85,10 +85,12 @@ def buckets(band_rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def candidate_pairs(band_rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``(first, second)``: distinct id pairs sharing at least one band bucket."""
-    left = band_rows.select("band", "bucket", F.col(id_col).alias("first"))
-    right = band_rows.select("band", "bucket", F.col(id_col).alias("second"))
-    return (left.join(right, ["band", "bucket"]).filter(F.col("first") < F.col("second"))
+    """``(first, second)``: distinct id pairs sharing at least one band bucket.
+
+    Pairs inside a bucket come from a grid-salted self-join (a hot bucket is
+    spread over many tasks), then one distinct over all bands.
+    """
+    return (pairs_within_groups(band_rows.select("band", "bucket", id_col), ["band", "bucket"], id_col)
             .select("first", "second").distinct())
 
 

@@ -30,7 +30,7 @@ from tessera.functions.hashing import hash_family, shingles_with_signature
 from tessera.operators import quality as q
 from tessera.operators import similarity as sim
 from tessera.operators.exact import exact_similar_pairs
-from tessera.operators.joins import broadcast_if_small, ensure_parallelism, known_rows
+from tessera.operators.joins import PAIR_CELL, broadcast_if_small, ensure_parallelism, known_rows, pairs_within_groups
 from tessera.sources.storage import materialize
 
 
@@ -87,35 +87,14 @@ def one_array_per_key(sh: DataFrame, keys: DataFrame, max_keys: int | None = Non
     return rep_arrays(sh, reps, bound).join(reps, "rep_id").select("copy_key", "shingles")
 
 
-# A copy group is split into cells of at most this many members per side
-# before its internal pairs are generated (see ``copy_group_pairs``).
-GROUP_SPLIT = 2048
-
-
-def copy_group_pairs(members: DataFrame, split: int = GROUP_SPLIT) -> DataFrame:
+def copy_group_pairs(members: DataFrame, split: int = PAIR_CELL) -> DataFrame:
     """``(copy_key, first, second)``: all id pairs inside each copy group, first < second.
 
-    The output of a group of m copies is m (m - 1) / 2 rows while its input is
-    m narrow rows, so byte-based skew detection cannot see it. Groups are
-    therefore salted on a grid: with B = ceil(m / split) buckets, member d goes
-    to bucket h(d) mod B; left rows are replicated over the B right buckets
-    and right rows over the B left buckets, and every cell (i, j) is its own
-    join key. Each pair meets in exactly one cell and no cell holds more than
-    about ``split``^2 pairs. Singleton groups drop out before the join; groups
-    of at most ``split`` members keep a single cell (B = 1).
+    A group of m copies yields m (m - 1) / 2 pairs from m narrow rows; the
+    grid-salted self-join of :func:`pairs_within_groups` spreads a hot group
+    over many tasks.
     """
-    sizes = (members.groupBy("copy_key").agg(F.count(F.lit(1)).alias("_m"))
-             .filter(F.col("_m") > 1)
-             .select("copy_key", F.ceil(F.col("_m") / F.lit(split)).cast("int").alias("_b")))
-    m = members.join(sizes, "copy_key")
-    bucket = F.pmod(F.xxhash64("doc_id"), F.col("_b").cast("long")).cast("int")
-    cells = F.sequence(F.lit(0), F.col("_b") - 1)
-    left = m.select("copy_key", F.col("doc_id").alias("first"), bucket.alias("_i"),
-                    F.explode(cells).alias("_j"))
-    right = m.select("copy_key", F.col("doc_id").alias("second"), bucket.alias("_j"),
-                     F.explode(cells).alias("_i"))
-    return (left.join(right, ["copy_key", "_i", "_j"]).filter(F.col("first") < F.col("second"))
-            .select("copy_key", "first", "second"))
+    return pairs_within_groups(members.select("copy_key", "doc_id"), ["copy_key"], "doc_id", cell=split)
 
 
 @dataclass
