@@ -21,6 +21,7 @@ from pyspark.sql.window import Window
 
 from tessera.operators.joins import pairs_within_groups
 from tessera.operators.similarity import pair_similarity
+from tessera.sources.storage import materialize
 
 # ceil(t * n) is taken of (t * n - _EPS): the prefix can only get longer, which
 # keeps the filter exact under floating-point rounding.
@@ -28,7 +29,7 @@ _EPS = 1e-9
 
 
 def prefix_tokens(sets: DataFrame, threshold: float, id_col: str = "doc_id") -> DataFrame:
-    """``(id, token, size)`` for the shared tokens in the Jaccard-``threshold`` prefix of each set.
+    """``(id, token, size, frequency)`` for the shared tokens in the ``threshold`` prefix of each set.
 
     Tokens that occur in a single set come first in the global order but can
     never form a pair, so only tokens with frequency >= 2 are joined back and
@@ -48,11 +49,11 @@ def prefix_tokens(sets: DataFrame, threshold: float, id_col: str = "doc_id") ->
     prefix_len = F.col("_n") - F.ceil(F.lit(float(threshold)) * F.col("_n") - F.lit(_EPS)) + F.lit(1)
     unique_first = F.col("_n") - F.col("_m")
     return (ranked.filter(F.col("_r") <= prefix_len - unique_first)
-            .select(id_col, "token", F.col("_n").alias("size")))
+            .select(id_col, "token", F.col("_n").alias("size"), F.col("_f").alias("frequency")))
 
 
 def exact_candidate_pairs(prefixes: DataFrame, threshold: float, id_col: str = "doc_id",
-                          group_cols: list[str] | None = None) -> DataFrame:
+                          group_cols: list[str] | None = None, max_group: int | None = None) -> DataFrame:
     """``(group..., first, second)``: distinct id pairs sharing a prefix token.
 
     Pairs whose sizes already rule out ``threshold`` (J <= min/max) are dropped
@@ -60,14 +61,25 @@ def exact_candidate_pairs(prefixes: DataFrame, threshold: float, id_col: str = "
     """
     group_cols = group_cols or []
     pairs = pairs_within_groups(prefixes.select(*group_cols, "token", id_col, "size"),
-                                [*group_cols, "token"], id_col, carry=["size"])
+                                [*group_cols, "token"], id_col, carry=["size"], max_group=max_group)
     size_ok = (F.least("size_1", "size_2").cast("double")
                >= F.lit(float(threshold)) * F.greatest("size_1", "size_2").cast("double") - F.lit(_EPS))
     return pairs.filter(size_ok).select(*group_cols, "first", "second").distinct()
 
 
-def exact_similar_pairs(sets: DataFrame, threshold: float, id_col: str = "doc_id") -> DataFrame:
-    """``(first, second, similarity)`` for every pair with Jaccard >= ``threshold``."""
-    pairs = exact_candidate_pairs(prefix_tokens(sets, threshold, id_col), threshold, id_col)
+def exact_similar_pairs(sets: DataFrame, threshold: float, id_col: str = "doc_id",
+                        checkpoint: bool = True) -> DataFrame:
+    """``(first, second, similarity)`` for every pair with Jaccard >= ``threshold``.
+
+    The prefixes are materialised; the largest token frequency among them
+    (an upper bound of every token group) is observed in the same pass and
+    decides whether the pair join needs grid salting.
+    """
+    prefixes = prefix_tokens(sets, threshold, id_col)
+    max_group = None
+    if checkpoint:
+        prefixes = materialize(prefixes, "prefix_tokens", {"max_frequency": F.max("frequency")})
+        max_group = int(prefixes._tessera_metrics["max_frequency"] or 0)
+    pairs = exact_candidate_pairs(prefixes, threshold, id_col, max_group=max_group)
     return (pair_similarity(pairs, sets, id_col)
             .filter(F.col("similarity") >= F.lit(float(threshold))))

@@ -107,13 +107,14 @@ def basket_itemlists(baskets: DataFrame, items: DataFrame,
 
 # --------------------------------------------------------------------------- level 2
 
-def basket_pairs(pruned: DataFrame) -> DataFrame:
+def basket_pairs(pruned: DataFrame, max_items: int | None = None) -> DataFrame:
     """All ``(basket, item_1, item_2)`` with ``item_1 < item_2`` inside each basket.
 
     A self-join on ``basket``, salted on a grid for baskets with many items
-    (see :func:`pairs_within_groups`).
+    (see :func:`pairs_within_groups`). ``max_items`` bounds the items of one
+    basket (the frequent-item vocabulary).
     """
-    return (pairs_within_groups(pruned, ["basket"], "item")
+    return (pairs_within_groups(pruned, ["basket"], "item", max_group=max_items)
             .select("basket", F.col("first").alias("item_1"), F.col("second").alias("item_2")))
 
 
@@ -126,13 +127,14 @@ def count_itemsets(rows: DataFrame, item_cols: list[str], baskets: DataFrame,
 def frequent_pairs(baskets: DataFrame, items: DataFrame, min_support: Support,
                    n_baskets: int | None = None) -> DataFrame:
     """``(item_1, item_2, support)`` for pairs of frequent items with enough support."""
-    return pairs_of_pruned(prune_infrequent(baskets, items), baskets, min_support, n_baskets)
+    return pairs_of_pruned(prune_infrequent(baskets, items), baskets, min_support, n_baskets,
+                           known_rows(items))
 
 
 def pairs_of_pruned(pruned: DataFrame, baskets: DataFrame, min_support: Support,
-                    n_baskets: int | None = None) -> DataFrame:
+                    n_baskets: int | None = None, max_items: int | None = None) -> DataFrame:
     """Level 2 over a basket relation that only holds frequent items."""
-    return count_itemsets(basket_pairs(pruned), ["item_1", "item_2"], baskets, min_support, n_baskets)
+    return count_itemsets(basket_pairs(pruned, max_items), ["item_1", "item_2"], baskets, min_support, n_baskets)
 
 
 # --------------------------------------------------------------------------- level 3
@@ -149,7 +151,8 @@ def candidate_triples(pairs: DataFrame) -> DataFrame:
     Prefix join of the frequent pairs with themselves on ``item_1`` (the
     classic A-priori candidate generation), then a semi join for the last pair.
     """
-    joined = (pairs_within_groups(pairs.select("item_1", "item_2"), ["item_1"], "item_2")
+    joined = (pairs_within_groups(pairs.select("item_1", "item_2"), ["item_1"], "item_2",
+                                  max_group=known_rows(pairs))
               .select("item_1", F.col("first").alias("item_2"), F.col("second").alias("item_3")))
     return _semi_on_pair(joined, pairs, "item_2", "item_3")
 
@@ -162,14 +165,15 @@ def frequent_triples(baskets: DataFrame, items: DataFrame, pairs: DataFrame,
     ``(basket, item_1)``; the resulting ``(a, b, c)`` have ``ab`` and ``ac``
     frequent, and a semi join keeps those with ``bc`` frequent as well.
     """
-    return triples_of_pruned(prune_infrequent(baskets, items), pairs, baskets, min_support, n_baskets)
+    return triples_of_pruned(prune_infrequent(baskets, items), pairs, baskets, min_support, n_baskets,
+                             known_rows(items))
 
 
 def triples_of_pruned(pruned: DataFrame, pairs: DataFrame, baskets: DataFrame, min_support: Support,
-                      n_baskets: int | None = None) -> DataFrame:
+                      n_baskets: int | None = None, max_items: int | None = None) -> DataFrame:
     """Level 3 over a basket relation that only holds frequent items."""
-    present = _semi_on_pair(basket_pairs(pruned), pairs, "item_1", "item_2")
-    rows = (pairs_within_groups(present, ["basket", "item_1"], "item_2")
+    present = _semi_on_pair(basket_pairs(pruned, max_items), pairs, "item_1", "item_2")
+    rows = (pairs_within_groups(present, ["basket", "item_1"], "item_2", max_group=max_items)
             .select("item_1", F.col("first").alias("item_2"), F.col("second").alias("item_3")))
     rows = _semi_on_pair(rows, pairs, "item_2", "item_3")
     return count_itemsets(rows, ["item_1", "item_2", "item_3"], baskets, min_support, n_baskets)

@@ -54,7 +54,8 @@ PAIR_CELL = 2048
 
 
 def pairs_within_groups(df: DataFrame, group_cols: list[str], member_col: str,
-                        carry: list[str] | None = None, cell: int = PAIR_CELL) -> DataFrame:
+                        carry: list[str] | None = None, cell: int = PAIR_CELL,
+                        max_group: int | None = None) -> DataFrame:
     """``(group..., first, second[, c_1, c_2 ...])``: member pairs inside each group, first < second.
 
     A group of m members yields m (m - 1) / 2 rows from m input rows, so a
@@ -67,8 +68,22 @@ def pairs_within_groups(df: DataFrame, group_cols: list[str], member_col: str,
     ``cell`` members keep one cell. Group sizes come from a partial + final
     count; singleton groups drop out before the join. ``carry`` columns of
     each member are returned as ``<c>_1`` and ``<c>_2``.
+
+    ``max_group`` is a proven upper bound of the group sizes (e.g. the item
+    vocabulary for baskets); without it, one narrow aggregation measures the
+    largest group. When every group fits one cell, the plain equi self-join is
+    planned instead (one exchange, reused by both sides).
     """
     carry = carry or []
+    if max_group is None:
+        max_group = (df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_m"))
+                     .agg(F.max("_m").alias("_mx")).first()["_mx"]) or 0
+    if max_group <= cell:
+        left = df.select(*group_cols, F.col(member_col).alias("first"), *[F.col(c).alias(f"{c}_1") for c in carry])
+        right = df.select(*group_cols, F.col(member_col).alias("second"),
+                          *[F.col(c).alias(f"{c}_2") for c in carry])
+        return (left.join(right, group_cols).filter(F.col("first") < F.col("second"))
+                .select(*group_cols, "first", "second", *[f"{c}_{k}" for c in carry for k in (1, 2)]))
     sizes = (df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_m"))
              .filter(F.col("_m") > 1)
              .select(*group_cols, F.ceil(F.col("_m") / F.lit(cell)).cast("int").alias("_b")))

@@ -68,9 +68,11 @@ def mine_itemsets(baskets: DataFrame, min_support: its.Support, max_k: int = 3,
 
     codes = keep(its.item_codes(levels[1]), "item_codes")
     pruned = its.encode_baskets(baskets, codes)
-    encoded = {2: keep(its.pairs_of_pruned(pruned, baskets, min_support, n), "k2_codes")}
+    # a basket holds at most n_items frequent items: a proven bound of every pair group
+    encoded = {2: keep(its.pairs_of_pruned(pruned, baskets, min_support, n, n_items), "k2_codes")}
     if max_k >= 3:
-        encoded[3] = keep(its.triples_of_pruned(pruned, encoded[2], baskets, min_support, n), "k3_codes")
+        encoded[3] = keep(its.triples_of_pruned(pruned, encoded[2], baskets, min_support, n, n_items),
+                          "k3_codes")
     for k, level in encoded.items():
         decoded = its.decode_itemsets(level, codes)
         decoded._tessera_rows = level._tessera_rows   # the decode joins are 1:1

@@ -34,20 +34,25 @@ def checkpoint_root(spark: SparkSession) -> str:
         "(HDFS/S3/ABFS) that every executor can read")
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", metrics: dict | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the checkpoint folder and return the re-read table.
 
     The re-read plan is a plain file scan: it has file-size statistics for the
     planner, prunes columns and pushes filters, and its lineage is cut. Its
     exact row count is observed during the write itself (``DataFrame.observe``)
-    and recorded, so later broadcast decisions need no extra job.
+    and recorded, so later broadcast decisions need no extra job; further
+    aggregate ``metrics`` (name -> column) are observed in the same pass and
+    kept in ``_tessera_metrics``.
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/tessera/{name}-{uuid.uuid4().hex}"
     rows = Observation(f"rows_{name}")
-    df.observe(rows, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
+    extra = [col.alias(key) for key, col in (metrics or {}).items()]
+    df.observe(rows, F.count(F.lit(1)).alias("rows"), *extra).write.mode("errorifexists").parquet(path)
     out = spark.read.parquet(path)
-    out._tessera_rows = int(rows.get["rows"])
+    observed = rows.get
+    out._tessera_rows = int(observed["rows"])
+    out._tessera_metrics = {key: observed[key] for key in (metrics or {})}
     return out
 
 
