@@ -96,3 +96,42 @@ def pairs_within_groups(df: DataFrame, group_cols: list[str], member_col: str,
                      *[F.col(c).alias(f"{c}_2") for c in carry], bucket.alias("_j"), F.explode(cells).alias("_i"))
     return (left.join(right, [*group_cols, "_i", "_j"]).filter(F.col("first") < F.col("second"))
             .select(*group_cols, "first", "second", *[f"{c}_{k}" for c in carry for k in (1, 2)]))
+
+
+def pairs_across_groups(group_pairs: DataFrame, members: DataFrame, group_col: str, member_col: str,
+                        cell: int = PAIR_CELL, max_group: int | None = None) -> DataFrame:
+    """``(first, second, <values>, _x1, _x2)``: every member combination of each group pair.
+
+    ``group_pairs`` has ``first`` and ``second`` group ids plus value columns;
+    ``members`` maps ``group_col`` to ``member_col``. A pair of groups with m1
+    and m2 members yields m1 * m2 rows. When every group has at most ``cell``
+    members (``max_group``, measured if not given) this is two equi-joins;
+    otherwise each group is cut into B = ceil(m / cell) hash buckets, the pair
+    rows are replicated over the bucket indices of both sides, and each cell
+    (pair, i, j) is one join key, so no task yields more than ~``cell``^2 rows.
+    """
+    values = [c for c in group_pairs.columns if c not in ("first", "second")]
+    sizes = members.groupBy(group_col).agg(F.count(F.lit(1)).alias("_m"))
+    if max_group is None:
+        max_group = sizes.agg(F.max("_m").alias("_mx")).first()["_mx"] or 0
+    m1 = members.select(F.col(group_col).alias("first"), F.col(member_col).alias("_x1"))
+    m2 = members.select(F.col(group_col).alias("second"), F.col(member_col).alias("_x2"))
+    if max_group <= cell:
+        return group_pairs.join(m1, "first").join(m2, "second").select("first", "second", *values, "_x1", "_x2")
+    buckets = sizes.select(group_col, F.ceil(F.col("_m") / F.lit(cell)).cast("int").alias("_b"))
+    placed = (members.join(buckets, group_col)
+              .select(group_col, member_col,
+                      F.pmod(F.xxhash64(member_col), F.col("_b").cast("long")).cast("int").alias("_c")))
+    gp = (group_pairs
+          .join(buckets.select(F.col(group_col).alias("first"), F.col("_b").alias("_b1")), "first")
+          .join(buckets.select(F.col(group_col).alias("second"), F.col("_b").alias("_b2")), "second"))
+    span = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = (gp.select("first", "second", *values, "_b2", span("_b1").alias("_i"))
+            .join(placed.select(F.col(group_col).alias("first"), F.col(member_col).alias("_x1"),
+                                F.col("_c").alias("_i")), ["first", "_i"])
+            .select("first", "second", *values, "_x1", "_i", span("_b2").alias("_j")))
+    right = (gp.select("first", "second", "_b1", span("_b2").alias("_j"))
+             .join(placed.select(F.col(group_col).alias("second"), F.col(member_col).alias("_x2"),
+                                 F.col("_c").alias("_j")), ["second", "_j"])
+             .select("first", "second", "_x2", "_j", span("_b1").alias("_i")))
+    return left.join(right, ["first", "second", "_i", "_j"]).select("first", "second", *values, "_x1", "_x2")

@@ -30,7 +30,8 @@ from tessera.functions.hashing import hash_family, shingles_with_signature
 from tessera.operators import quality as q
 from tessera.operators import similarity as sim
 from tessera.operators.exact import exact_similar_pairs
-from tessera.operators.joins import PAIR_CELL, broadcast_if_small, ensure_parallelism, known_rows, pairs_within_groups
+from tessera.operators.joins import (PAIR_CELL, broadcast_if_small, ensure_parallelism, known_rows,
+                                    pairs_across_groups, pairs_within_groups)
 from tessera.sources.storage import materialize
 
 
@@ -87,14 +88,15 @@ def one_array_per_key(sh: DataFrame, keys: DataFrame, max_keys: int | None = Non
     return rep_arrays(sh, reps, bound).join(reps, "rep_id").select("copy_key", "shingles")
 
 
-def copy_group_pairs(members: DataFrame, split: int = PAIR_CELL) -> DataFrame:
+def copy_group_pairs(members: DataFrame, split: int = PAIR_CELL, max_group: int | None = None) -> DataFrame:
     """``(copy_key, first, second)``: all id pairs inside each copy group, first < second.
 
     A group of m copies yields m (m - 1) / 2 pairs from m narrow rows; the
     grid-salted self-join of :func:`pairs_within_groups` spreads a hot group
     over many tasks.
     """
-    return pairs_within_groups(members.select("copy_key", "doc_id"), ["copy_key"], "doc_id", cell=split)
+    return pairs_within_groups(members.select("copy_key", "doc_id"), ["copy_key"], "doc_id", cell=split,
+                               max_group=max_group)
 
 
 @dataclass
@@ -106,6 +108,13 @@ class NearDuplicates:
     key_similarity: DataFrame      # (first, second, similarity) for key candidates
 
     # ------------------------------------------------------------- key level
+    def largest_copy_group(self) -> int:
+        """Members of the largest copy group (one narrow aggregation, computed once)."""
+        if getattr(self, "_largest", None) is None:
+            self._largest = (self.members().groupBy("copy_key").agg(F.count(F.lit(1)).alias("_m"))
+                             .agg(F.max("_m").alias("_mx")).first()["_mx"]) or 0
+        return self._largest
+
     def members(self) -> DataFrame:
         """``(doc_id, copy_key)`` of every document."""
         return self.shingles.select("doc_id", "copy_key")
@@ -125,13 +134,12 @@ class NearDuplicates:
         ``{"similarity": 1.0}``); the key pairs must carry the same columns.
         """
         values = [c for c in key_pairs.columns if c not in ("first", "second")]
-        m1 = self.members().select(F.col("copy_key").alias("first"), F.col("doc_id").alias("_d1"))
-        m2 = self.members().select(F.col("copy_key").alias("second"), F.col("doc_id").alias("_d2"))
-        across = (key_pairs.join(m1, "first").join(m2, "second")
-                  .select(F.least("_d1", "_d2").alias("first"), F.greatest("_d1", "_d2").alias("second"),
+        largest = self.largest_copy_group()
+        across = (pairs_across_groups(key_pairs, self.members(), "copy_key", "doc_id", max_group=largest)
+                  .select(F.least("_x1", "_x2").alias("first"), F.greatest("_x1", "_x2").alias("second"),
                           *values))
         intra_value_cols = intra_value_cols or {}
-        within = (copy_group_pairs(self.members())
+        within = (copy_group_pairs(self.members(), max_group=largest)
                   .select("first", "second", *[F.lit(intra_value_cols[v]).alias(v) for v in values]))
         return across.unionByName(within)
 

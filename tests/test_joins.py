@@ -24,3 +24,21 @@ def test_broadcast_only_under_bound(spark):
     big = broadcast_if_small(df, max_rows=9)
     assert "broadcast" in small._jdf.queryExecution().logical().toString().lower()
     assert "broadcast" not in big._jdf.queryExecution().logical().toString().lower()
+
+
+def test_pairs_across_groups_grid_equals_brute_force(spark):
+    from tessera.operators.joins import pairs_across_groups
+
+    rng = random.Random(5)
+    members = [(g, x) for g in range(5) for x in rng.sample(range(1000), [1, 3, 9, 17, 2][g])]
+    pairs = [(0, 3, 0.5), (1, 3, 0.9), (2, 3, 0.7), (1, 2, 0.8), (3, 4, 1.0)]
+    mdf = spark.createDataFrame(members, "g long, x long")
+    pdf = spark.createDataFrame(pairs, "first long, second long, sim double")
+    by = {}
+    for g, x in members:
+        by.setdefault(g, []).append(x)
+    want = {(a, b, s, x1, x2) for a, b, s in pairs for x1 in by[a] for x2 in by[b]}
+    for cell in (1, 4, 2048):
+        got = [(r.first, r.second, r.sim, r._x1, r._x2)
+               for r in pairs_across_groups(pdf, mdf, "g", "x", cell=cell).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
