@@ -127,17 +127,22 @@ class NearDuplicates:
         return self.key_similarity.filter(F.col("similarity") >= F.lit(float(self.params.threshold)))
 
     # ------------------------------------------------------------- doc level
-    def expand(self, key_pairs: DataFrame, intra_value_cols: dict | None = None) -> DataFrame:
+    def expand(self, key_pairs: DataFrame, intra_value_cols: dict | None = None,
+               include_copies: bool = True) -> DataFrame:
         """Document pairs ``(first, second, ...)`` for key pairs, plus pairs inside copy groups.
 
         ``intra_value_cols`` gives the value columns of pairs of copies (e.g.
         ``{"similarity": 1.0}``); the key pairs must carry the same columns.
+        With ``include_copies=False`` only the pairs of the given key pairs are
+        returned (e.g. for false negatives, which never lie inside a copy group).
         """
         values = [c for c in key_pairs.columns if c not in ("first", "second")]
         largest = self.largest_copy_group()
         across = (pairs_across_groups(key_pairs, self.members(), "copy_key", "doc_id", max_group=largest)
                   .select(F.least("_x1", "_x2").alias("first"), F.greatest("_x1", "_x2").alias("second"),
                           *values))
+        if not include_copies:
+            return across
         intra_value_cols = intra_value_cols or {}
         within = (copy_group_pairs(self.members(), max_group=largest)
                   .select("first", "second", *[F.lit(intra_value_cols[v]).alias(v) for v in values]))

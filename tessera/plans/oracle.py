@@ -250,6 +250,18 @@ spi AS (SELECT p.first, p.second, count(y.shingle) AS common
 SELECT i.first, i.second, i.common::DOUBLE / (n1.n + n2.n - i.common)::DOUBLE AS similarity
 FROM spi i JOIN sizes n1 ON n1.doc_id = i.first JOIN sizes n2 ON n2.doc_id = i.second
 WHERE i.common::DOUBLE / (n1.n + n2.n - i.common)::DOUBLE >= {t}""")
+    q["false_negatives_corpus"] = _with(sim + f""",
+sp AS (SELECT a.doc_id AS first, b.doc_id AS second FROM sizes a JOIN sizes b
+       ON a.doc_id < b.doc_id AND least(a.n, b.n)::DOUBLE >= {t} * greatest(a.n, b.n)::DOUBLE - 1e-9),
+spi AS (SELECT p.first, p.second, count(y.shingle) AS common
+        FROM sp p JOIN sh x ON x.doc_id = p.first
+        LEFT JOIN sh y ON y.doc_id = p.second AND y.shingle = x.shingle
+        GROUP BY p.first, p.second),
+ex AS (SELECT i.first, i.second, i.common::DOUBLE / (n1.n + n2.n - i.common)::DOUBLE AS similarity
+       FROM spi i JOIN sizes n1 ON n1.doc_id = i.first JOIN sizes n2 ON n2.doc_id = i.second)""", f"""
+SELECT e.first, e.second, e.similarity FROM ex e
+WHERE e.similarity >= {t}
+  AND NOT EXISTS (SELECT 1 FROM cand c WHERE c.first = e.first AND c.second = e.second)""")
     q["doc_sample"] = _with(qual, "SELECT round, doc_id FROM samp")
     q["false_positive_rate"] = _with(qual, "SELECT * FROM fp")
     q["false_negatives"] = _with(qual, "SELECT * FROM fnp")

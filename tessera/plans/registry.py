@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tessera.operators import itemsets as its
 from tessera.operators import rules as rl
 from tessera.plans import catalog
+from tessera.operators import quality as qa
 from tessera.operators import similarity as sim
 from tessera.plans.market_basket import mine_itemsets
 from tessera.plans.near_duplicates import LshParams, analyze_quality, exact_key_pairs, find_near_duplicates
@@ -263,6 +264,13 @@ def q_exact_similar_pairs(spark, sf_dir):
     return nd.expand(exact_key_pairs(nd), {"similarity": 1.0})
 
 
+def q_false_negatives_corpus(spark, sf_dir):
+    """Pairs with Jaccard >= threshold over the whole corpus that LSH did not propose."""
+    nd = _near_dups(spark, sf_dir)
+    fn_keys = qa.false_negative_key_pairs(exact_key_pairs(nd), nd.key_candidates)
+    return nd.expand(fn_keys, include_copies=False)
+
+
 def q_doc_sample(spark, sf_dir):
     return _quality(spark, sf_dir).sample
 
@@ -295,6 +303,7 @@ NEAR_DUPLICATES: dict[str, Query] = {
     "signature_similarity": q_signature_similarity,
     "similar_to": q_similar_to,
     "exact_similar_pairs": q_exact_similar_pairs,
+    "false_negatives_corpus": q_false_negatives_corpus,
     "doc_sample": q_doc_sample,
     "false_positive_rate": q_false_positive_rate,
     "false_negatives": q_false_negatives,
