@@ -50,20 +50,22 @@ def _without(text: Column, chars: str) -> Column:
     return F.translate(text, chars, "")
 
 
-def _repeat_words(n: Column, hashes: Column) -> Column:
-    """Words inside 8-word windows that occur twice or more, from the hashes of all windows in order."""
-    ordered = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    again = F.transform(
-        F.filter(F.transform(ordered, lambda x, k: F.struct(
-            x["i"].alias("i"),
-            (F.coalesce(F.get(ordered, k - 1)["h"] == x["h"], F.lit(False))
-             | F.coalesce(F.get(ordered, k + 1)["h"] == x["h"], F.lit(False))).alias("twin"))),
-            lambda x: x["twin"]), lambda x: x["i"])
+def _sorted_windows(hashes: Column) -> Column:
+    """The windows ordered by hash, or null where all differ."""
+    pairs = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), F.array_sort(pairs))
+
+
+def _repeat_words(ordered: Column) -> Column:
+    """Words inside windows that occur twice or more; ``ordered`` is a column of ``_sorted_windows``."""
+    twin = lambda x, k, step: F.coalesce(F.get(ordered, k + step)["h"] == x["h"], F.lit(False))
+    marked = F.transform(ordered, lambda x, k: F.struct(x["i"].alias("i"), (twin(x, k, -1) | twin(x, k, 1)).alias("again")))
+    places = F.array_sort(F.transform(F.filter(marked, lambda x: x["again"]), lambda x: x["i"]))
     covered = F.aggregate(
-        F.array_sort(again), F.struct(F.lit(0).cast("long").alias("total"), F.lit(0).alias("end")),
+        places, F.struct(F.lit(0).cast("long").alias("total"), F.lit(0).alias("end")),
         lambda acc, i: F.struct((acc["total"] + WINDOW - F.greatest(acc["end"] - i, F.lit(0))).alias("total"),
                                 (i + WINDOW).alias("end")), lambda acc: acc["total"])
-    return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0).cast("long")).otherwise(covered)
+    return F.coalesce(covered, F.lit(0).cast("long"))
 
 
 def figures(docs: DataFrame, text: str, keep: list[str], into: str) -> DataFrame:
@@ -83,6 +85,8 @@ def figures(docs: DataFrame, text: str, keep: list[str], into: str) -> DataFrame
     lines = F.filter(F.split(F.col(t), "\n"), lambda x: F.btrim(x, F.lit(" \t\n\x0b\x0c\r")) != "")
     line_col = f"{w}_lines"
     df = df.select(*kept, t, w, hashes.alias(h), lines.alias(line_col))
+    # a column of its own: inside a lambda an expression would be worked out again for every element
+    df = df.select(*kept, t, w, _sorted_windows(F.col(h)).alias(h), line_col)
     text_c = F.col(t)
     chars = F.length(_without(text_c, " \t\n\x0b\x0c\r"))
     shouted = F.size(F.filter(F.col(w), lambda x: (F.length(x) > 1) & (F.upper(x) == x) & (F.lower(x) != x)))
@@ -90,7 +94,7 @@ def figures(docs: DataFrame, text: str, keep: list[str], into: str) -> DataFrame
         F.size(F.col(w)).cast("long").alias("n_words"), chars.cast("long").alias("word_chars"),
         (F.length(text_c) - F.length(_without(text_c, SYMBOLS))).cast("long").alias("n_symbols"),
         (F.size(F.col(line_col)) - F.size(F.array_distinct(F.col(line_col)))).cast("long").alias("n_dup_lines"),
-        _repeat_words(F.size(F.col(w)), F.col(h)).cast("long").alias("n_repeat_words"),
+        _repeat_words(F.col(h)).cast("long").alias("n_repeat_words"),
         F.size(F.col(line_col)).cast("long").alias("n_lines"), shouted.cast("long").alias("n_shouted"))
     return df.select(*kept, base.alias(into))
 
