@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality, sharding
+from . import mixing, packing, quality, sharding, token_store
 from .common import read_table
 
 
+def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.op2(read_table(spark, sf_dir, "documents"))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.op3(read_table(spark, sf_dir, "documents"))
+
+
 def op5_prefix_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.op5(read_table(spark, sf_dir, "documents"))
 
