@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, quality, sharding, token_store
+from . import mixing, near_dedup, packing, quality, sharding, token_store
 from .common import read_table
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.op1(read_table(spark, sf_dir, "documents"))
+
+
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.op2(read_table(spark, sf_dir, "documents"))
 
