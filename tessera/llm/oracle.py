@@ -36,5 +36,48 @@ FROM run
 """
 
 
+OP7 = r"""
+WITH RECURSIVE ok AS (
+  SELECT vec_id, label, embedding::double[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach(x, y) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y)
+SELECT e.vec_id, coalesce(n.n, 0)::bigint AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e
+JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) c ON c.x = e.vec_id
+LEFT JOIN (SELECT x, count(*) AS n FROM links GROUP BY x) n ON n.x = e.vec_id
+"""
+
+OP1 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+                      ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
+  FROM words),
+items AS (SELECT doc_id, unnest(s) AS g FROM sets),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM items a JOIN items b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY ALL),
+linked AS (
+  SELECT x, y FROM common JOIN sets a ON a.doc_id = x JOIN sets b ON b.doc_id = y
+  WHERE 100 * n >= 80 * (len(a.s) + len(b.s) - n)),
+links AS (SELECT x, y FROM linked UNION ALL SELECT y, x FROM linked),
+reach(x, y) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y)
+SELECT s.doc_id, len(s.s)::bigint AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
+FROM sets s JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) c ON c.x = s.doc_id
+"""
+
+
 def all_sql() -> dict[str, str]:
-    return {"op10_source_mixing": OP10}
+    return {"op1_minhash_dedup": OP1, "op7_pca_tiles": OP7, "op10_source_mixing": OP10}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, near_dedup, packing, quality, sharding, token_store
+from . import embedding_dedup, mixing, near_dedup, packing, quality, sharding, token_store
 from .common import read_table
 
 
@@ -30,6 +30,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op6(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op7_pca_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.op7(read_table(spark, sf_dir, "embeddings"))
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op10(read_table(spark, sf_dir, "documents"))
 
