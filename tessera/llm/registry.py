@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, mixing, near_dedup, packing, private_data, quality, sharding, token_store
+from . import embedding_dedup, mixing, near_dedup, packing, private_data, quality, sharding, token_store, toxicity
 from .common import read_table
 
 
@@ -34,6 +34,10 @@ def op7_pca_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.op7(read_table(spark, sf_dir, "embeddings"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.op8(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op9_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private_data.op9(read_table(spark, sf_dir, "documents"))
 
