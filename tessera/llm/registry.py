@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, mixing, near_dedup, packing, private_data, quality, sharding, token_store, toxicity
+from . import embedding_dedup, main_text, mixing, near_dedup, packing, private_data, quality, sharding, token_store, toxicity
 from .common import read_table
 
 
@@ -22,6 +22,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op3(read_table(spark, sf_dir, "documents"))
 
 
+def op4_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.op4(read_table(spark, sf_dir, "pages"))
+
+
 def op5_prefix_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.op5(read_table(spark, sf_dir, "documents"))
 
