@@ -267,11 +267,24 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5,
                          percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that name their component, with the columns of ``docs``."""
-    gone = near_duplicates(docs, key, text, shingle, percent).filter(~F.col("kept"))
-    mine = hidden(docs, stem="gone")
-    gone = gone.select(F.col(key).alias(mine)).distinct()
-    return docs.join(gone, docs[key].cast("long") == gone[mine], "left_anti")
+    """One document of each component, with the columns of ``docs``: the one that names it.
+
+    Rows that repeat a key are one document: it goes only if none of its rows
+    is kept, and one row of it stays. Rows with a null key have no name to
+    be told apart by, and stay.
+    """
+    found = near_duplicates(docs, key, text, shingle, percent)
+    mine = hidden(docs, stem="key")
+    per_key = materialize(found.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias(mine))
+                          .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")), "near-keys",
+                          {"repeated": F.sum(F.when(F.col("kept") & (F.col("n") > 1), 1))})
+    same_key = docs[key].cast("long") == F.col(mine)
+    left = docs.join(per_key.filter(~F.col("kept")).select(mine), same_key, "left_anti")
+    if not per_key._tessera_metrics["repeated"]:
+        return left
+    repeated = per_key.filter(F.col("kept") & (F.col("n") > 1)).select(mine)
+    return (left.join(repeated, same_key, "left_anti")
+            .unionByName(left.join(repeated, same_key, "left_semi").dropDuplicates([key])))
 
 
 def op1(docs: DataFrame) -> DataFrame:

@@ -159,15 +159,15 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, key: str = "d
     return docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(sequences, SEQUENCES_DDL)
 
 
-def piece_digest(sequences: DataFrame) -> DataFrame:
-    """A row per piece with the CRC of its ids as they lie in the sequence."""
+def piece_rows(sequences: DataFrame) -> DataFrame:
+    """A row per piece with its ids as they lie in the sequence, and their CRC."""
     p = F.col("p")
     own = F.substring(F.col("ids"), (4 * p["offset"] + 1).cast("int"), (4 * p["length"]).cast("int"))
     return (sequences.select("sequence_id", "ids", F.explode("pieces").alias("p"))
             .select(p["doc_id"].alias("doc_id"), p["start"].alias("start"), p["length"].alias("length"),
                     F.crc32(own).alias("ids_crc32"), p["doc_tokens"].alias("doc_tokens"), "sequence_id",
-                    p["offset"].alias("offset")))
+                    p["offset"].alias("offset"), own.alias("ids")))
 
 
 def op3(docs: DataFrame) -> DataFrame:
-    return piece_digest(pack_documents(docs))
+    return piece_rows(pack_documents(docs)).drop("ids")
