@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from tessera.sources.storage import materialize
 
 MIN_PAGES = 8       # distinct pages of a node from which its entropy is trusted
+DEPTH = 48          # levels that a place tells apart; what lies deeper counts to the node above
 IMPORTANCE = 0.1    # branches below this in content and presentation go
 
 # Elements by their role in HTML.
@@ -52,7 +54,7 @@ _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
            "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"thead", "tbody", "tr", "td", "th"}}
 _SCOPES = frozenset("table ul ol dl body article section div main".split())
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>",
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^<>]*>",
                   re.S)
 _ATTRIBUTE = re.compile(r"([A-Za-z_:][-\w:.]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
@@ -60,7 +62,7 @@ Block = tuple[str, str]
 
 
 def _signature(name: str, given: dict[str, str]) -> str:
-    classes = sorted({re.sub(r"\d+", "0", c) for c in given.get("class", "").split()})
+    classes = sorted({re.sub(r"\d+", "0", c).replace(">", "_") for c in given.get("class", "").split()})
     return name + "".join(f".{c}" for c in classes)
 
 
@@ -83,6 +85,8 @@ def _parse(page: str, by_name: bool) -> tuple[list[tuple[str, str, bool]], list[
     stack: list[list] = [["", "", False, False, []]]  # element, path, never article, inside article, children
     layouts: list[tuple[str, str]] = []
     text: list[str] = []
+    open_now: Counter[str] = Counter()
+    unclosed: set[str] = set()  # inline elements with no end tag from here on
 
     def flush() -> None:
         if text:
@@ -95,6 +99,7 @@ def _parse(page: str, by_name: bool) -> tuple[list[tuple[str, str, bool]], list[
 
     def close() -> None:
         name, path, never, _, children = stack.pop()
+        open_now[name] -= 1
         if children and not never:
             layouts.append((path, " ".join(c for i, c in enumerate(children) if not i or c != children[i - 1])))
 
@@ -117,7 +122,7 @@ def _parse(page: str, by_name: bool) -> tuple[list[tuple[str, str, bool]], list[
         if m["end"]:
             if name in _INLINE:
                 continue
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
+            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0) if open_now[name] else 0
             flush()
             while depth and len(stack) > depth:
                 close()
@@ -132,17 +137,20 @@ def _parse(page: str, by_name: bool) -> tuple[list[tuple[str, str, bool]], list[
         inside = stack[-1][3] or name in ("article", "main")
         if name in _INLINE:
             # an inline element that is noise by its own attributes hides its text only
-            if given and _never_article(name, given, inside, by_name):
+            if given and name not in unclosed and _never_article(name, given, inside, by_name):
                 end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-                at = end.end() if end else at
+                if end:
+                    at = end.end()
+                else:
+                    unclosed.add(name)
             continue
         flush()
         if name in _VOID:
             continue
         if stack[-1][0] == "p":
             close()
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] in _CLOSES.get(name, ()):
+        for i in range(len(stack) - 1, 0, -1) if name in _CLOSES else ():
+            if stack[i][0] in _CLOSES[name]:
                 while len(stack) > i:
                     close()
                 if name not in ("tr", "tbody", "tfoot"):
@@ -152,7 +160,8 @@ def _parse(page: str, by_name: bool) -> tuple[list[tuple[str, str, bool]], list[
         parent = stack[-1]
         sign = _signature(name, given)
         parent[4].append(sign)
-        stack.append([name, f"{parent[1]}>{sign}" if parent[1] else sign,
+        open_now[name] += 1
+        stack.append([name, parent[1] if len(stack) > DEPTH else f"{parent[1]}>{sign}" if parent[1] else sign,
                       parent[2] or _never_article(name, given, parent[3], by_name),
                       parent[3] or name in ("article", "main"), []])
     flush()
@@ -194,10 +203,12 @@ def _parsed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             blocks, layouts, content = [], [], []
             for page in batch.column(3).to_pylist():
                 own, shapes = page_blocks(page)
-                paths = {p for p, _ in own}
+                above: set[str] = set()
+                for place in {p for p, _ in own}:
+                    steps = place.split(">")
+                    above.update(">".join(steps[:k]) for k in range(1, len(steps) + 1))
                 blocks.append([{"path": p, "text": t, "feature": _feature(t)} for p, t in own])
-                layouts.append([{"path": p, "feature": _feature(s)} for p, s in dict(shapes).items()
-                                if any(q == p or q.startswith(p + ">") for q in paths)])
+                layouts.append([{"path": p, "feature": _feature(s)} for p, s in dict(shapes).items() if p in above])
                 content.append(_feature("\n".join(t for _, t in own)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(content, pa.int64()), pa.array(blocks, _BLOCKS),
                                               pa.array(layouts, _LAYOUTS)],
