@@ -8,12 +8,14 @@ the support of y:
     confidence = c / l
     interest   = confidence - h / n
     lift       = n * confidence / h
-    lower      = max((l + h) / n - 1, 1 / n) / (l * h / n^2)
-    upper      = n / max(l, h)
-    std_lift   = (lift - lower) / (upper - lower)        (NULL when upper = lower)
-
-All arithmetic is in doubles (``l * h`` would overflow bigint at cluster
-scale). Left-side supports come from one support table keyed by the sorted
+    std_lift   = (c - m) / (min(l, h) - m),  m = max(l + h - n, 1)
+
+The last is the standardised lift ``(lift - lower) / (upper - lower)`` with
+``lower = max((l + h) / n - 1, 1 / n) / (l h / n^2)`` and ``upper = n / max(l,
+h)``, multiplied out by ``l h / n``: its numerator and denominator are whole
+numbers, so it is NULL exactly when the bounds coincide (e.g. an item that is
+in every basket). The other metrics are in doubles (``l * h`` would overflow
+bigint at cluster scale). Left-side supports come from one support table keyed by the sorted
 item array, so 1- and 2-item left sides share a single join.
 """
 
@@ -23,7 +25,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.itemsets import itemset_array
-from tessera.operators.joins import broadcast_if_small, known_rows
 
 RULE_COLUMNS = ["lhs", "rhs", "rule_count", "lhs_count", "rhs_count",
                 "confidence", "interest", "lift", "std_lift"]
@@ -64,13 +65,8 @@ def rule_counts(rules: DataFrame, items: DataFrame, lhs_levels: list[DataFrame])
     Every subset of a frequent itemset is frequent, so both inner joins keep
     every rule.
     """
-    sizes = [known_rows(df) for df in lhs_levels]
-    bound = sum(sizes) if all(n is not None for n in sizes) else None
-    supports = broadcast_if_small(itemset_supports(lhs_levels)
-                                  .select(F.col("itemset").alias("lhs"), F.col("support").alias("lhs_count")),
-                                  rows=bound)
-    rhs = broadcast_if_small(items.select(F.col("item").alias("rhs"), F.col("support").alias("rhs_count")),
-                             rows=known_rows(items))
+    supports = itemset_supports(lhs_levels).select(F.col("itemset").alias("lhs"), F.col("support").alias("lhs_count"))
+    rhs = items.select(F.col("item").alias("rhs"), F.col("support").alias("rhs_count"))
     return rules.join(supports, "lhs").join(rhs, "rhs").select(
         "lhs", "rhs", "rule_count", "lhs_count", "rhs_count")
 
@@ -80,13 +76,13 @@ def rule_metrics(counts: DataFrame, n_baskets) -> DataFrame:
     n = _as_number(n_baskets).cast("double")
     c, l, h = (F.col(x).cast("double") for x in ("rule_count", "lhs_count", "rhs_count"))
     confidence = c / l
-    lower = F.greatest((l + h) / n - F.lit(1.0), F.lit(1.0) / n) / (l * h / (n * n))
-    upper = n / F.greatest(l, h)
+    least = F.greatest(F.col("lhs_count") + F.col("rhs_count") - _as_number(n_baskets).cast("long"), F.lit(1).cast("long"))
+    range_ = F.least("lhs_count", "rhs_count") - least
     return (counts
             .withColumn("confidence", confidence)
             .withColumn("interest", F.col("confidence") - h / n)
             .withColumn("lift", n * F.col("confidence") / h)
-            .withColumn("std_lift", F.try_divide(F.col("lift") - lower, upper - lower)))
+            .withColumn("std_lift", F.try_divide((F.col("rule_count") - least).cast("double"), range_.cast("double"))))
 
 
 def scored_rules(itemsets: DataFrame, items: DataFrame, lhs_levels: list[DataFrame],
@@ -110,19 +106,22 @@ def association_rules(items: DataFrame, pairs: DataFrame, triples: DataFrame | N
 
 
 def rule_lines(rules: DataFrame, dictionary: DataFrame, decimals: int = 6) -> DataFrame:
-    """``line`` = ``{a, b} -> {c}: std_lift, lift, confidence, interest`` with descriptions.
+    """``line`` = ``{a, b} -> {c}: std_lift, lift, confidence, interest``, best rule first.
 
-    Left sides have at most two items here (rules come from k <= 3), so each
+    An item without a description stands for itself. The order is made after
+    the lookups, which don't keep that of their input. Left sides have at most two items here (rules come from k <= 3), so each
     position is looked up by its own left join against the dictionary.
     """
-    d = broadcast_if_small(dictionary.select("item", "description"))
+    d = dictionary.select("item", "description")
     out = rules.select("*", F.try_element_at("lhs", F.lit(1)).alias("_l1"),
                        F.try_element_at("lhs", F.lit(2)).alias("_l2"))
     for key, name in (("_l1", "_d1"), ("_l2", "_d2"), ("rhs", "_dr")):
-        out = out.join(d.select(F.col("item").alias(key), F.col("description").alias(name)), key, "left")
+        out = (out.join(d.select(F.col("item").alias(key), F.col("description").alias(name)), key, "left")
+               .withColumn(name, F.coalesce(name, F.col(key).cast("string"))))
     fmt = f"%.{decimals}f"
     numbers = F.concat_ws(", ", *[F.format_string(fmt, F.col(m))
                                   for m in ("std_lift", "lift", "confidence", "interest")])
     line = F.concat(F.lit("{"), F.concat_ws(", ", "_d1", "_d2"), F.lit("} -> {"), F.col("_dr"),
                     F.lit("}: "), numbers)
-    return out.select(*RULE_COLUMNS, line.alias("line"))
+    return (out.select(*RULE_COLUMNS, line.alias("line"))
+            .orderBy(F.col("std_lift").desc(), F.col("lhs"), F.col("rhs")))

@@ -4,6 +4,7 @@ Basket relations (basket, item):
 
 * ``order_brand``      order  x  brand of the ordered part (25 items)
 * ``order_brand_type`` order  x  brand|type of the part (150 items)
+* ``customer_brand``   customer  x  brand of the parts the customer ordered (25 items, long baskets)
 * ``user_k``           user   x  value of ``props.k`` of the user's events (dense)
 
 Documents (doc_id, text) come from ``documents``.
@@ -33,6 +34,14 @@ def order_brand_type_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return basket_distinct(joined, "l_orderkey", "brand_type")
 
 
+def customer_brand_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    joined = li.join(part, li.l_partkey == part.p_partkey).join(orders, li.l_orderkey == orders.o_orderkey)
+    return basket_distinct(joined, "o_custkey", "p_brand")
+
+
 def user_k_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events").select(
         "user_id", F.get_json_object("props", "$.k").alias("k"))

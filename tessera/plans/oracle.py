@@ -23,6 +23,10 @@ ORDER_BRAND_TYPE = """SELECT DISTINCT l.l_orderkey AS basket, concat_ws('|', p.p
 USER_K = """SELECT DISTINCT user_id AS basket, json_extract_string(props, '$.k') AS item
   FROM events WHERE user_id IS NOT NULL AND json_extract_string(props, '$.k') IS NOT NULL"""
 
+CUSTOMER_BRAND = """SELECT DISTINCT o.o_custkey AS basket, p.p_brand AS item
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN orders o ON l.l_orderkey = o.o_orderkey
+  WHERE o.o_custkey IS NOT NULL AND p.p_brand IS NOT NULL"""
+
 DICTIONARY = """SELECT p_brand AS item, min(p_name) AS description FROM part
   WHERE p_brand IS NOT NULL GROUP BY p_brand"""
 
@@ -70,15 +74,16 @@ mx AS (SELECT lhs, rhs, rule_count, lhs_count, rhs_count,
        FROM (SELECT * FROM cnt2 UNION ALL SELECT * FROM cnt3)),
 my AS (SELECT *, c / l AS confidence FROM mx),
 mz AS (SELECT *, confidence - h / nn AS interest, nn * confidence / h AS lift,
-              greatest((l + h) / nn - 1.0::DOUBLE, 1.0::DOUBLE / nn) / (l * h / (nn * nn)) AS lo,
-              nn / greatest(l, h) AS hi FROM my),
+              greatest(lhs_count + rhs_count - (SELECT n FROM thr), 1) AS lo,
+              least(lhs_count, rhs_count) AS hi FROM my),
 met AS (SELECT lhs, rhs, rule_count, lhs_count, rhs_count, confidence, interest, lift,
-               CASE WHEN hi - lo = 0 THEN NULL ELSE (lift - lo) / (hi - lo) END AS std_lift
+               CASE WHEN hi = lo THEN NULL ELSE (rule_count - lo)::DOUBLE / (hi - lo)::DOUBLE END AS std_lift
         FROM mz)"""
 
 
 OB = reg.ORDER_BRAND_SUPPORT
 UK = reg.USER_K_SUPPORT
+CB = reg.CUSTOMER_BRAND_SUPPORT
 
 
 def _with(ctes: str, select: str) -> str:
@@ -103,6 +108,14 @@ WHERE EXISTS (SELECT 1 FROM f2 z WHERE z.item_1 = x.item_2 AND z.item_2 = y.item
     q["frequent_pairs_user_k"] = _with(_levels(USER_K, UK), "SELECT item_1, item_2, support FROM f2")
     q["frequent_triples_user_k"] = _with(_levels(USER_K, UK),
                                          "SELECT item_1, item_2, item_3, support FROM f3")
+    customers = _levels(CUSTOMER_BRAND, CB)
+    q["frequent_pairs_customer_brand"] = _with(customers, "SELECT item_1, item_2, support FROM f2")
+    q["candidate_triples_customer_brand"] = _with(customers, """
+SELECT x.item_1, x.item_2, y.item_2 AS item_3
+FROM f2 x JOIN f2 y ON x.item_1 = y.item_1 AND x.item_2 < y.item_2
+WHERE EXISTS (SELECT 1 FROM f2 z WHERE z.item_1 = x.item_2 AND z.item_2 = y.item_2)""")
+    q["frequent_triples_customer_brand"] = _with(customers, "SELECT item_1, item_2, item_3, support FROM f3")
+    q["association_rules_customer_brand"] = _with(_rules(CUSTOMER_BRAND, CB), "SELECT * FROM met WHERE std_lift >= 0")
     q["itemset_counts"] = _with(_levels(ORDER_BRAND, OB), """
 SELECT 1 AS k, count(*) AS n_itemsets FROM f1
 UNION ALL SELECT 2, count(*) FROM f2
@@ -132,7 +145,8 @@ FROM f2 t LEFT JOIN d d1 ON d1.item = t.item_1 LEFT JOIN d d2 ON d2.item = t.ite
     q["association_rules_user_k"] = _with(_rules(USER_K, UK),
                                           f"SELECT * FROM met WHERE std_lift >= {reg.MIN_STD_LIFT}")
     q["rule_lines"] = _with(rules + f",\nd AS ({DICTIONARY})", f"""
-SELECT '{{' || concat_ws(', ', d1.description, d2.description) || '}} -> {{' || dr.description || '}}: '
+SELECT '{{' || concat_ws(', ', coalesce(d1.description, split_part(m.lhs, ',', 1)),
+         coalesce(d2.description, nullif(split_part(m.lhs, ',', 2), ''))) || '}} -> {{' || coalesce(dr.description, m.rhs) || '}}: '
        || printf('%.6f', m.std_lift) || ', ' || printf('%.6f', m.lift) || ', '
        || printf('%.6f', m.confidence) || ', ' || printf('%.6f', m.interest) AS line
 FROM met m
@@ -143,9 +157,8 @@ WHERE m.std_lift >= {reg.MIN_STD_LIFT}""")
     return q
 
 
-def _similarity_ctes() -> str:
+def _similarity_ctes(p: reg.LshParams = reg.LSH) -> str:
     """CTEs d, chars, win, sh, sizes, params, mh, bands, cand, inter, psim."""
-    p = reg.LSH
     k, t = p.shingle_size, p.threshold
     weights = shingle_weights(k)
     poly = " + ".join(["c * %d" % weights[0]]
@@ -176,15 +189,16 @@ psim AS (SELECT i.first, i.second,
 simp AS (SELECT * FROM psim WHERE similarity >= {t})"""
 
 
-def _quality_ctes() -> str:
+def _quality_ctes(p: reg.LshParams = reg.LSH, fraction: float = reg.FPFN_FRACTION,
+                  n_rounds: int = reg.FPFN_ROUNDS) -> str:
     """CTEs rounds, samp, spairs, sjac, fp, fn on top of the similarity CTEs."""
-    t = reg.LSH.threshold
-    seed = reg.LSH.seed
-    return _similarity_ctes() + f""",
-rounds AS (SELECT range::INTEGER AS round FROM range(0, {reg.FPFN_ROUNDS})),
+    t = p.threshold
+    seed = p.seed
+    return _similarity_ctes(p) + f""",
+rounds AS (SELECT range::INTEGER AS round FROM range(0, {n_rounds})),
 samp AS (SELECT r.round, d.doc_id FROM d CROSS JOIN rounds r
          WHERE ('0x' || substr(md5(d.doc_id::VARCHAR || ':' || ({seed} + r.round)::VARCHAR), 1, 8))::BIGINT
-               / 4294967296.0 < {reg.FPFN_FRACTION}),
+               / 4294967296.0 < {fraction}),
 spairs AS (SELECT s1.round, s1.doc_id AS first, s2.doc_id AS second
            FROM samp s1 JOIN samp s2 ON s1.round = s2.round AND s1.doc_id < s2.doc_id),
 sinter AS (SELECT p.round, p.first, p.second, count(b.shingle) AS common
@@ -269,6 +283,13 @@ WHERE e.similarity >= {t}
     q["fpfn_analysis"] = _with(qual, f"""
 SELECT count(*) AS rounds, {reg.FPFN_FRACTION}::DOUBLE AS fraction,
        avg(fp_rate) AS avg_fp_rate, avg(fn_rate) AS avg_fn_rate
+FROM fp JOIN fn USING (round)""")
+    weak = _quality_ctes(reg.WEAK_LSH, reg.WEAK_FRACTION, reg.WEAK_ROUNDS)
+    q["false_negatives_weak"] = _with(weak, "SELECT * FROM fnp")
+    q["false_negative_rate_weak"] = _with(weak, "SELECT * FROM fn")
+    q["fpfn_analysis_weak"] = _with(weak, f"""
+SELECT count(*) AS rounds, {reg.WEAK_FRACTION}::DOUBLE AS fraction,
+       avg(fp_rate) AS avg_fp_rate, avg(fn_rate) AS avg_fn_rate
 FROM fp JOIN fn USING (round)""")
     return q
 

@@ -23,12 +23,16 @@ from tessera.plans.near_duplicates import LshParams, analyze_quality, exact_key_
 # Fixed job parameters (relative supports keep their meaning across scale factors).
 ORDER_BRAND_SUPPORT = 0.004      # fraction of orders
 USER_K_SUPPORT = 0.16            # fraction of users
+CUSTOMER_BRAND_SUPPORT = 0.55    # fraction of customers: prunes pairs and triples
 PRUNE_SUPPORT = 0.025            # order x brand|type: leaves a strict subset of items
 MIN_STD_LIFT = 0.2
 TOP_N = 10
 LSH = LshParams()                # k = 9, b = 13, r = 11, seed = 1, threshold = 0.85
 FPFN_FRACTION = 0.1
 FPFN_ROUNDS = 3
+WEAK_LSH = LshParams(bands=2, rows=25)   # misses pairs, so that there are false negatives to report
+WEAK_FRACTION = 0.3
+WEAK_ROUNDS = 2
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,22 +53,35 @@ def _memo(spark: SparkSession, key: tuple, build):
     return _CACHE[full]
 
 
+_BASKETS = {
+    "order_brand": (catalog.order_brand_baskets, ORDER_BRAND_SUPPORT),
+    "user_k": (catalog.user_k_baskets, USER_K_SUPPORT),
+    "customer_brand": (catalog.customer_brand_baskets, CUSTOMER_BRAND_SUPPORT),
+}
+
+
 def _mined(spark, sf_dir, kind="order_brand", max_k=3):
-    def build():
-        if kind == "order_brand":
-            return mine_itemsets(catalog.order_brand_baskets(spark, sf_dir), ORDER_BRAND_SUPPORT, 3)
-        return mine_itemsets(catalog.user_k_baskets(spark, sf_dir), USER_K_SUPPORT, 3)
-    return _memo(spark, ("itemsets", sf_dir, kind), build)
+    """Levels up to ``max_k``; a run that went further is used where there is one."""
+    baskets, support = _BASKETS[kind]
+    for k in range(3, max_k, -1):
+        if (found := _CACHE.get((spark.sparkContext.applicationId, "itemsets", sf_dir, kind, support, k))) is not None:
+            return found
+    return _memo(spark, ("itemsets", sf_dir, kind, support, max_k),
+                 lambda: mine_itemsets(baskets(spark, sf_dir), support, max_k))
+
+
+def _near_dups(spark, sf_dir, params=LSH):
+    return _memo(spark, ("near_dups", sf_dir, params),
+                 lambda: find_near_duplicates(catalog.documents(spark, sf_dir), params))
 
 
-def _near_dups(spark, sf_dir):
-    return _memo(spark, ("near_dups", sf_dir),
-                 lambda: find_near_duplicates(catalog.documents(spark, sf_dir), LSH))
+def _quality(spark, sf_dir, params=LSH, fraction=FPFN_FRACTION, rounds=FPFN_ROUNDS):
+    return _memo(spark, ("quality", sf_dir, params, fraction, rounds),
+                 lambda: analyze_quality(_near_dups(spark, sf_dir, params), fraction, rounds))
 
 
-def _quality(spark, sf_dir):
-    return _memo(spark, ("quality", sf_dir),
-                 lambda: analyze_quality(_near_dups(spark, sf_dir), FPFN_FRACTION, FPFN_ROUNDS))
+def _exact(spark, sf_dir):
+    return _memo(spark, ("exact", sf_dir, LSH), lambda: exact_key_pairs(_near_dups(spark, sf_dir)))
 
 
 def _flat_rules(df: DataFrame) -> DataFrame:
@@ -121,6 +138,23 @@ def q_frequent_triples_user_k(spark, sf_dir):
     return _mined(spark, sf_dir, "user_k").triples
 
 
+def q_frequent_pairs_customer_brand(spark, sf_dir):
+    return _mined(spark, sf_dir, "customer_brand", max_k=2).pairs
+
+
+def q_candidate_triples_customer_brand(spark, sf_dir):
+    return its.candidate_triples(_mined(spark, sf_dir, "customer_brand", max_k=2).pairs)
+
+
+def q_frequent_triples_customer_brand(spark, sf_dir):
+    return _mined(spark, sf_dir, "customer_brand").triples
+
+
+def q_association_rules_customer_brand(spark, sf_dir):
+    m = _mined(spark, sf_dir, "customer_brand")
+    return _flat_rules(rl.association_rules(m.items, m.pairs, m.triples, m.n_baskets(), 0.0))
+
+
 def q_itemset_counts(spark, sf_dir):
     return its.itemset_counts(_mined(spark, sf_dir).levels)
 
@@ -193,6 +227,10 @@ MARKET_BASKET: dict[str, Query] = {
     "frequent_triples": q_frequent_triples,
     "frequent_pairs_user_k": q_frequent_pairs_user_k,
     "frequent_triples_user_k": q_frequent_triples_user_k,
+    "frequent_pairs_customer_brand": q_frequent_pairs_customer_brand,
+    "candidate_triples_customer_brand": q_candidate_triples_customer_brand,
+    "frequent_triples_customer_brand": q_frequent_triples_customer_brand,
+    "association_rules_customer_brand": q_association_rules_customer_brand,
     "itemset_counts": q_itemset_counts,
     "top_pairs": q_top_pairs,
     "top_triples": q_top_triples,
@@ -215,7 +253,7 @@ def q_doc_length_filter(spark, sf_dir):
 
 
 def q_shingles(spark, sf_dir):
-    sh = _near_dups(spark, sf_dir).shingles
+    sh = _near_dups(spark, sf_dir).shingles()
     return sh.select("doc_id", F.explode("shingles").alias("shingle"))
 
 
@@ -261,13 +299,13 @@ def q_similar_to(spark, sf_dir):
 
 def q_exact_similar_pairs(spark, sf_dir):
     nd = _near_dups(spark, sf_dir)
-    return nd.expand(exact_key_pairs(nd), {"similarity": 1.0})
+    return nd.expand(_exact(spark, sf_dir), {"similarity": 1.0})
 
 
 def q_false_negatives_corpus(spark, sf_dir):
     """Pairs with Jaccard >= threshold over the whole corpus that LSH did not propose."""
     nd = _near_dups(spark, sf_dir)
-    fn_keys = qa.false_negative_key_pairs(exact_key_pairs(nd), nd.key_candidates)
+    fn_keys = qa.false_negative_key_pairs(_exact(spark, sf_dir), nd.key_candidates)
     return nd.expand(fn_keys, include_copies=False)
 
 
@@ -291,6 +329,18 @@ def q_fpfn_analysis(spark, sf_dir):
     return _quality(spark, sf_dir).summary
 
 
+def q_false_negatives_weak(spark, sf_dir):
+    return _quality(spark, sf_dir, WEAK_LSH, WEAK_FRACTION, WEAK_ROUNDS).fn_pairs
+
+
+def q_false_negative_rate_weak(spark, sf_dir):
+    return _quality(spark, sf_dir, WEAK_LSH, WEAK_FRACTION, WEAK_ROUNDS).fn
+
+
+def q_fpfn_analysis_weak(spark, sf_dir):
+    return _quality(spark, sf_dir, WEAK_LSH, WEAK_FRACTION, WEAK_ROUNDS).summary
+
+
 NEAR_DUPLICATES: dict[str, Query] = {
     "doc_length_filter": q_doc_length_filter,
     "shingles": q_shingles,
@@ -309,6 +359,9 @@ NEAR_DUPLICATES: dict[str, Query] = {
     "false_negatives": q_false_negatives,
     "false_negative_rate": q_false_negative_rate,
     "fpfn_analysis": q_fpfn_analysis,
+    "false_negatives_weak": q_false_negatives_weak,
+    "false_negative_rate_weak": q_false_negative_rate_weak,
+    "fpfn_analysis_weak": q_fpfn_analysis_weak,
 }
 
 

@@ -15,7 +15,7 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def write_rule_lines(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One text line per rule (the ``line`` column of ``rule_lines``)."""
+    """One text line per rule (the ``line`` column of ``rule_lines``), in the order of the frame over the part files."""
     lines.select("line").write.mode(mode).text(path)
 
 
@@ -27,6 +27,8 @@ def write_top_itemsets_tsv(top: DataFrame, path: str, label: str, mode: str = "o
     single ordered file.
     """
     descs = sorted(c for c in top.columns if c.startswith("description"))
-    listing = F.concat(F.lit("['"), F.concat_ws("', '", *[F.col(c) for c in descs]), F.lit("']"))
+    # an item without a description stands for itself
+    named = [F.coalesce(F.col(c), F.col(c.replace("description", "item")).cast("string")) for c in descs]
+    listing = F.concat(F.lit("['"), F.concat_ws("', '", *named), F.lit("']"))
     (top.orderBy("rank").select(listing.alias(label), F.col("support").alias("count"))
      .coalesce(1).write.mode(mode).option("sep", "\t").option("header", True).csv(path))

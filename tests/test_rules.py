@@ -83,3 +83,44 @@ def test_rule_lines_format(spark):
     assert line == "{Alpha, Beta} -> {Gamma}: 0.125000, 1.500000, 0.500000, 0.250000"
     one = rules.withColumn("lhs", F.array(F.lit("a")))
     assert rl.rule_lines(one, d).first().line.startswith("{Alpha} -> {Gamma}: ")
+
+
+def test_standardised_lift_is_null_for_universal_items(spark):
+    """An item in every basket leaves no range for the lift, whatever the numbers."""
+    rows = [(n, h, h) for n in range(1, 61) for h in range(1, n)]
+    df = spark.createDataFrame(rows, "n long, rule_count long, rhs_count long").withColumn("lhs_count", F.col("n"))
+    out = rl.rule_metrics(df, F.col("n"))
+    assert out.filter("std_lift IS NOT NULL").count() == 0
+
+
+def test_standardised_lift_equals_its_definition(spark):
+    from fractions import Fraction
+
+    rows = [(n, l, h, c) for n in (7, 10, 13) for l in range(1, n) for h in range(1, n)
+            for c in range(max(l + h - n, 1), min(l, h) + 1)]
+    df = spark.createDataFrame(rows, "n long, lhs_count long, rhs_count long, rule_count long")
+    for r in rl.rule_metrics(df, F.col("n")).collect():
+        n, l, h, c = r.n, r.lhs_count, r.rhs_count, r.rule_count
+        lift, bound = Fraction(n * c, l * h), Fraction(n * n, l * h)
+        lower, upper = max(Fraction(l + h, n) - 1, Fraction(1, n)) * bound, Fraction(n, max(l, h))
+        assert (r.std_lift is None) == (upper == lower)
+        if r.std_lift is not None:
+            assert abs(r.std_lift - float((lift - lower) / (upper - lower))) < 1e-12
+
+
+def test_rule_lines_are_ordered_and_keep_unlabelled_items(spark, tmp_path):
+    from tessera.sources import sinks
+
+    rules = spark.createDataFrame(
+        [(["a", "b"], "c", 1, 1, 1, 0.5, 0.1, 1.0, x / 100) for x in range(100)]
+        + [(["a"], "b", 1, 1, 1, 0.5, 0.1, 1.0, 2.0)],
+        "lhs array<string>, rhs string, rule_count long, lhs_count long, rhs_count long, "
+        "confidence double, interest double, lift double, std_lift double").repartition(7)
+    dictionary = spark.createDataFrame([("a", None), ("b", "B")], "item string, description string")
+    sinks.write_rule_lines(rl.rule_lines(rules, dictionary), str(tmp_path / "lines"))
+    parts = sorted(p for p in (tmp_path / "lines").iterdir() if p.name.startswith("part-"))
+    lines = [x for p in parts for x in p.read_text().splitlines()]
+    assert lines[0].startswith("{a} -> {B}: 2.000000") and len(lines) == 101
+    assert all(x.startswith("{a, B} -> {c}: ") for x in lines[1:])
+    lifts = [float(x.split(": ")[1].split(",")[0]) for x in lines]
+    assert lifts == sorted(lifts, reverse=True)
