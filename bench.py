@@ -2,7 +2,8 @@
 
 env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Each job runs end to end from the Parquet tables (intermediate results are
-materialised in the checkpoint folder as in production) and its final
+materialised in the checkpoint folder as in production and deleted after it;
+the FP/FN and exact jobs include their own shingling and LSH) and its final
 result is fully computed into a no-op sink. One untimed pass of all jobs
 over the smallest scale factor (sf0.001) runs first, so the timings measure
 steady-state throughput rather than JVM start-up and JIT compilation.
@@ -25,7 +26,7 @@ from tessera.functions.hashing import shingle_hashes  # noqa: E402
 from tessera.plans import catalog, registry  # noqa: E402
 from tessera.plans.market_basket import mine_itemsets, rules_for  # noqa: E402
 from tessera.plans.near_duplicates import analyze_quality, exact_key_pairs, find_near_duplicates  # noqa: E402
-from tessera.session import local_session  # noqa: E402
+from tessera.session import ensure_checkpoint_dir, local_session  # noqa: E402
 
 
 def _sink(df) -> None:
@@ -36,11 +37,11 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus))
+    ensure_checkpoint_dir(spark)
     # start the Python workers once, outside the timings
     _sink(spark.range(64).repartition(cpus).select(shingle_hashes(F.lit("warm up the workers"), 9)))
 
     timings: dict[str, float] = {}
-    state: dict = {}
     warmup_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     run_dir = [warmup_dir]
 
@@ -49,30 +50,38 @@ def main() -> None:
         fn()
         timings[name] = round(time.perf_counter() - t0, 3)
 
-    def market_basket():
-        m = mine_itemsets(catalog.order_brand_baskets(spark, run_dir[0]), registry.ORDER_BRAND_SUPPORT)
-        _sink(rules_for(m, registry.MIN_STD_LIFT))
-
-    def market_basket_dense():
-        m = mine_itemsets(catalog.user_k_baskets(spark, run_dir[0]), registry.USER_K_SUPPORT)
+    def mined(baskets, support):
+        m = mine_itemsets(baskets, support)
         _sink(rules_for(m, registry.MIN_STD_LIFT))
+        m.release()
 
-    def near_duplicates():
+    def near(use):
         nd = find_near_duplicates(catalog.documents(spark, run_dir[0]), registry.LSH)
-        _sink(nd.similar_pairs())
-        state["nd"] = nd
+        use(nd)
+        nd.release()
 
-    def fpfn():
-        report = analyze_quality(state["nd"], registry.FPFN_FRACTION, registry.FPFN_ROUNDS)
+    def fpfn(nd):
+        report = analyze_quality(nd, registry.FPFN_FRACTION, registry.FPFN_ROUNDS)
         _sink(report.summary)
         _sink(report.fn_pairs)
 
+    def market_basket():
+        mined(catalog.order_brand_baskets(spark, run_dir[0]), registry.ORDER_BRAND_SUPPORT)
+
+    def market_basket_dense():
+        mined(catalog.user_k_baskets(spark, run_dir[0]), registry.USER_K_SUPPORT)
+
+    def near_duplicates():
+        near(lambda nd: _sink(nd.similar_pairs()))
+
+    def fpfn_rounds():
+        near(fpfn)
+
     def exact_pairs():
-        nd = state["nd"]
-        _sink(nd.expand(exact_key_pairs(nd), {"similarity": 1.0}))
+        near(lambda nd: _sink(nd.expand(exact_key_pairs(nd), {"similarity": 1.0})))
 
     jobs = [("itemsets_rules_order_brand", market_basket), ("itemsets_rules_user_k", market_basket_dense),
-            ("lsh_similar_pairs", near_duplicates), ("fpfn_analysis", fpfn),
+            ("lsh_similar_pairs", near_duplicates), ("fpfn_analysis", fpfn_rounds),
             ("exact_similar_pairs", exact_pairs)]
     if os.path.isdir(warmup_dir) and warmup_dir.rstrip("/") != sf_dir:
         for _, fn in jobs:

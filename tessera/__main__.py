@@ -19,9 +19,14 @@ from pyspark.sql import functions as F
 
 from tessera.plans.jobs import market_basket_job, near_duplicate_job
 from tessera.plans.near_duplicates import LshParams
+from tessera.plans.registry import MIN_STD_LIFT
 from tessera.sources.readers import read_conditions_csv, read_documents_json
 
 
+# The option names of the two command lines. Defaults are those of the library.
+_LSH = LshParams()
+
+
 def _parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="tessera")
     sub = ap.add_subparsers(dest="job", required=True)
@@ -30,15 +35,15 @@ def _parser() -> argparse.ArgumentParser:
     mb.add_argument("--out", required=True)
     mb.add_argument("-s", "--support", type=float, default=1000,
                     help="absolute support (>= 1) or fraction of baskets (< 1)")
-    mb.add_argument("-l", "--standardised-lift", type=float, default=0.2)
+    mb.add_argument("-l", "--standardised-lift", type=float, default=MIN_STD_LIFT)
     nd = sub.add_parser("near-duplicates", help="MinHash LSH near-duplicate detection")
     nd.add_argument("file")
     nd.add_argument("--out", required=True)
-    nd.add_argument("-k", type=int, default=9)
-    nd.add_argument("-b", "--bands", type=int, default=13)
-    nd.add_argument("-r", "--rows", type=int, default=11)
-    nd.add_argument("-s", "--seed", type=int, default=1)
-    nd.add_argument("--similarity-threshold", type=float, default=0.85)
+    nd.add_argument("-k", type=int, default=_LSH.shingle_size)
+    nd.add_argument("-b", "--bands", type=int, default=_LSH.bands)
+    nd.add_argument("-r", "--rows", type=int, default=_LSH.rows)
+    nd.add_argument("-s", "--seed", type=int, default=_LSH.seed)
+    nd.add_argument("--similarity-threshold", type=float, default=_LSH.threshold)
     nd.add_argument("--similar-to", default=None)
     nd.add_argument("--fpfn-analysis", action="store_true")
     nd.add_argument("--fpfn-analysis-samples", type=int, default=1)
@@ -58,7 +63,7 @@ def main(argv: list[str] | None = None) -> int:
     params = LshParams(args.k, args.bands, args.rows, args.seed, args.similarity_threshold)
     query = None
     if args.similar_to is not None:
-        query = docs.select("tweet_id").filter(F.col("tweet_id") == F.lit(args.similar_to))
+        query = docs.select("tweet_id").filter(F.col("tweet_id").cast("string") == F.lit(args.similar_to))
     near_duplicate_job(docs, args.out, "tweet_id", "text", params, query,
                        args.fpfn_analysis_fraction if args.fpfn_analysis else None,
                        args.fpfn_analysis_samples)

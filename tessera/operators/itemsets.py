@@ -7,14 +7,13 @@ baskets containing them); :func:`itemset_array` gives the sorted-array form.
 Plan shape (no UDF, no driver collection):
 
 * level 1 is a partial+final hash aggregation on ``item``;
-* pruning by monotonicity is a ``left_semi`` join against the frequent level
-  (broadcast only behind a size check);
+* pruning by monotonicity is a ``left_semi`` join against the frequent level;
 * level 2 is an equi self-join of the pruned relation on ``basket`` with
   ``l.item < r.item`` followed by a partial+final count per pair. Both join
   sides are one exchange (reused), and AQE's skew-join splits a hot basket;
-* level 3 self-joins the per-basket *frequent* pairs on ``(basket, item_1)``
-  and keeps triples whose third pair is frequent too (semi join), so only
-  candidates whose three 2-subsets are frequent are ever counted.
+* level 3 self-joins the per-basket *frequent* pairs on ``(basket, item_1)``,
+  counts the triples, and keeps those whose third pair is frequent too (semi
+  join of the counted rows, so no raw triple is shuffled for it).
 
 Support thresholds are absolute counts (``int``) or a fraction of the number
 of baskets (``float`` in (0, 1)); a fraction becomes a scalar subquery, so the
@@ -30,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.operators.joins import broadcast_if_small, known_rows, pairs_within_groups
+from tessera.operators.joins import known_rows, pairs_within_groups
 
 Support = Union[int, float]
 
@@ -86,21 +85,14 @@ def frequent_items(baskets: DataFrame, min_support: Support, n_baskets: int | No
 
 def prune_infrequent(baskets: DataFrame, items: DataFrame) -> DataFrame:
     """Keep the basket rows whose item is in ``items`` (A-priori monotonicity)."""
-    keep = broadcast_if_small(items.select("item"), rows=known_rows(items))
-    return baskets.join(keep, "item", "left_semi").select("basket", "item")
+    return baskets.join(items.select("item"), "item", "left_semi").select("basket", "item")
 
 
-def basket_itemlists(baskets: DataFrame, items: DataFrame,
-                     max_items: int = 100_000) -> DataFrame:
+def basket_itemlists(baskets: DataFrame, items: DataFrame) -> DataFrame:
     """``(basket, items)`` with the sorted array of the basket's frequent items.
 
-    An array is only built when its length is provably bounded: every list is
-    a subset of ``items``, whose size is checked against ``max_items`` first.
+    The lists are the result; each is as long as its own basket.
     """
-    n_items = known_rows(items)
-    n_items = n_items if n_items is not None else items.limit(max_items + 1).count()
-    if n_items > max_items:
-        raise ValueError(f"more than {max_items} frequent items; per-basket lists are unbounded")
     pruned = prune_infrequent(baskets, items)
     return pruned.groupBy("basket").agg(F.array_sort(F.collect_list("item")).alias("items"))
 
@@ -140,8 +132,7 @@ def pairs_of_pruned(pruned: DataFrame, baskets: DataFrame, min_support: Support,
 # --------------------------------------------------------------------------- level 3
 
 def _semi_on_pair(df: DataFrame, pairs: DataFrame, first: str, second: str) -> DataFrame:
-    keep = broadcast_if_small(pairs.select(F.col("item_1").alias(first), F.col("item_2").alias(second)),
-                              rows=known_rows(pairs))
+    keep = pairs.select(F.col("item_1").alias(first), F.col("item_2").alias(second))
     return df.join(keep, [first, second], "left_semi")
 
 
@@ -163,7 +154,9 @@ def frequent_triples(baskets: DataFrame, items: DataFrame, pairs: DataFrame,
 
     Per basket, the frequent pairs present are joined with themselves on
     ``(basket, item_1)``; the resulting ``(a, b, c)`` have ``ab`` and ``ac``
-    frequent, and a semi join keeps those with ``bc`` frequent as well.
+    frequent. They are counted first (partial aggregation, one row per
+    triple), and a semi join of the counted rows keeps those with ``bc``
+    frequent as well.
     """
     return triples_of_pruned(prune_infrequent(baskets, items), pairs, baskets, min_support, n_baskets,
                              known_rows(items))
@@ -175,8 +168,9 @@ def triples_of_pruned(pruned: DataFrame, pairs: DataFrame, baskets: DataFrame, m
     present = _semi_on_pair(basket_pairs(pruned, max_items), pairs, "item_1", "item_2")
     rows = (pairs_within_groups(present, ["basket", "item_1"], "item_2", max_group=max_items)
             .select("item_1", F.col("first").alias("item_2"), F.col("second").alias("item_3")))
-    rows = _semi_on_pair(rows, pairs, "item_2", "item_3")
-    return count_itemsets(rows, ["item_1", "item_2", "item_3"], baskets, min_support, n_baskets)
+    counted = count_itemsets(rows, ["item_1", "item_2", "item_3"], baskets, min_support, n_baskets)
+    return (_semi_on_pair(counted, pairs, "item_2", "item_3")
+            .select("item_1", "item_2", "item_3", "support"))
 
 
 # --------------------------------------------------------------------------- encoding
@@ -193,18 +187,16 @@ def item_codes(items: DataFrame) -> DataFrame:
 
 def encode_baskets(baskets: DataFrame, codes: DataFrame) -> DataFrame:
     """``(basket, item=code)`` for the rows whose item has a code (i.e. is frequent)."""
-    c = broadcast_if_small(codes, rows=known_rows(codes))
-    return baskets.join(c, "item").select("basket", F.col("code").alias("item"))
+    return baskets.join(codes, "item").select("basket", F.col("code").alias("item"))
 
 
 def decode_itemsets(encoded: DataFrame, codes: DataFrame) -> DataFrame:
     """Replace the codes in ``item_i`` columns by the items (one join per column)."""
-    c = broadcast_if_small(codes, rows=known_rows(codes))
     cols = [x for x in ("item_1", "item_2", "item_3") if x in encoded.columns]
     out = encoded
     for x in cols:
         out = (out.withColumnRenamed(x, f"_{x}")
-               .join(c.select(F.col("code").alias(f"_{x}"), F.col("item").alias(x)), f"_{x}").drop(f"_{x}"))
+               .join(codes.select(F.col("code").alias(f"_{x}"), F.col("item").alias(x)), f"_{x}").drop(f"_{x}"))
     return out.select(*cols, "support")
 
 
@@ -244,8 +236,6 @@ def _attach_descriptions(frame: DataFrame, dictionary: DataFrame, bounded_rows:
         # the items it mentions (<= 3 * bounded_rows rows) and broadcast that.
         wanted = F.broadcast(frame.select(F.explode(F.array(*cols)).alias("item")).distinct())
         d = F.broadcast(d.join(wanted, "item", "left_semi"))
-    else:
-        d = broadcast_if_small(d, rows=known_rows(dictionary))
     for c in cols:
         frame = frame.join(d.select(F.col("item").alias(c), F.col("description").alias(_description_name(c))),
                            c, "left")

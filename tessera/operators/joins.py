@@ -1,32 +1,16 @@
-"""Join helpers: broadcast only behind a size check, with a shuffle join beyond it."""
+"""Join helpers: parallelism of small inputs and pairs inside and across groups.
+
+No side is broadcast by hand: materialised tables carry their file sizes and
+shuffled ones their runtime sizes, so Catalyst and adaptive execution
+broadcast what is below ``spark.sql.autoBroadcastJoinThreshold`` in bytes and
+shuffle the rest.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when it has at most this many rows. At the narrow
-# schemas used here (a few ids and counts, < 100 bytes a row) this stays well
-# below the executor-side broadcast limits.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                       rows: int | None = None) -> DataFrame:
-    """Mark ``df`` for broadcast iff it provably has at most ``max_rows`` rows.
-
-    ``rows`` is an upper bound known to the caller (e.g. the recorded count of
-    the materialised table ``df`` is projected from); otherwise the recorded
-    count of ``df`` or a bounded count (``limit(max_rows + 1)``) is used.
-    Larger frames are returned unchanged and joined by shuffle (sort-merge,
-    with AQE skew splitting).
-    """
-    if rows is None:
-        rows = getattr(df, "_tessera_rows", None)
-    if rows is None:
-        rows = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if rows <= max_rows else df
-
 
 def known_rows(df: DataFrame) -> int | None:
     """The row count recorded when ``df`` was materialised, if any."""
@@ -38,13 +22,13 @@ def ensure_parallelism(df: DataFrame, key: str, factor: int = 2) -> DataFrame:
 
     A few-megabyte text table can arrive as one Parquet split although each
     row costs milliseconds of CPU (shingling, MinHash). When the input has
-    fewer partitions than the cluster's default parallelism it is hash
-    partitioned by ``key`` (deterministic under task retries); on large
-    inputs, which already have more splits than slots, nothing changes and
-    no shuffle is added.
+    fewer files than the cluster's default parallelism it is hash
+    partitioned by ``key`` (deterministic under task retries). Only the file
+    listing is consulted, so no job runs; inputs of many files, and inputs
+    that are larger than a split per slot, are left as they are.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    if len(df.inputFiles()) >= slots:
         return df
     return df.repartition(slots * factor, key)
 
@@ -70,12 +54,12 @@ def pairs_within_groups(df: DataFrame, group_cols: list[str], member_col: str,
     each member are returned as ``<c>_1`` and ``<c>_2``.
 
     ``max_group`` is a proven upper bound of the group sizes (e.g. the item
-    vocabulary for baskets); without it, one narrow aggregation measures the
-    largest group. When every group fits one cell, the plain equi self-join is
+    vocabulary for baskets); without it, or when it doesn't settle the
+    question, one narrow aggregation measures the largest group. When every group fits one cell, the plain equi self-join is
     planned instead (one exchange, reused by both sides).
     """
     carry = carry or []
-    if max_group is None:
+    if max_group is None or max_group > cell:
         max_group = (df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_m"))
                      .agg(F.max("_m").alias("_mx")).first()["_mx"]) or 0
     if max_group <= cell:

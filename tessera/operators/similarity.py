@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tessera.functions.hashing import hash_family, minhash_signature, shingle_hashes
 from tessera.functions.setsim import jaccard, matching_positions
 from tessera.operators.joins import ensure_parallelism, pairs_within_groups
+from tessera.sources.storage import materialize
 
 # Defaults of the job (shingle size, bands, rows per band, seed, threshold).
 SHINGLE_SIZE = 9
@@ -87,10 +88,15 @@ def buckets(band_rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def candidate_pairs(band_rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``(first, second)``: distinct id pairs sharing at least one band bucket.
 
-    Pairs inside a bucket come from a grid-salted self-join (a hot bucket is
-    spread over many tasks), then one distinct over all bands.
+    The rows of buckets with more than one member are stored once, and the
+    largest bucket is observed in that pass. Pairs inside a bucket come from a
+    self-join, grid-salted if that size asks for it (a hot bucket is spread
+    over many tasks), then one distinct over all bands.
     """
-    return (pairs_within_groups(band_rows.select("band", "bucket", id_col), ["band", "bucket"], id_col)
+    crowded = materialize(buckets(band_rows.select("band", "bucket", id_col), id_col), "crowded_buckets",
+                          {"largest": F.max("bucket_size")})
+    largest = int(crowded._tessera_metrics["largest"] or 0)
+    return (pairs_within_groups(crowded, ["band", "bucket"], id_col, max_group=largest)
             .select("first", "second").distinct())
 
 

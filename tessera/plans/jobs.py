@@ -9,7 +9,8 @@ gzip Parquet, optionally the partners of given documents and a
 false-positive / false-negative report over seeded samples.
 
 Outputs are written by the executors to the given folder (any Hadoop file
-system); results are returned as DataFrames as well.
+system); the returned DataFrames read those outputs, and the intermediate
+tables of a job are deleted when it is done.
 """
 
 from __future__ import annotations
@@ -22,15 +23,15 @@ from pyspark.sql import functions as F
 from tessera.operators import itemsets as its
 from tessera.operators import rules as rl
 from tessera.operators import similarity as sim
-from tessera.plans.market_basket import Itemsets, mine_itemsets
-from tessera.plans.near_duplicates import (LshParams, NearDuplicates, QualityReport, analyze_quality,
-                                           find_near_duplicates)
+from tessera.plans.market_basket import mine_itemsets
+from tessera.plans.near_duplicates import LshParams, analyze_quality, find_near_duplicates
 from tessera.sources import sinks
 
 
 @dataclass
 class MarketBasketOutput:
-    itemsets: Itemsets
+    levels: dict[int, DataFrame]   # k -> (items, item..., support)
+    n_baskets: int
     rules: DataFrame
     lines: DataFrame
 
@@ -39,7 +40,7 @@ def market_basket_job(events: DataFrame, out_dir: str, basket_col: str, item_col
                       description_col: str | None = None, min_support: its.Support = 1000,
                       min_std_lift: float = 0.2, top_n: int = 10) -> MarketBasketOutput:
     """Mine itemsets k <= 3 and rules from ``(basket, item[, description])`` rows."""
-    out = out_dir.rstrip("/")
+    spark, out = events.sparkSession, out_dir.rstrip("/")
     if description_col:
         dictionary = its.item_dictionary(events, item_col, description_col)
     else:
@@ -54,35 +55,40 @@ def market_basket_job(events: DataFrame, out_dir: str, basket_col: str, item_col
     sinks.write_top_itemsets_tsv(its.top_itemsets(mined.triples, dictionary, top_n), f"{out}/most_frequent_k3",
                                  "triple")
     rules = rl.association_rules(mined.items, mined.pairs, mined.triples, mined.n_baskets(), min_std_lift)
-    lines = rl.rule_lines(rules, dictionary)
-    sinks.write_rule_lines(lines, f"{out}/association_rules")
-    return MarketBasketOutput(mined, rules, lines)
+    sinks.write_parquet(rules, f"{out}/rules")
+    rules = spark.read.parquet(f"{out}/rules")
+    sinks.write_rule_lines(rl.rule_lines(rules, dictionary), f"{out}/association_rules")
+    mined.release()
+    return MarketBasketOutput({k: spark.read.parquet(f"{out}/frequent_k{k}") for k in mined.levels}, mined.n_baskets(),
+                              rules, spark.read.text(f"{out}/association_rules").withColumnRenamed("value", "line"))
 
 
 @dataclass
 class NearDuplicateOutput:
-    result: NearDuplicates
+    signatures: DataFrame
     similar_pairs: DataFrame
     lookup: DataFrame | None
-    quality: QualityReport | None
+    quality: DataFrame | None      # one row: both rates averaged over the rounds
 
 
 def near_duplicate_job(docs: DataFrame, out_dir: str, id_col: str = "doc_id", text_col: str = "text",
                        params: LshParams = LshParams(), similar_to: DataFrame | None = None,
                        fpfn_fraction: float | None = None, fpfn_rounds: int = 1) -> NearDuplicateOutput:
     """Signatures, verified similar pairs, optional lookup and FP/FN analysis."""
-    out = out_dir.rstrip("/")
+    spark, out = docs.sparkSession, out_dir.rstrip("/")
     nd = find_near_duplicates(docs, params, id_col, text_col)
     sinks.write_parquet(nd.signatures.select(F.col("doc_id").alias(id_col), "signature"), f"{out}/minhash")
-    pairs = nd.similar_pairs()
-    sinks.write_parquet(pairs, f"{out}/similar_pairs")
-    lookup = None
+    sinks.write_parquet(nd.similar_pairs(), f"{out}/similar_pairs")
+    pairs = spark.read.parquet(f"{out}/similar_pairs")
+    lookup = quality = None
     if similar_to is not None:
-        lookup = sim.similar_to(pairs, similar_to.select(F.col(id_col).alias("doc_id")))
-        sinks.write_parquet(lookup, f"{out}/similar_to")
-    report = None
+        found = sim.similar_to(pairs, similar_to.select(F.col(id_col).alias("doc_id")))
+        sinks.write_parquet(found, f"{out}/similar_to")
+        lookup = spark.read.parquet(f"{out}/similar_to")
     if fpfn_fraction is not None:
         report = analyze_quality(nd, fpfn_fraction, fpfn_rounds)
         sinks.write_parquet(report.fp.join(report.fn.drop("candidates"), "round"), f"{out}/fpfn_rounds")
         sinks.write_parquet(report.summary, f"{out}/fpfn_summary")
-    return NearDuplicateOutput(nd, pairs, lookup, report)
+        quality = spark.read.parquet(f"{out}/fpfn_summary")
+    nd.release()
+    return NearDuplicateOutput(spark.read.parquet(f"{out}/minhash"), pairs, lookup, quality)

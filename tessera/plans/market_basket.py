@@ -8,14 +8,13 @@ lost executor never forces the recomputation of earlier levels.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
 from tessera.operators import itemsets as its
 from tessera.operators import rules as rl
-from tessera.operators.joins import DEFAULT_BROADCAST_ROWS
-from tessera.sources.storage import materialize, row_count
+from tessera.sources.storage import materialize, release
 
 
 @dataclass
@@ -36,6 +35,11 @@ class Itemsets:
         return self.levels.get(3)
 
     n_baskets_value: int | None = None
+    stored: list[DataFrame] = field(default_factory=list)   # materialised tables behind the levels
+
+    def release(self) -> None:
+        """Delete the intermediate tables; nothing derived from them may run afterwards."""
+        release(*self.stored)
 
     def n_baskets(self):
         """The number of baskets (an int when known, else a scalar-subquery column)."""
@@ -44,40 +48,31 @@ class Itemsets:
         return its.basket_count(self.baskets).scalar()
 
 
-def mine_itemsets(baskets: DataFrame, min_support: its.Support, max_k: int = 3,
-                  checkpoint: bool = True, max_encoded_items: int = DEFAULT_BROADCAST_ROWS) -> Itemsets:
-    """Level-wise A-priori mining up to ``max_k`` (2 or 3).
+def mine_itemsets(baskets: DataFrame, min_support: its.Support, max_k: int = 3) -> Itemsets:
+    """Level-wise A-priori mining up to ``max_k`` (1, 2 or 3).
 
-    When the frequent items are at most ``max_encoded_items`` (a checked bound),
-    levels 2 and 3 are enumerated on order-preserving long codes of the items
+    Levels 2 and 3 are enumerated on order-preserving long codes of the items
     (the encoding join also prunes infrequent items) and decoded at the end.
     """
-    keep = materialize if checkpoint else (lambda df, name="": df)
-    baskets = keep(baskets, "baskets")
+    baskets = materialize(baskets, "baskets")
     # one scalar (the basket count) reaches the driver; thresholds become literals
     n = its.basket_count(baskets).first()["n_baskets"]
-    levels = {1: keep(its.frequent_items(baskets, min_support, n), "k1")}
-    if max_k < 2:
-        return Itemsets(baskets, levels, n)
-    n_items = row_count(levels[1])
-    if not checkpoint or n_items > max_encoded_items:
-        levels[2] = keep(its.frequent_pairs(baskets, levels[1], min_support, n), "k2")
+    levels = {1: materialize(its.frequent_items(baskets, min_support, n), "k1")}
+    stored = [baskets, levels[1]]
+    if max_k >= 2:
+        # a basket holds at most so many frequent items: a proven bound of every pair group
+        n_items = levels[1]._tessera_rows
+        codes = materialize(its.item_codes(levels[1]), "item_codes")
+        pruned = its.encode_baskets(baskets, codes)
+        encoded = {2: materialize(its.pairs_of_pruned(pruned, baskets, min_support, n, n_items), "k2_codes")}
         if max_k >= 3:
-            levels[3] = keep(its.frequent_triples(baskets, levels[1], levels[2], min_support, n), "k3")
-        return Itemsets(baskets, levels, n)
-
-    codes = keep(its.item_codes(levels[1]), "item_codes")
-    pruned = its.encode_baskets(baskets, codes)
-    # a basket holds at most n_items frequent items: a proven bound of every pair group
-    encoded = {2: keep(its.pairs_of_pruned(pruned, baskets, min_support, n, n_items), "k2_codes")}
-    if max_k >= 3:
-        encoded[3] = keep(its.triples_of_pruned(pruned, encoded[2], baskets, min_support, n, n_items),
-                          "k3_codes")
-    for k, level in encoded.items():
-        decoded = its.decode_itemsets(level, codes)
-        decoded._tessera_rows = level._tessera_rows   # the decode joins are 1:1
-        levels[k] = decoded
-    return Itemsets(baskets, levels, n)
+            encoded[3] = materialize(its.triples_of_pruned(pruned, encoded[2], baskets, min_support, n, n_items),
+                                     "k3_codes")
+        stored += [codes, *encoded.values()]
+        for k, level in encoded.items():
+            levels[k] = its.decode_itemsets(level, codes)
+            levels[k]._tessera_rows = level._tessera_rows   # the decode joins are 1:1
+    return Itemsets(baskets, levels, n, stored)
 
 
 def rules_for(mined: Itemsets, min_std_lift: float = 0.2) -> DataFrame:

@@ -2,37 +2,40 @@
 
 Documents with identical shingle sets ("copies") have identical signatures,
 share every bucket and have Jaccard 1.0 with each other and the same
-similarity to everybody else. The job therefore keys all pair work by a
-128-bit *copy key* of the shingle set (``size``, ``xxhash64``, ``hash``)
-instead of by document:
-
-1. shingles per document (per row, no shuffle), with the copy key; materialised;
-2. MinHash per document (per row, no shuffle), band rows deduplicated to
-   ``(copy_key, band, bucket)`` (narrow rows; copies collapse map-side);
-3. key pairs from the bucket self-join, verified by exact Jaccard on one
-   shingle array per key;
+similarity to everybody else. The job therefore keys all pair work by a *copy
+key* of the shingle set (its size and 96 hash bits: ``xxhash64``, ``hash``)
+instead of by document; sets with equal keys are taken for equal.
+
+1. copy key and signature per document (one pass over the texts, no shuffle);
+   only those are stored, not the shingle sets, which are larger than the texts;
+2. band rows deduplicated to ``(copy_key, band, bucket)`` (narrow rows; copies
+   collapse map-side);
+3. key pairs from the bucket self-join, verified by exact Jaccard; the sets of
+   the keys in pairs are computed again from one text each;
 4. document pairs only at the end: key pairs joined with the key members on
    both sides, plus the pairs inside each copy group (similarity 1.0).
 
 A copy group holding a third of the corpus thus costs one row per band in
 steps 2-3, not a quadratic number of bucket pairs. Step 4 is the size of the
 answer itself and runs as distributed joins (AQE splits hot keys).
+
+Rows that repeat a document id are one document: the text with the smallest
+copy key stands for it.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import hash_family, shingles_with_signature
+from tessera.functions.hashing import hash_family, shingle_hashes, shingles_with_signature
 from tessera.operators import quality as q
 from tessera.operators import similarity as sim
 from tessera.operators.exact import exact_similar_pairs
-from tessera.operators.joins import (PAIR_CELL, broadcast_if_small, ensure_parallelism, known_rows,
-                                    pairs_across_groups, pairs_within_groups)
-from tessera.sources.storage import materialize
+from tessera.operators.joins import PAIR_CELL, ensure_parallelism, pairs_across_groups, pairs_within_groups
+from tessera.sources.storage import materialize, release, row_count
 
 
 @dataclass(frozen=True)
@@ -52,40 +55,31 @@ class LshParams:
 
 
 def copy_key(shingles_col: str = "shingles"):
-    """128-bit key of a sorted distinct shingle array (size, xxhash64, murmur3)."""
+    """Key of a sorted distinct shingle array: its size and 96 hash bits (xxhash64, murmur3)."""
     return F.struct(F.size(shingles_col).alias("n"), F.xxhash64(shingles_col).alias("h1"),
                     F.hash(shingles_col).alias("h2"))
 
 
-def key_representatives(sh: DataFrame, keys: DataFrame, max_keys: int | None = None) -> DataFrame:
-    """``(copy_key, rep_id)``: the smallest doc id of each copy key in ``keys``.
+def key_representatives(members: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """``(copy_key, rep_id)``: the smallest document of each copy key (of those in ``keys``, if given).
 
-    Computed on narrow ``(copy_key, doc_id)`` rows only. ``max_keys`` is a
-    known upper bound of the number of keys (saves the size-check job).
+    Computed on narrow ``(doc_id, copy_key)`` rows only.
     """
-    max_keys = known_rows(keys) if max_keys is None else max_keys
-    wanted = broadcast_if_small(keys.select("copy_key").distinct(), rows=max_keys)
-    return (sh.select("copy_key", "doc_id").join(wanted, "copy_key", "left_semi")
-            .groupBy("copy_key").agg(F.min("doc_id").alias("rep_id")))
+    if keys is not None:
+        members = members.join(keys.select("copy_key").distinct(), "copy_key", "left_semi")
+    return members.groupBy("copy_key").agg(F.min("doc_id").alias("rep_id"))
 
 
-def rep_arrays(sh: DataFrame, reps: DataFrame, max_reps: int | None = None) -> DataFrame:
-    """``(rep_id, shingles)``: the shingle arrays of the representatives.
+def rep_arrays(docs: DataFrame, k: int, reps: DataFrame, repeated_ids: bool) -> DataFrame:
+    """``(rep_id, copy_key, shingles)``: the shingle sets of the representatives, from their texts.
 
-    Arrays are selected by a semi join on the id, so they are never
-    aggregated or deduplicated through a shuffle.
+    A text counts only if it has the copy key that its document goes by.
     """
-    ids = reps.select(F.col("rep_id").alias("doc_id"))
-    bound = known_rows(reps) if max_reps is None else max_reps
-    return (sh.join(broadcast_if_small(ids, rows=bound), "doc_id", "left_semi")
-            .select(F.col("doc_id").alias("rep_id"), "shingles"))
-
-
-def one_array_per_key(sh: DataFrame, keys: DataFrame, max_keys: int | None = None) -> DataFrame:
-    """``(copy_key, shingles)`` for the keys in ``keys``, taken from the smallest doc id."""
-    reps = key_representatives(sh, keys, max_keys)
-    bound = max_keys if max_keys is not None else known_rows(keys)
-    return rep_arrays(sh, reps, bound).join(reps, "rep_id").select("copy_key", "shingles")
+    texts = docs.join(reps.select(F.col("rep_id").alias("doc_id")), "doc_id", "left_semi")
+    sets = (ensure_parallelism(texts, "doc_id").select(F.col("doc_id").alias("rep_id"), shingle_hashes(F.col("text"), k).alias("shingles"))
+            .withColumn("copy_key", copy_key("shingles")))
+    sets = sets.join(reps, ["rep_id", "copy_key"], "left_semi").select("rep_id", "copy_key", "shingles")
+    return sets.dropDuplicates(["rep_id"]) if repeated_ids else sets
 
 
 def copy_group_pairs(members: DataFrame, split: int = PAIR_CELL, max_group: int | None = None) -> DataFrame:
@@ -102,10 +96,16 @@ def copy_group_pairs(members: DataFrame, split: int = PAIR_CELL, max_group: int
 @dataclass
 class NearDuplicates:
     params: LshParams
-    shingles: DataFrame            # (doc_id, shingles, copy_key)   all documents
-    signatures: DataFrame          # (doc_id, copy_key, signature)  all documents
+    docs: DataFrame                # (doc_id, text)                 documents with a shingle at least
+    signatures: DataFrame          # (doc_id, copy_key, signature)  one row per document
     key_candidates: DataFrame      # (first, second) copy keys, first < second
     key_similarity: DataFrame      # (first, second, similarity) for key candidates
+    repeated_ids: bool             # whether rows of ``docs`` share an id
+    stored: list[DataFrame] = field(default_factory=list)   # materialised tables behind the above
+
+    def release(self) -> None:
+        """Delete the intermediate tables; nothing derived from them may run afterwards."""
+        release(*self.stored)
 
     # ------------------------------------------------------------- key level
     def largest_copy_group(self) -> int:
@@ -117,11 +117,18 @@ class NearDuplicates:
 
     def members(self) -> DataFrame:
         """``(doc_id, copy_key)`` of every document."""
-        return self.shingles.select("doc_id", "copy_key")
+        return self.signatures.select("doc_id", "copy_key")
+
+    def shingles(self) -> DataFrame:
+        """``(doc_id, shingles)`` of every document, computed from the texts."""
+        out = ensure_parallelism(self.docs, "doc_id").select("doc_id", shingle_hashes(F.col("text"), self.params.shingle_size).alias("shingles"))
+        if not self.repeated_ids:
+            return out
+        return (out.withColumn("copy_key", copy_key("shingles")).join(self.members(), ["doc_id", "copy_key"], "left_semi")
+                .dropDuplicates(["doc_id"]).select("doc_id", "shingles"))
 
-    def key_shingles(self, keys: DataFrame) -> DataFrame:
-        """``(copy_key, shingles)``: one shingle array per copy key in ``keys``."""
-        return one_array_per_key(self.shingles, keys)
+    def arrays(self, reps: DataFrame) -> DataFrame:
+        return rep_arrays(self.docs, self.params.shingle_size, reps, self.repeated_ids)
 
     def key_similar(self) -> DataFrame:
         return self.key_similarity.filter(F.col("similarity") >= F.lit(float(self.params.threshold)))
@@ -159,29 +166,35 @@ class NearDuplicates:
 
 
 def find_near_duplicates(docs: DataFrame, params: LshParams = LshParams(),
-                         id_col: str = "doc_id", text_col: str = "text",
-                         checkpoint: bool = True) -> NearDuplicates:
+                         id_col: str = "doc_id", text_col: str = "text") -> NearDuplicates:
     """Run shingling, MinHash, LSH and verification; see the module doc for the plan."""
-    keep = materialize if checkpoint else (lambda df, name="": df)
-    kept = ensure_parallelism(sim.doc_length_filter(docs, params.shingle_size, id_col, text_col), id_col)
-    both = kept.select(F.col(id_col).alias("doc_id"),
-                       shingles_with_signature(F.col(text_col), params.shingle_size,
-                                               params.hash_params()).alias("_r"))
-    # one table, one pass over the texts; readers prune to the columns they need
-    table = keep(both.select("doc_id", "_r.shingles", copy_key("_r.shingles").alias("copy_key"),
-                             "_r.signature"), "shingles")
-    sh = table.select("doc_id", "shingles", "copy_key")
-    sig = table.select("doc_id", "copy_key", "signature")
-    key_bands = (sim.lsh_bands(sig.select("copy_key", "signature"), params.bands, params.rows, "copy_key")
+    kept = (sim.doc_length_filter(docs, params.shingle_size, id_col, text_col)
+            .select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
+    both = ensure_parallelism(kept, "doc_id").select("doc_id", shingles_with_signature(
+        F.col("text"), params.shingle_size, params.hash_params()).alias("_r"))
+    signatures = materialize(both.select("doc_id", copy_key("_r.shingles").alias("copy_key"), "_r.signature"), "signatures")
+    stored = [signatures]
+    repeated = materialize(signatures.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("copy_key").alias("copy_key"))
+                           .filter("n > 1").select("doc_id", "copy_key"), "repeated_ids")
+    stored.append(repeated)
+    repeated_ids = row_count(repeated) > 0
+    if repeated_ids:
+        chosen = signatures.join(repeated, ["doc_id", "copy_key"], "left_semi").dropDuplicates(["doc_id"])
+        signatures = materialize(signatures.join(repeated, "doc_id", "left_anti").unionByName(chosen), "signatures")
+        stored.append(signatures)
+    key_bands = (sim.lsh_bands(signatures.select("copy_key", "signature"), params.bands, params.rows, "copy_key")
                  .distinct())
-    key_candidates = keep(sim.candidate_pairs(key_bands, "copy_key"), "key_candidates")
+    key_candidates = materialize(sim.candidate_pairs(key_bands, "copy_key"), "key_candidates")
 
-    # one shingle array per key that takes part in a candidate pair
+    # one shingle set per key that takes part in a candidate pair
     in_pairs = (key_candidates.select(F.col("first").alias("copy_key"))
                 .unionByName(key_candidates.select(F.col("second").alias("copy_key"))))
-    key_sh = one_array_per_key(sh, in_pairs, 2 * known_rows(key_candidates) if checkpoint else None)
-    key_similarity = keep(sim.pair_similarity(key_candidates, key_sh, "copy_key"), "key_similarity")
-    return NearDuplicates(params, sh, sig, key_candidates, key_similarity)
+    reps = materialize(key_representatives(signatures.select("doc_id", "copy_key"), in_pairs), "key_reps")
+    arrays = materialize(rep_arrays(kept, params.shingle_size, reps, repeated_ids).select("copy_key", "shingles"), "key_sets")
+    key_similarity = materialize(sim.pair_similarity(key_candidates, arrays, "copy_key"), "key_similarity")
+    stored += [key_candidates, reps, key_similarity]
+    release(arrays)
+    return NearDuplicates(params, kept, signatures, key_candidates, key_similarity, repeated_ids, stored)
 
 
 @dataclass
@@ -193,33 +206,35 @@ class QualityReport:
     summary: DataFrame             # (rounds, fraction, avg_fp_rate, avg_fn_rate)
 
 
-def exact_key_pairs(nd: NearDuplicates, keys: DataFrame | None = None, checkpoint: bool = True) -> DataFrame:
-    """Exact key pairs ``(first, second, similarity)`` with Jaccard >= threshold.
+def exact_key_pairs(nd: NearDuplicates, keys: DataFrame | None = None) -> DataFrame:
+    """Exact key pairs ``(first, second, similarity)`` with Jaccard >= threshold, stored.
 
-    The prefix-filtered join runs on the representatives' long ids (cheaper
-    to shuffle and sort than the struct key); only the resulting pairs are
-    mapped back to copy keys, oriented so that ``first < second``.
+    The prefix-filtered join runs on the representatives' ids (cheaper to
+    shuffle and sort than the struct key); only the resulting pairs are mapped
+    back to copy keys, oriented so that ``first < second``. Without ``keys``
+    the whole corpus is compared.
     """
-    keep = materialize if checkpoint else (lambda df, name="": df)
-    keys = nd.members() if keys is None else keys
-    reps = keep(key_representatives(nd.shingles, keys), "key_reps")
-    arrays = rep_arrays(nd.shingles, reps).withColumnRenamed("rep_id", "doc_id")
+    reps = materialize(key_representatives(nd.members(), keys), "exact_reps")
+    arrays = materialize(nd.arrays(reps).select(F.col("rep_id").alias("doc_id"), "shingles"), "exact_sets")
     pairs = exact_similar_pairs(arrays, nd.params.threshold, "doc_id")
     r1 = reps.select(F.col("rep_id").alias("first"), F.col("copy_key").alias("_k1"))
     r2 = reps.select(F.col("rep_id").alias("second"), F.col("copy_key").alias("_k2"))
     keyed = pairs.join(r1, "first").join(r2, "second")
-    return keyed.select(F.least("_k1", "_k2").alias("first"), F.greatest("_k1", "_k2").alias("second"),
-                        "similarity")
+    out = materialize(keyed.select(F.least("_k1", "_k2").alias("first"), F.greatest("_k1", "_k2").alias("second"),
+                                   "similarity"), "key_exact")
+    release(reps, arrays)
+    nd.stored.append(out)
+    return out
 
 
 def analyze_quality(nd: NearDuplicates, fraction: float = 0.1, rounds: int = 1,
-                    seed: int | None = None, checkpoint: bool = True) -> QualityReport:
+                    seed: int | None = None) -> QualityReport:
     """False-positive / false-negative analysis over ``rounds`` seeded samples."""
-    keep = materialize if checkpoint else (lambda df, name="": df)
     seed = nd.params.seed if seed is None else seed
-    sample = keep(q.doc_sample(nd.shingles.select("doc_id"), fraction, seed, rounds), "sample")
-    keys = keep(q.sampled_keys(sample, nd.members()), "sampled_keys")
-    exact = keep(exact_key_pairs(nd, keys, checkpoint), "key_exact")
+    sample = materialize(q.doc_sample(nd.members().select("doc_id"), fraction, seed, rounds), "sample")
+    keys = materialize(q.sampled_keys(sample, nd.members()), "sampled_keys")
+    nd.stored += [sample, keys]
+    exact = exact_key_pairs(nd, keys)
     fn_keys = q.false_negative_key_pairs(exact, nd.key_candidates)
     round_ids = sample.sparkSession.range(rounds).select(F.col("id").cast("int").alias("round"))
     fp = q.false_positive_rate(round_ids, keys, nd.key_candidates, nd.key_similar())

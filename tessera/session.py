@@ -6,6 +6,7 @@ Library functions never build a session; they take the caller's DataFrames.
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -37,3 +38,17 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Name a checkpoint folder for a one-process session that has none.
+
+    Driver and executors are one process under a ``local[n]`` master, so a
+    temporary folder is shared by all of them. On a cluster nothing is set:
+    the launcher has to name a shared folder in ``spark.checkpoint.dir``.
+    """
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None):
+        return
+    if sc.master == "local" or sc.master.startswith("local["):
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-checkpoints-"))

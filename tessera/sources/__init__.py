@@ -1,7 +1,7 @@
 """Typed readers, sinks and lineage cuts (materialisation)."""
 
 from tessera.sources.readers import (
-    CONDITIONS_SCHEMA, TWEETS_SCHEMA, read_conditions_csv, read_documents_json,
+    TWEETS_SCHEMA, read_conditions_csv, read_documents_json,
     read_parquet, read_table,
 )
 from tessera.sources.sinks import (
@@ -10,7 +10,7 @@ from tessera.sources.sinks import (
 from tessera.sources.storage import checkpoint_root, materialize, release, row_count
 
 __all__ = [
-    "CONDITIONS_SCHEMA", "TWEETS_SCHEMA", "read_conditions_csv", "read_documents_json",
+    "TWEETS_SCHEMA", "read_conditions_csv", "read_documents_json",
     "read_parquet", "read_table", "write_parquet", "write_rule_lines",
     "write_top_itemsets_tsv", "checkpoint_root", "materialize", "release", "row_count",
 ]

@@ -1,24 +1,10 @@
-"""Typed readers for the two input shapes of the jobs, plus Parquet tables.
-
-Schemas are declared, never inferred: inference costs a full extra pass over
-the input at scale and makes column types depend on the data.
-"""
+"""Readers for the two input shapes of the jobs, plus Parquet tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-# Clinical-conditions export: one row per (patient, condition) event.
-CONDITIONS_SCHEMA = T.StructType([
-    T.StructField("START", T.StringType()),
-    T.StructField("STOP", T.StringType()),
-    T.StructField("PATIENT", T.StringType()),
-    T.StructField("ENCOUNTER", T.StringType()),
-    T.StructField("CODE", T.StringType()),
-    T.StructField("DESCRIPTION", T.StringType()),
-])
-
 # News-post export: JSON lines with the post text, its id and its url.
 TWEETS_SCHEMA = T.StructType([
     T.StructField("text", T.StringType()),
@@ -27,22 +13,25 @@ TWEETS_SCHEMA = T.StructType([
 ])
 
 
-def read_conditions_csv(spark: SparkSession, path: str,
-                        schema: T.StructType = CONDITIONS_SCHEMA) -> DataFrame:
+def read_conditions_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header line; compression (gzip, bz2) follows the file extension.
 
-    Columns are matched by header name, so the column order of the file does
-    not matter; only PATIENT, CODE and DESCRIPTION are kept.
+    Columns are matched by header name: their order does not matter, further
+    ones are ignored. Only the header line is read for that (nothing is
+    inferred: every column is a string); PATIENT, CODE and DESCRIPTION are kept.
     """
-    df = (spark.read.schema(schema).option("header", True)
-          .option("enforceSchema", False).csv(path))
-    return df.select("PATIENT", "CODE", "DESCRIPTION")
+    return spark.read.option("header", True).csv(path).select("PATIENT", "CODE", "DESCRIPTION")
 
 
-def read_documents_json(spark: SparkSession, path: str,
-                        schema: T.StructType = TWEETS_SCHEMA) -> DataFrame:
-    """JSON lines (compression by extension); the url column is not needed downstream."""
-    return spark.read.schema(schema).json(path).drop("url")
+def read_documents_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """JSON lines (compression by extension); the url column is not needed downstream.
+
+    Without a schema, the type of the ids is taken from the data, so numeric
+    ids stay numbers and keep their order; ``TWEETS_SCHEMA`` (or any other)
+    saves that pass over the input and makes the ids strings.
+    """
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.json(path).drop("url")
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

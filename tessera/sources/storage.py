@@ -3,13 +3,11 @@
 Intermediate results are written as Parquet below the shared folder the
 cluster names in ``spark.checkpoint.dir`` and read back, so a lost executor
 only costs the recomputation of its own shuffle blocks, never the whole
-lineage. The folder is read from the session; a private folder is only
-created when the setting is absent *and* the master is local (tests).
+lineage.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -17,7 +15,7 @@ from pyspark.sql import functions as F
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of this session (created locally only in tests)."""
+    """The shared checkpoint folder of this session, which the launcher has to name."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -26,9 +24,6 @@ def checkpoint_root(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir().rstrip("/")
-    if sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-ckpt-"))
-        return sc.getCheckpointDir().rstrip("/")
     raise RuntimeError(
         "spark.checkpoint.dir is not set; point it at a shared folder "
         "(HDFS/S3/ABFS) that every executor can read")

@@ -1,5 +1,4 @@
 import sys
-import tempfile
 from pathlib import Path
 
 import pytest
@@ -8,6 +7,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
+from tessera.session import ensure_checkpoint_dir  # noqa: E402
+
 SF001 = "/root/testdata/sf0.001"
 SF01 = "/root/testdata/sf0.01"
 
@@ -23,8 +24,6 @@ def spark():
                .config("spark.sql.session.timeZone", "UTC")
                .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
-    # tests set their own checkpoint folder only where the session has none
-    if not session.sparkContext.getCheckpointDir() and not session.conf.get("spark.checkpoint.dir", None):
-        session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-test-ckpt-"))
+    ensure_checkpoint_dir(session)  # tests set their own only where the session has none
     yield session
     session.stop()

@@ -19,7 +19,7 @@ def test_market_basket_job_writes_all_outputs(spark):
                  "association_rules"):
         assert os.path.isdir(os.path.join(out, name))
     k2 = spark.read.parquet(os.path.join(out, "frequent_k2"))
-    assert k2.count() == res.itemsets.pairs.count()
+    assert k2.count() == res.levels[2].count()
     assert k2.filter(F.size("items") != 2).count() == 0
     assert spark.read.text(os.path.join(out, "association_rules")).count() == res.rules.count()
 

@@ -89,7 +89,7 @@ def test_pipeline_matches_brute_force(spark):
     hp = params.hash_params()
     shingles = {i: _py_shingles(t) for i, t in docs if len(t) >= K}
     sigs = {i: _py_signature(s, hp) for i, s in shingles.items()}
-    got_sh = {r.doc_id: r.shingles for r in nd.shingles.collect()}
+    got_sh = {r.doc_id: r.shingles for r in nd.shingles().collect()}
     assert got_sh == shingles
     assert {r.doc_id: r.signature for r in nd.signatures.collect()} == sigs
 
@@ -241,3 +241,34 @@ def test_copy_group_pairs_salted_grid_is_exact(spark):
     for split in (3, 2048):
         got = [(r.copy_key, r.first, r.second) for r in copy_group_pairs(members, split).collect()]
         assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_repeated_ids_are_one_document(spark):
+    """Rows (1, 1, 2, 3, 3): the text with the smallest copy key stands for an id; no self or double pairs."""
+    base = "the quick brown fox jumps over the lazy dog and runs away from all the other animals"
+    rows = [(1, base), (1, base + " quickly"), (2, base), (3, base + "!"), (3, base + "!")]
+    params = LshParams(threshold=0.5, bands=20, rows=2)
+    nd = find_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), params)
+    sets = {r.doc_id: set(r.shingles) for r in nd.shingles().collect()}
+    assert sorted(sets) == [1, 2, 3] and nd.signatures.count() == 3
+    want = sorted((a, b, len(sets[a] & sets[b]) / len(sets[a] | sets[b])) for a in sets for b in sets if a < b)
+    assert sorted((r.first, r.second, r.similarity) for r in nd.similar_pairs().collect()) == want
+    exact = nd.expand(exact_key_pairs(nd), {"similarity": 1.0})
+    assert sorted((r.first, r.second, r.similarity) for r in exact.collect()) == want
+
+
+def test_threshold_is_inclusive_at_17_of_20(spark):
+    sets = spark.createDataFrame([(1, list(range(20))), (2, list(range(17)))], "doc_id long, shingles array<long>")
+    pairs = spark.createDataFrame([(1, 2)], "first long, second long")
+    assert [r.similarity for r in sim.similar_pairs(pairs, sets, 0.85).collect()] == [0.85]
+
+
+def test_pair_counts_beyond_bigint_halves(spark):
+    m = 4_000_000_000
+    keys = spark.createDataFrame([(0, "a", m)], "round int, copy_key string, m long")
+    none = spark.createDataFrame([], "first string, second string")
+    rounds = spark.createDataFrame([(0,)], "round int")
+    fp = quality.false_positive_rate(rounds, keys, none, none).first()
+    fn = quality.false_negative_rate(rounds, keys, none, none).first()
+    assert fp.candidates == fp.verified == m * (m - 1) // 2 and fp.fp_rate == 0.0
+    assert fn.n_docs == m and fn.candidates == m * (m - 1) // 2 and fn.fn_rate is None

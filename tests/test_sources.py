@@ -55,3 +55,37 @@ def test_release_deletes_materialized_folder(spark):
     assert os.path.isdir(folder)
     storage.release(df)
     assert not os.path.exists(folder)
+
+
+def test_conditions_csv_in_any_column_order(spark, tmp_path):
+    import bz2
+
+    path = tmp_path / "conditions.csv.bz2"
+    with bz2.open(path, "wt") as f:
+        f.write("SYSTEM,CODE,PATIENT,DESCRIPTION,START\nsnomed,c1,p1,Cough,2020-01-01\nsnomed,c2,p1,Fever,2020-01-02\n")
+    rows = readers.read_conditions_csv(spark, str(path)).orderBy("CODE").collect()
+    assert [tuple(r) for r in rows] == [("p1", "c1", "Cough"), ("p1", "c2", "Fever")]
+
+
+def test_json_ids_keep_their_type(spark, tmp_path):
+    import bz2
+
+    path = tmp_path / "news.json.bz2"
+    with bz2.open(path, "wt") as f:
+        for i in (10, 9):
+            f.write(json.dumps({"text": f"post {i}", "tweet_id": i, "url": "u"}) + "\n")
+    df = readers.read_documents_json(spark, str(path))
+    assert [r.tweet_id for r in df.orderBy("tweet_id").collect()] == [9, 10]
+    as_text = readers.read_documents_json(spark, str(path), readers.TWEETS_SCHEMA)
+    assert dict(as_text.dtypes)["tweet_id"] == "string"
+
+
+def test_checkpoint_folder_is_named_by_the_launcher(spark):
+    from types import SimpleNamespace
+
+    import pytest
+
+    unset = SimpleNamespace(sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://x"),
+                            conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(RuntimeError):
+        storage.checkpoint_root(unset)
