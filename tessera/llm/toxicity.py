@@ -1,7 +1,7 @@
 """Toxicity scores from subword-bag embeddings under a linear softmax, trained in numpy.
 
-A word is the bag of its character 3- to 5-grams (with its borders), hashed
-into a table of embeddings; a window of a few words is the average of all
+A word is the bag of its character 3- to 5-grams (with its borders) and of
+itself, hashed into a table of embeddings; a window of a few words is the average of all
 their n-gram vectors, and a linear softmax scores it. A misspelled word keeps
 most of its n-grams, so it is scored by what was learned for its neighbours.
 Embeddings and softmax are trained together. A label belongs to a whole text
@@ -31,12 +31,15 @@ SIZES = (3, 4, 5)
 WINDOW, STRIDE = 6, 3         # words of a window, words from one to the next
 SAMPLE = 1500                 # labelled texts of each class that are trained on, at most
 SAMPLE_CHARS = 20_000         # longer texts aren't trained on (they are scored like all others)
-ROUNDS = (12, 8, 8, 8)        # epochs before each new choice of the strongest windows
+MIN_TEXTS = 4                 # texts of the sample in which an n-gram has to stand to be learned
+ROUNDS = (16, 12, 12, 12)      # epochs before each new choice of the strongest windows
 RATE = 0.05
 SEED = 8
 CUT = 0.7                     # the score at which a text is called toxic
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+with np.errstate(over="ignore"):
+    _PLACES = np.cumprod(np.full(64, _M1, np.uint64))
 _WORDS = re.compile(r"[^\W_]+")
 _FLAGS: list[np.ndarray] = []
 
@@ -49,7 +52,7 @@ def _word_chars() -> np.ndarray:
 
 
 def ngrams(text: str) -> tuple[np.ndarray, np.ndarray, int]:
-    """``(word, bucket)`` of all n-grams of a text, ordered by word for each size, and the number of words.
+    """``(word, bucket)`` of all n-grams of a text, ordered by word for each size, and a bound of the words' numbers.
 
     Everything runs over arrays: characters outside words become one border
     sign between words, and an n-gram is a stretch without a border inside.
@@ -76,6 +79,14 @@ def ngrams(text: str) -> tuple[np.ndarray, np.ndarray, int]:
             words.append(upto[at] - 1)  # the borders before a word number it
             g = h[at]
             buckets.append(((g ^ (g >> np.uint64(31))) * _M1 >> np.uint64(47)).astype(np.int64) & (BUCKETS - 1))
+        b = np.flatnonzero(border)
+        length = np.diff(b) - 1
+        if (length > 0).any():  # the word as a whole; its last sign is the border behind it
+            first = b[:-1][length > 0] + 1
+            place = np.arange(len(c)) - np.repeat(b, np.append(np.diff(b), 1))
+            h = np.add.reduceat((c * _PLACES[place % len(_PLACES)])[:b[-1] + 1], first)
+            words.append(upto[first] - 1)
+            buckets.append(((h ^ (h >> np.uint64(29))) * _M2 >> np.uint64(47)).astype(np.int64) & (BUCKETS - 1))
     if not words:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), 0
     return np.concatenate(words), np.concatenate(buckets), int(upto[-1])
@@ -132,6 +143,11 @@ class _Windows:
         self.word, self.bucket = word[order], bucket[order]
         self.vocabulary = len(ids)
         counts = np.bincount(self.word, minlength=self.vocabulary)
+        # n-grams of very few texts of the sample say more about those texts than about words
+        texts_of = np.bincount(np.unique(np.stack([np.repeat(self.doc, WINDOW), self.words.reshape(-1)]), axis=1)[1] + 1,
+                               minlength=self.vocabulary + 1)[1:]
+        common = np.bincount(self.bucket, texts_of[self.word], BUCKETS) >= MIN_TEXTS
+        self.word, self.bucket = self.word[common[self.bucket]], self.bucket[common[self.bucket]]
         counts = np.append(counts, 0)
         self.size = sum(counts[self.words[:, k]] for k in range(WINDOW)).clip(1)
 
@@ -178,12 +194,12 @@ def _step(w: _Windows, of: np.ndarray, target: np.ndarray, weight: np.ndarray, s
 def train(texts: list[str], toxic: np.ndarray, negative_weight: float = 1.0) -> Model:
     """A model from labelled texts; ``negative_weight`` undoes the thinning of the clean ones for the cut.
 
-    A third of the texts is kept out of training and places the cut where
+    A third of the texts of either class is kept out of training and places the cut where
     their F1 is best. Without texts of both classes the model scores 0.5 for
     every text with a word.
     """
     toxic = np.asarray(toxic, bool)
-    part = np.arange(len(texts)) % 3 != 2
+    part = np.where(toxic, np.cumsum(toxic), np.cumsum(~toxic)) % 3 != 0  # two thirds of either class
     if not (toxic & part).any() or not (~toxic & part).any():
         return Model(np.zeros(BUCKETS), 0.0, float(np.log(CUT / (1 - CUT))), 1.0)
     w = _Windows([t for t, p in zip(texts, part, strict=True) if p])
@@ -221,7 +237,8 @@ def _with_cut(model: Model, texts: list[str], toxic: np.ndarray, negative_weight
     z = np.array([-np.inf if (x := model.logit(t)) is None else x for t in texts])
     fine = np.isfinite(z)
     z, toxic = z[fine], toxic[fine]
-    if not len(z):
+    if not toxic.any():
+        model.cut = float(np.log(CUT / (1 - CUT)))  # nothing to place the cut by: the softmax itself
         return model
     order = np.argsort(-z, kind="stable")
     hits = np.cumsum(toxic[order])
