@@ -3,7 +3,8 @@
 A byte-level BPE vocabulary splits a text before it merges bytes, and no
 split piece crosses from a non-space into white space. A text may therefore
 be cut before every blank or line feed that follows a non-space, and the
-pieces encoded one by one give the ids of the whole. Natural text repeats its
+pieces encoded one by one give the ids of the whole; nor does one cross from
+a letter or digit into a comma or stop. Natural text repeats its
 words, so most pieces are found in a cache; only new ones go through the
 tokenizer, in one batch per Arrow batch. Texts with runs of white space are
 cut by a pattern instead of the plain split, with the same result.
@@ -13,17 +14,22 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
-import numpy as np
-
 END_ID = 0  # fixed value: the id that closes a document
 SEGMENT = 4 << 20  # characters of a group of texts whose pieces are held at once
-CACHE_PIECES = 600_000  # bound of a worker's cache; beyond it the cache starts anew
+CACHE_PIECES = 1_000_000  # bound of a worker's cache; beyond it the cache starts anew
 
 # What counts as white space in the tokenizer's split pattern.
 SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_UNSAFE = re.compile(f"(?:^|[{SPACES}])[ \n]")
+#: texts without any of these have single blanks and line feeds between non-spaces only
+_RUNS = ["  ", " \n", "\n ", "\n\n", "\0", *(chr(c) for c in (
+    0x09, 0x0b, 0x0c, 0x0d, 0x85, 0xa0, 0x1680, *range(0x2000, 0x200b), 0x2028, 0x2029, 0x202f, 0x205f, 0x3000))]
+_LOOSE_MARK = re.compile(r"[,.](?<![^\W_][,.])")  # a comma or stop that doesn't follow a letter or digit
+#: byte-level vocabularies write a byte as itself if it prints, else as the next free code point from 256 on
+_PRINTED = {*range(0x21, 0x7f), *range(0xa1, 0xad), *range(0xae, 0x100)}
+_BYTE_SIGNS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 _CUT = re.compile(f"(?<=[^{SPACES}])[ \n]")
 
 
@@ -57,10 +63,18 @@ class PieceEncoder:
         if len(self.cache) + len(new) > CACHE_PIECES:
             self.cache.clear()
             new = list(wanted)
-        for at in range(0, len(new), 4096):
-            chunk = new[at:at + 4096]
+        mixed = []
+        for piece in new:
+            if (piece[1:] if piece[0] == " " else piece).isalpha():
+                # one piece of the split rule (a blank and letters): only bytes are left to merge
+                tokens = self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(_BYTE_SIGNS))
+                self.cache[piece] = array("I", [t.id for t in tokens]).tobytes()
+            else:
+                mixed.append(piece)
+        for at in range(0, len(mixed), 4096):
+            chunk = mixed[at:at + 4096]
             for piece, e in zip(chunk, self.tokenizer.encode_batch_fast(chunk, add_special_tokens=False), strict=True):
-                self.cache[piece] = np.asarray(e.ids, dtype="<u4").tobytes()
+                self.cache[piece] = array("I", e.ids).tobytes()
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """The ids of every text (null: none), without the end id."""
@@ -99,9 +113,9 @@ def pieces(text: str | None) -> list[str]:
     """Pieces of ``text`` whose ids put together are the ids of the text."""
     if not text:
         return []
-    if _UNSAFE.search(text) is None:
-        # every blank and line feed follows a non-space: cut before each
-        return [p if p[:1] == "\n" or not i else " " + p for i, p in enumerate(text.replace("\n", " \n").split(" "))]
+    if text[0] not in " \n" and not any(map(text.__contains__, _RUNS)) and _LOOSE_MARK.search(text) is None:
+        # every blank and line feed follows a non-space, every comma and stop a letter or digit: cut before each
+        return (text.replace(" ", "\0 ").replace("\n", "\0\n").replace(",", "\0,").replace(".", "\0.").split("\0"))
     out, start = [], 0
     for m in _CUT.finditer(text):
         out.append(text[start:m.start()])
