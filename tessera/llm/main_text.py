@@ -221,13 +221,17 @@ def style_tree(parsed: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     Both importances are 1 where fewer than ``min_pages`` distinct pages of
     the host have the node.
     """
-    pages = parsed.dropDuplicates(["host", "content"])
-    leaves = F.transform("blocks", lambda b: F.struct(b["path"].alias("path"), b["feature"].alias("feature"), F.lit(0).alias("kind")))
-    shapes = F.transform("layouts", lambda b: F.struct(b["path"].alias("path"), b["feature"].alias("feature"), F.lit(1).alias("kind")))
-    seen = (pages.select("host", F.explode(F.array_distinct(F.concat(leaves, shapes))).alias("f"))
+    # places and features only: the scan leaves the texts out, and no text is shuffled
+    pages = (parsed.select("host", "content", F.col("blocks.path").alias("paths"), F.col("blocks.feature").alias("features"),
+                           F.col("layouts.path").alias("nodes"), F.col("layouts.feature").alias("shapes"))
+             .dropDuplicates(["host", "content"]))
+    pairs = lambda a, b, kind: F.zip_with(a, b, lambda x, y: F.struct(
+        x.alias("path"), y.alias("feature"), F.lit(kind).alias("kind")))
+    features = F.array_distinct(F.concat(pairs("paths", "features", 0), pairs("nodes", "shapes", 1)))
+    seen = (pages.select("host", F.explode(features).alias("f"))
             .select("host", "f.*").groupBy("host", "path", "kind", "feature").agg(F.count(F.lit(1)).alias("k")))
     # pages that have the leaf at all
-    having = (pages.select("host", F.explode(F.array_distinct(F.transform("blocks", lambda b: b["path"]))).alias("path"))
+    having = (pages.select("host", F.explode(F.array_distinct("paths")).alias("path"))
               .groupBy("host", "path").agg(F.count(F.lit(1)).alias("m")))
     k = F.col("k").cast("double")
     nodes = seen.groupBy("host", "path", "kind").agg(F.sum(k * F.log(k)).alias("klogk"), F.sum(k).alias("k"))
@@ -264,7 +268,7 @@ def extract_main_text(pages: DataFrame, key: str = "page_id", url: str = "url",
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1))
     parsed = materialize(pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"), host.alias("host"),
                                       F.col(page).alias("html")).mapInArrow(_parsed, _DDL), "page-blocks")
-    low = (style_tree(parsed.select("host", "content", "blocks", "layouts"), min_pages)
+    low = (style_tree(parsed, min_pages)
            .filter((F.col("content") < importance) & (F.col("presentation") < importance)))
     # a low node is on min_pages pages at least; a host has no more of them than its template has nodes
     noise = materialize(low.groupBy("host").agg(F.collect_set("path").alias("noise")), "tree-noise").withColumnRenamed("host", "n_host")
