@@ -10,10 +10,12 @@ member is compared with the bucket's smallest class (its hub). The packed
 signatures estimate the similarity by bit counts, corrected for low bits that
 agree by chance; what could reach the threshold is confirmed on the full
 sets. Links make components, and a bucket whose members are in one component
-is done. In the others, every class outside the main component proposes its
-best estimated partners elsewhere; at last all pairs between components whose
-estimate could reach the threshold are confirmed too, so the hubs lose no
-link. These comparisons run on blocks of at most ``CELL`` members a side.
+is done. The others are looked at once more, in blocks of bounded size: every
+class outside the bucket's main component meets all members of other
+components whose estimate could reach the threshold, the most similar first,
+until it is linked with them or has met them all. A block has the full sets,
+so it hands on confirmed links only, one per class and component; a pair is
+looked at in the first of the buckets it shares.
 
 With 32 bands of 5 rows a pair at similarity 0.8 shares no bucket with
 probability 3e-6, and five standard deviations of the estimate are allowed.
@@ -24,7 +26,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,9 +39,9 @@ from .shingle_sets import mixed, shingle_set, word_hashes
 BANDS, ROWS = 32, 5
 BITS = 4                      # low bits kept of each minimum
 PER_WORD = 64 // BITS
-CELL = 2048                   # members per side of a block of signatures
-PARTNERS = 2                  # partners that a class outside the main component proposes
-PROPOSALS = 2                 # rounds of proposals before all remaining pairs are confirmed
+CELL = 2048                   # members per side of a block
+CELL_SHINGLES = 2_000_000     # shingles per side of a block, on average
+MEET = 128                    # sets that a class meets at once
 _LOW = sum(1 << (BITS * i) for i in range(PER_WORD))
 
 CLASS_DDL = "doc_id long, n_shingles long, cid long, sig array<long>, buckets array<long>"
@@ -147,48 +148,74 @@ def _estimates(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return _estimated(differing, BANDS * ROWS)
 
 
-def _cell_pairs(cut: float, best: int | None):
-    """Pairs of a block between components: the best few of every class outside the main one, or all possible."""
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        _, i, j = key
-        sig = np.stack(rows["sig"].to_list()).astype(np.int64).view(np.uint64)
-        cid, comp, sub = rows["cid"].to_numpy(), rows["comp"].to_numpy(), rows["sub"].to_numpy()
+def _rows_of(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and unsigned values of a list column."""
+    lists = column.combine_chunks()
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    return np.append(0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))), lists.flatten().to_numpy().view(np.uint64)
+
+
+def _met(own: np.ndarray, others: np.ndarray, offsets: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of one set with several."""
+    sizes = offsets[others + 1] - offsets[others]
+    starts = np.cumsum(sizes) - sizes
+    at = np.repeat(offsets[others] - starts, sizes) + np.arange(sizes.sum())
+    v = values[at]
+    place = np.minimum(np.searchsorted(own, v), len(own) - 1)
+    return np.add.reduceat(own[place] == v, starts, dtype=np.int64)
+
+
+def _cell_links(cut: float, percent: int):
+    """Confirmed links of a block between components, at most one per class and other component."""
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        bucket, i, j = (k.as_py() for k in key)
+        cid, comp, sub = (table.column(c).to_numpy() for c in ("cid", "comp", "sub"))
+        sig = _rows_of(table.column("sig"))[1].reshape(len(cid), -1)
+        buckets = _rows_of(table.column("buckets"))[1].reshape(len(cid), -1)
+        offsets, values = _rows_of(table.column("shingles"))
+        here = np.array([bucket], np.int64).view(np.uint64)[0]
         names, counts = np.unique(comp, return_counts=True)
-        outside = np.flatnonzero(comp != names[counts.argmax()])
-        found = []
-        for at in range(0, len(outside), 256):  # 256 x 2 CELL estimates at a time
-            mine = outside[at:at + 256]
-            e = _estimates(sig[mine], sig)
-            e[comp[mine][:, None] == comp] = -1
-            if i != j:
-                e[sub[mine][:, None] == sub] = -1
-            if best is None:
-                x, y = np.nonzero(e >= cut)
-            else:
-                top = np.argsort(-e, axis=1, kind="stable")[:, :best]
-                x = np.repeat(np.arange(len(mine)), top.shape[1])
-                y = top.reshape(-1)
-                fine = e[x, y] >= cut
-                x, y = x[fine], y[fine]
-            found.append(np.stack([cid[mine[x]], cid[y]], axis=1))
-        pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)}).drop_duplicates()
+        outside = comp != names[counts.argmax()]
+        links = []
+        order = np.flatnonzero(outside)
+        for at in range(0, len(order), 64):
+            mine = order[at:at + 64]
+            estimates = _estimates(sig[mine], sig)
+            for x, e in zip(mine, estimates, strict=True):
+                meets = (e >= cut) & (comp != comp[x]) & (~outside | (np.arange(len(cid)) > x))
+                if i != j:
+                    meets &= sub != sub[x]
+                found = np.flatnonzero(meets)
+                first = (buckets[found] == buckets[x]).argmax(axis=1)
+                found = found[buckets[x][first] == here]
+                found = found[np.argsort(-e[found], kind="stable")]
+                own = values[offsets[x]:offsets[x + 1]]
+                while len(found):
+                    now, found = found[:MEET], found[MEET:]
+                    both = _met(own, now, offsets, values)
+                    fine = 100 * both >= percent * (len(own) + offsets[now + 1] - offsets[now] - both)
+                    linked, places = np.unique(comp[now[fine]], return_index=True)
+                    links += [(cid[x], cid[y]) for y in now[fine][places]]
+                    found = found[~np.isin(comp[found], linked)]
+        pairs = np.array(links, np.int64).reshape(-1, 2)
+        return pa.table({"a": pairs.min(axis=1), "b": pairs.max(axis=1)})
     return run
 
 
-def _open_cells(crowded: DataFrame, comps: DataFrame, classes: DataFrame) -> DataFrame:
-    """Members of buckets that still hold several components, dealt into blocks ``(bucket, i, j)``."""
+def _open_cells(crowded: DataFrame, comps: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members of buckets that still hold several components, dealt into blocks ``(bucket, i, j)`` with their sets."""
     members = (crowded.filter("cid <> hub")  # the hub has met everybody
                .join(comps, crowded["cid"] == comps["node"], "left")
-               .select("bucket", "cid", F.coalesce("comp", "cid").alias("comp")))
-    unsettled = (members.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"),
-                                               F.max("comp").alias("hi"))
-                 .filter("lo <> hi").select("bucket", F.ceil(F.col("m") / CELL).cast("int").alias("n")))
-    dealt = (members.join(unsettled, "bucket")
-             .withColumn("sub", F.pmod(F.xxhash64("cid"), F.col("n").cast("long")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+               .select("bucket", "cid", "n", F.coalesce("comp", "cid").alias("comp")))
+    blocks = F.ceil(F.greatest(F.col("m") / CELL, F.col("n") / CELL_SHINGLES)).cast("int")
+    unsettled = (members.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("n"),
+                                               F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                 .filter("lo <> hi").select("bucket", blocks.alias("blocks")))
+    dealt = (members.drop("n").join(unsettled, "bucket")
+             .withColumn("sub", F.pmod(F.xxhash64("cid"), F.col("blocks").cast("long")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("bucket", "cid", "comp", "sub", F.least("sub", "other").alias("i"), F.greatest("sub", "other").alias("j")))
-    return dealt.join(classes.select("cid", "sig"), "cid")
+    return dealt.join(classes.select("cid", "sig", "buckets"), "cid").join(sets, "cid")
 
 
 # ---------------------------------------------------------------- the operator
@@ -221,9 +248,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     signed = materialize(own.mapInArrow(_signatures(shingle), CLASS_DDL), "near-signed")
     # copies meet here, before anything is compared
     classes = materialize(signed.filter("cid is not null").groupBy("cid").agg(
-        F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("buckets").alias("buckets")), "near-classes")
+        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("buckets").alias("buckets")), "near-classes")
 
-    member = classes.select("cid", F.explode("buckets").alias("bucket"))
+    member = classes.select("cid", "n", F.explode("buckets").alias("bucket"))
     hubs = (member.groupBy("bucket").agg(F.min("cid").alias("hub"), F.count(F.lit(1)).alias("m"))
             .filter("m > 1").select("bucket", "hub"))
     crowded = materialize(member.join(hubs, "bucket"), "near-crowded")
@@ -243,16 +270,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     links = materialize(_confirmed(starred, sets, percent), "near-links")
     comps = materialize(connected_components(links), "near-components")
 
-    for best in [*[PARTNERS] * PROPOSALS, None]:
-        cells = _open_cells(crowded, comps, classes)
-        proposed = materialize(cells.groupBy("bucket", "i", "j").applyInPandas(_cell_pairs(cut, best), "a long, b long")
-                               .distinct(), "near-proposed")
-        if not row_count(proposed):
-            break  # no pair between components could reach the threshold
-        more = materialize(_confirmed(proposed, sets, percent), "near-links")
-        if row_count(more):
-            links = links.unionByName(more)
-            comps = materialize(connected_components(links), "near-components")
+    cells = _open_cells(crowded, comps, classes, sets)
+    more = materialize(cells.groupBy("bucket", "i", "j").applyInArrow(_cell_links(cut, percent), "a long, b long")
+                       .distinct(), "near-links")
+    if row_count(more):
+        comps = materialize(connected_components(links.unionByName(more)), "near-components")
 
     named = (classes.select("cid", "rep").join(comps, F.col("cid") == F.col("node"), "left")
              .select("cid", "rep", F.coalesce("comp", "cid").alias("comp")))
