@@ -106,16 +106,20 @@ _NUMBER = "(?:" + "|".join(sorted(_SPELLED, key=len, reverse=True)) + ")"
 _DOT_WORDS, _AT_WORDS = "dot|punkt|point|punto", "at|arobase|arroba"
 _ITEM = rf"(?:{_NUMBER}|[0-9]+|{_DOT_WORDS})"
 # a run of digits in words: seven items at least, so that prose about one or two stays as it is
+_COUNTING = "0123456789" + "9876543210"
 _SPELLED_RUN = re.compile(rf"(?i)\b(?:plus[\s-]+)?{_ITEM}(?:[\s,-]+{_ITEM}){{6,}}\b")
-_BRACKETED = re.compile(rf"(?i)[\x20]?[\[({{<]\s?(?:(?P<at>{_AT_WORDS}|@)|(?:{_DOT_WORDS}|\.))\s?[\])}}>][\x20]?")
+_BRACKETED = re.compile(
+    rf"(?i)[\x20]?[\[({{<]\s?(?:(?P<at>{_AT_WORDS}|@)|(?:{_DOT_WORDS}|\.))\s?[\])}}>][\x20]?"
+    rf"|[_*~-](?:(?P<at2>{_AT_WORDS})|(?:{_DOT_WORDS}))[_*~-]|(?P<at3>&\#64;|&\#x40;|&commat;)|&\#46;|&\#x2e;|&period;")
 _WORDED = re.compile(  # name at host dot com; a plain dot will do if the name isn't an ordinary word
     rf"(?i)(?<![A-Za-z0-9._%+-])(?P<name>[A-Za-z0-9_%+-]+(?:(?:\.|\x20(?:{_DOT_WORDS})\x20)[A-Za-z0-9_%+-]+)*)"
-    rf"(?P<at>\x20(?:{_AT_WORDS})\x20|@)(?P<host>[A-Za-z0-9-]+(?:(?:\.|\x20(?:{_DOT_WORDS})\x20)[A-Za-z0-9-]+)+)")
+    rf"(?P<at>\x20(?:{_AT_WORDS}|@)\x20|@)(?P<host>[A-Za-z0-9-]+(?:(?:\.|\x20(?:{_DOT_WORDS})\x20)[A-Za-z0-9-]+)+)")
 _DOTTED_IP = re.compile(rf"(?i)(?<![0-9.])[0-9]{{1,3}}(?:\s?(?:\.|\b(?:{_DOT_WORDS})\b)\s?[0-9]{{1,3}}){{3}}(?![0-9])")
+_GROUPED = re.compile(r"(?<![0-9])[0-9]{4}([._/|])[0-9]{4}(?:\1[0-9]{4}){2}(?![0-9])")
 _CONFUSED = re.compile(r"(?<![A-Za-z0-9])(?=[A-Za-z\x20-]{0,19}[0-9])[0-9OoQlI](?:[\x20-]?[0-9OoQlI]){14,22}(?![A-Za-z0-9])")
 _TRACE = re.compile(
     rf"(?i)[\[({{<]\s?(?:{_AT_WORDS}|{_DOT_WORDS}|@|\.)\s?[\])}}>]|\x20(?:{_DOT_WORDS})\x20[A-Za-z0-9]"
-    rf"|\x20(?:{_AT_WORDS})\x20[A-Za-z0-9-]+\.[A-Za-z0-9]")
+    rf"|\x20(?:{_AT_WORDS}|@)\x20[A-Za-z0-9-]+\.[A-Za-z0-9]|[_*~-](?:{_DOT_WORDS})[_*~-]|&(?:\#64|\#x40|commat|\#46|\#x2e|period);")
 _COUNTED = frozenset(_SPELLED) | frozenset(_DOT_WORDS.split("|"))
 _BETWEEN = str.maketrans("-,", "  ")
 
@@ -167,14 +171,14 @@ def _letter(m: re.Match) -> str:
 
 
 def _bracket(m: re.Match) -> str:
-    return "@" if m["at"] else "."
+    return "@" if m["at"] or m["at2"] or m["at3"] else "."
 
 
 def _address(m: re.Match) -> str | None:
     worded = re.search(rf"(?i)\x20(?:{_DOT_WORDS})\x20", m["host"])
     if m["at"] == "@" and not worded and " " not in m["name"]:
         return None
-    if m["at"] != "@" and not worded and not re.search(r"[0-9._]", m["name"]):
+    if "@" not in m["at"] and not worded and not re.search(r"[0-9._]", m["name"]):
         return None  # "look at example.com"
     dots = lambda s: re.sub(rf"(?i)\x20(?:{_DOT_WORDS})\x20", ".", s)
     return f"{dots(m['name'])}@{dots(m['host'])}"
@@ -184,7 +188,11 @@ def _spelled(m: re.Match) -> str:
     def item(x: re.Match) -> str:
         w = x[0].lower()
         return _SPELLED.get(w, "." if re.fullmatch(_DOT_WORDS, w) else "+" if w == "plus" else w)
-    return re.sub(r"[\s,-]+", "", re.sub(r"(?i)[a-zéü]+", item, m[0]))
+    digits = re.sub(r"[\s,-]+", "", re.sub(r"(?i)[a-zéü]+", item, m[0]))
+    # a number written out in words is one to call, unless it counts up or down or repeats a word
+    if digits.isdigit() and 8 <= len(digits) <= 15 and len(set(digits)) >= 3 and not _DIGIT.search(m[0]) and digits not in _COUNTING:
+        return "+" + digits
+    return digits
 
 
 def _dotted(m: re.Match) -> str:
@@ -200,7 +208,8 @@ def _unconfused(m: re.Match) -> str | None:
 def normalise(text: str) -> Rewritten:
     r = Rewritten.source(text).rewrite(_LETTERS, _letter)
     r = r.rewrite(_SPELLED_RUN, _spelled).rewrite(_BRACKETED, _bracket).rewrite(_WORDED, _address)
-    return r.rewrite(_DOTTED_IP, _dotted).rewrite(_CONFUSED, _unconfused)
+    r = r.rewrite(_DOTTED_IP, _dotted).rewrite(_GROUPED, lambda m: m[0].replace(m[1], " "))
+    return r.rewrite(_CONFUSED, _unconfused)
 
 
 def _counts_in_words(text: str) -> bool:
@@ -221,7 +230,7 @@ def _counts_in_words(text: str) -> bool:
 
 
 def _disguised(text: str) -> bool:
-    return bool(_TRACE.search(text) or _LETTERS.search(text) or _DIGIT.search(text) and _CONFUSED.search(text)
+    return bool(_TRACE.search(text) or _LETTERS.search(text) or _DIGIT.search(text) and (_CONFUSED.search(text) or _GROUPED.search(text))
                 or _counts_in_words(text))
 
 

@@ -124,6 +124,11 @@ def test_base_spans_equal_the_patterns():
     ("4lll 1111 1111 1111", "card", "4lll 1111 1111 1111"),
     ("ip 192[.]168[.]1[.]10 x", "ip", "192[.]168[.]1[.]10"),
     ("ip 192 dot 168 dot 1 dot 10.", "ip", "192 dot 168 dot 1 dot 10"),
+    ("call nine seven four five five five one two one two now", "phone", "nine seven four five five five one two one two"),
+    ("john_at_example_dot_com", "email", "john_at_example_dot_com"),
+    ("to john @ example.com", "email", "john @ example.com"),
+    ("john&#64;example&period;com", "email", "john&#64;example&period;com"),
+    ("card 4111.1111.1111.1111", "card", "4111.1111.1111.1111"),
 ])
 def test_disguises_are_found_at_their_place(text, kind, found):
     _, every = private_data.spans(text)
@@ -131,7 +136,7 @@ def test_disguises_are_found_at_their_place(text, kind, found):
     assert found not in private_data.redacted(text)
 
 
-@pytest.mark.parametrize("text", ["look at example.com today", "one two three", "he waited at the door. nine of five came", "", "a" * 1000])
+@pytest.mark.parametrize("text", ["look at example.com today", "one two three", "one two three four five six seven eight nine", "one-at-a-time, state_of_the_art", "un un un un un un un un un", "he waited at the door. nine of five came", "", "a" * 1000])
 def test_ordinary_texts_are_left_alone(text):
     assert private_data.spans(text) == ([], []) and private_data.redacted(text) == text
 
