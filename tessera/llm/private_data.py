@@ -212,8 +212,12 @@ def normalise(text: str) -> Rewritten:
     return r.rewrite(_CONFUSED, _unconfused)
 
 
-def _counts_in_words(text: str) -> bool:
-    """Whether seven numbers follow each other, three of them as words."""
+def _counts_in_words(text: str, part: int = 1 << 20, overlap: int = 256) -> bool:
+    """Whether seven numbers follow each other, three of them as words; in overlapping parts of the text."""
+    return any(_run_of_numbers(text[at:at + part + overlap]) for at in range(0, len(text), part))
+
+
+def _run_of_numbers(text: str) -> bool:
     words = text.lower().translate(_BETWEEN).split()
     if _COUNTED.isdisjoint(words):
         return False

@@ -92,6 +92,19 @@ def ngrams(text: str) -> tuple[np.ndarray, np.ndarray, int]:
     return np.concatenate(words), np.concatenate(buckets), int(upto[-1])
 
 
+def _parts(text: str, size: int = 1 << 20) -> Iterator[str]:
+    at = 0
+    while len(text) - at > size:
+        end = text.rfind(" ", at + size // 2, at + size)
+        end = end if end >= 0 else at + size
+        yield text[at:end]
+        for _ in range(WINDOW):  # back by a window of words
+            back = text.rfind(" ", at + size // 4, end)
+            end = back if back >= 0 else end
+        at = end
+    yield text[at:]
+
+
 @dataclass
 class Model:
     """One weight per n-gram bucket, a bias, and the line that maps logits to scores."""
@@ -102,6 +115,11 @@ class Model:
     slope: float
 
     def logit(self, text: str) -> float | None:
+        """Of the strongest window; very long texts are gone through in parts that overlap by a window."""
+        found = [z for part in _parts(text) if (z := self._strongest(part)) is not None]
+        return max(found, default=None)
+
+    def _strongest(self, text: str) -> float | None:
         word, bucket, n = ngrams(text)
         if not len(word):
             return None

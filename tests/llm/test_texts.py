@@ -198,6 +198,15 @@ def test_model_knows_insults_and_their_misspellings():
     assert model.score(None) == model.score("") == model.score(" ,.") == 0.0
 
 
+def test_parts_of_a_long_text_overlap_by_a_window():
+    text = " ".join(f"w{i}" for i in range(2000))
+    parts = list(toxicity._parts(text, 400))
+    assert len(parts) > 20 and set(" ".join(parts).split()) == set(text.split())
+    whole = {tuple(text.split()[i:i + toxicity.WINDOW]) for i in range(2000 - toxicity.WINDOW + 1)}
+    seen = {tuple(w[i:i + toxicity.WINDOW]) for p in parts for w in [p.split()] for i in range(len(w) - toxicity.WINDOW + 1)}
+    assert whole == seen and "".join(toxicity._parts("a" * 1000, 100)) == "a" * 1000
+
+
 def test_toxicity_on_tables(spark):
     docs, rows = awkward_docs(spark, long_words=2000)
     labels = spark.createDataFrame([(1, 1, 1), (2, 1, 0), (None, 1, 1), (3, 1, None), (77, 0, 1)], "doc_id long, quality int, toxic int")
