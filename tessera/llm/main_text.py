@@ -49,6 +49,9 @@ _NAMES = frozenset(
     "masthead footer comment comments reply replies respond disqus discussion share sharing social related recommended "
     "recommendations newsletter subscribe subscription login signup search pagination pager toolbar copyright topbar".split())
 _KEEP = frozenset("html body main article".split())
+_UNSEEN = frozenset("head script style title template datalist".split())  # no text of the page, whatever else is missing
+_IN_HEAD = frozenset("title base link meta script style noscript template object".split())  # anything else ends an open head
+_MARKS = frozenset("article main".split())
 #: opening one of these closes an open one of the others
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
            "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"thead", "tbody", "tr", "td", "th"}}
@@ -66,7 +69,9 @@ def _signature(name: str, given: dict[str, str]) -> str:
     return name + "".join(f".{c}" for c in classes)
 
 
-def _never_article(name: str, given: dict[str, str], inside: bool, by_name: bool) -> bool:
+def _never_article(name: str, given: dict[str, str], inside: bool, by_name: bool, by_element: bool = True) -> bool:
+    if not by_element:
+        return name in _UNSEEN
     if name in _NEVER or name == "header" and not inside:
         return True
     if "hidden" in given or given.get("aria-hidden") == "true" or given.get("role", "").lower() in _ROLES:
@@ -79,10 +84,11 @@ def _never_article(name: str, given: dict[str, str], inside: bool, by_name: bool
     return not _NAMES.isdisjoint(tokens)
 
 
-def _parse(page: str, by_name: bool) -> tuple[list[tuple[str, str, bool]], list[tuple[str, str]]]:
-    """``([(path, text, inside an article)], [(path, layout of its children)])`` in page order."""
-    blocks: list[tuple[str, str, bool]] = []
-    stack: list[list] = [["", "", False, False, []]]  # element, path, never article, inside article, children
+def _parse(page: str, by_name: bool, by_element: bool = True) -> tuple[list[tuple[str, str, bool, bool]], list[tuple[str, str]]]:
+    """``([(path, text, inside an article, article below what is never one)], [(path, layout of its children)])`` in page order."""
+    blocks: list[tuple[str, str, bool, bool]] = []
+    # element, path, never article, inside article, children, never article even if its outermost article counts
+    stack: list[list] = [["", "", False, False, [], False]]
     layouts: list[tuple[str, str]] = []
     text: list[str] = []
     open_now: Counter[str] = Counter()
@@ -91,14 +97,14 @@ def _parse(page: str, by_name: bool) -> tuple[list[tuple[str, str, bool]], list[
     def flush() -> None:
         if text:
             top = stack[-1]
-            if not top[2]:
+            if not top[5]:
                 words = " ".join(entities.unescape("".join(text)).split())
                 if words:
-                    blocks.append((top[1], words, top[3]))
+                    blocks.append((top[1], words, top[3], top[2]))
             text.clear()
 
     def close() -> None:
-        name, path, never, _, children = stack.pop()
+        name, path, _, _, children, never = stack.pop()
         open_now[name] -= 1
         if children and not never:
             layouts.append((path, " ".join(c for i, c in enumerate(children) if not i or c != children[i - 1])))
@@ -134,10 +140,10 @@ def _parse(page: str, by_name: bool) -> tuple[list[tuple[str, str, bool]], list[
                 flush()
             at = end.end() if end else len(page)
             continue
-        inside = stack[-1][3] or name in ("article", "main")
+        inside = stack[-1][3] or name in _MARKS
         if name in _INLINE:
             # an inline element that is noise by its own attributes hides its text only
-            if given and name not in unclosed and _never_article(name, given, inside, by_name):
+            if given and name not in unclosed and _never_article(name, given, inside, by_name, by_element):
                 end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
                 if end:
                     at = end.end()
@@ -147,7 +153,7 @@ def _parse(page: str, by_name: bool) -> tuple[list[tuple[str, str, bool]], list[
         flush()
         if name in _VOID:
             continue
-        if stack[-1][0] == "p":
+        if stack[-1][0] == "p" or stack[-1][0] == "head" and name not in _IN_HEAD:
             close()
         for i in range(len(stack) - 1, 0, -1) if name in _CLOSES else ():
             if stack[i][0] in _CLOSES[name]:
@@ -161,9 +167,11 @@ def _parse(page: str, by_name: bool) -> tuple[list[tuple[str, str, bool]], list[
         sign = _signature(name, given)
         parent[4].append(sign)
         open_now[name] += 1
+        never = _never_article(name, given, parent[3], by_name, by_element)
+        outermost = name in _MARKS and not parent[3]
         stack.append([name, parent[1] if len(stack) > DEPTH else f"{parent[1]}>{sign}" if parent[1] else sign,
-                      parent[2] or _never_article(name, given, parent[3], by_name),
-                      parent[3] or name in ("article", "main"), []])
+                      parent[2] or never, inside, [],
+                      "comment" in given.get("class", "").lower() if outermost and by_element else parent[5] or never])
     flush()
     while len(stack) > 1:
         close()
@@ -173,17 +181,25 @@ def _parse(page: str, by_name: bool) -> tuple[list[tuple[str, str, bool]], list[
 def page_blocks(page: str | None) -> tuple[list[Block], list[tuple[str, str]]]:
     """Blocks of a page that may be article, with their places, and the layouts of the nodes.
 
-    If the page marks its article, only that counts; if the names of elements
-    would leave nothing, they are disregarded.
+    If the page marks its article, only that counts. An article below what is
+    never one (a form around the page, a menu that is not closed, a wrapper
+    hidden until scripts run) counts if it has more text than the articles
+    elsewhere, and alone if it has more than all else. If the names of
+    elements would leave nothing, they are disregarded; if the rest of the
+    rules would, all that is text.
     """
-    blocks: list[tuple[str, str, bool]] = []
+    blocks: list[tuple[str, str, bool, bool]] = []
     layouts: list[tuple[str, str]] = []
-    for by_name in (True, False):
-        blocks, layouts = _parse(page or "", by_name)
+    for rules in ((True, True), (False, True), (False, False)):
+        blocks, layouts = _parse(page or "", *rules)
         if blocks:
             break
-    inside = [b for b in blocks if b[2]]
-    return [b[:2] for b in inside or blocks], layouts
+    size = lambda some: sum(len(b[1]) for b in some)
+    marked, below = [b for b in blocks if b[2] and not b[3]], [b for b in blocks if b[3]]
+    if below and size(below) <= size(marked):
+        blocks, below = [b for b in blocks if not b[3]], []
+    alone = marked or size(below) > size(blocks) - size(below)
+    return [b[:2] for b in blocks if b[2] or not (below or marked) or not alone], layouts
 
 
 _BLOCKS = pa.list_(pa.struct([("path", pa.string()), ("text", pa.string()), ("feature", pa.int64())]))

@@ -242,6 +242,26 @@ def test_blocks_of_a_page():
     assert [t for _, t in main_text.page_blocks("a < b <p>c&nbsp; d<!-- open")[0]] == ["a < b", "c d"]
 
 
+@pytest.mark.parametrize("page, want", [
+    ('<body><form id="aspnetForm"><div class="menu">m</div><article><h1>T</h1><p>the text</p><form>f</form></article></form></body>',
+     ["T", "the text"]),
+    ("<body><nav><ul><li>m<article><p>the text</p></article></body>", ["the text"]),
+    ("<body><header><h1>Site</h1><main><p>the text</p><aside>q</aside></main>", ["the text"]),
+    ('<div style="display:none"><article><p>the text</p></article></div><div>by h</div>', ["the text"]),
+    ('<main style="display: none"><p>the text</p></main><div>by h</div>', ["the text"]),
+    ("<html><head><title>x</title><body><p>the text</p>", ["the text"]),
+    ("<body><header>Site<div><p>the text</p></div>", ["Site", "the text"]),
+    ("<form><p>the text</p><template>n</template></form>", ["the text"]),
+    # what marks an article elsewhere stays out
+    ("<article><p>the text</p><aside><article>another text to read</article></aside></article>", ["the text"]),
+    ("<main><p>the text</p></main><aside><article>more</article></aside>", ["the text"]),
+    ("<div><p>the long text</p></div><aside><article>more</article></aside>", ["the long text", "more"]),
+    ('<article><p>the text</p></article><section><article class="comment">a longer comment</article></section>', ["the text"]),
+])
+def test_articles_below_what_is_never_one(page, want):
+    assert [t for _, t in main_text.page_blocks(page)[0]] == want
+
+
 def test_branches_common_to_a_host_go(spark):
     rng = random.Random(8)
     rows, want = [], {}
