@@ -48,6 +48,10 @@ _NAMES = frozenset(
     "gdpr notice notices popup modal overlay sidebar aside widget widgets menu menus nav navbar navigation breadcrumb breadcrumbs "
     "masthead footer comment comments reply replies respond disqus discussion share sharing social related recommended "
     "recommendations newsletter subscribe subscription login signup search pagination pager toolbar copyright topbar".split())
+#: often outweigh the article, so that they have to be nearly all of the page to count
+_REPLIES = frozenset("comment comments reply replies respond disqus discussion".split())
+#: say what the page around has or hasn't: no-sidebar, has-menu, ad-free, share-enabled
+_BEFORE, _BEHIND = frozenset("no non not without has have with".split()), frozenset("free less enabled disabled".split())
 _KEEP = frozenset("html body main article".split())
 _UNSEEN = frozenset("head script style title template datalist".split())  # no text of the page, whatever else is missing
 _IN_HEAD = frozenset("title base link meta script style noscript template object".split())  # anything else ends an open head
@@ -69,26 +73,73 @@ def _signature(name: str, given: dict[str, str]) -> str:
     return name + "".join(f".{c}" for c in classes)
 
 
-def _never_article(name: str, given: dict[str, str], inside: bool, by_name: bool, by_element: bool = True) -> bool:
+def _listed(name: str, given: dict[str, str]) -> set[str]:
+    """The words of class and id by which an element is listed as no article."""
+    if name in _KEEP and "comment" not in given.get("class", "").lower():
+        return set()
+    found: set[str] = set()
+    for c in f"{given.get('class', '')} {given.get('id', '')}".lower().split():
+        words = re.findall(r"[a-z]+", c)
+        if len(words) > 1 and words[-1] in _BEHIND:
+            continue
+        found.update(words[:next((i for i, w in enumerate(words[:-1]) if w in _BEFORE), len(words))])
+    return found & _NAMES
+
+
+def _never_article(name: str, given: dict[str, str], inside: bool, by_element: bool) -> bool:
     if not by_element:
         return name in _UNSEEN
     if name in _NEVER or name == "header" and not inside:
         return True
     if "hidden" in given or given.get("aria-hidden") == "true" or given.get("role", "").lower() in _ROLES:
         return True
-    if re.search(r"display\s*:\s*none", given.get("style", "")):
-        return True
-    if not by_name or name in _KEEP and "comment" not in given.get("class", "").lower():
-        return False
-    tokens = re.findall(r"[a-z]+", f"{given.get('class', '')} {given.get('id', '')}".lower())
-    return not _NAMES.isdisjoint(tokens)
+    return bool(re.search(r"display\s*:\s*none", given.get("style", "")))
+
+
+def _judged(blocks: list[tuple[str, str, bool, bool, int]], doubts: list[tuple[int, bool, bool]]) -> list[tuple[str, str, bool, bool]]:
+    """The blocks without the branches that go by their names.
+
+    A branch stays if it has most of the page's text that is no reply,
+    branches of replies if all else is less than a tenth of the page.
+    ``doubts`` are the named branches: that above (-1: none), in an article,
+    of replies; a branch comes behind the one above it.
+    """
+    if not doubts:
+        return [b[:4] for b in blocks]
+    replies: list[bool] = []
+    for above, _, own in doubts:
+        replies.append(own or above >= 0 and replies[above])
+    sizes, texts = [0] * len(doubts), [0] * len(doubts)  # of all, of what is no reply
+    total = rest = 0
+    for _, words, _, never, doubt in blocks:
+        n = 0 if never else len(words)
+        total += n
+        if doubt >= 0:
+            sizes[doubt] += n
+        if doubt < 0 or not replies[doubt]:
+            rest += n
+            if doubt >= 0:
+                texts[doubt] += n
+    for i in range(len(doubts) - 1, -1, -1):
+        if (above := doubts[i][0]) >= 0:
+            sizes[above] += sizes[i]
+            texts[above] += texts[i]
+    gone: list[bool] = []
+    gone_inside: list[bool] = []  # by a name in the article
+    for i, (above, inside, own) in enumerate(doubts):
+        goes = 10 * (total - sizes[i]) >= total if own else 2 * texts[i] <= rest and not replies[i]
+        gone.append(goes or above >= 0 and gone[above])
+        gone_inside.append(inside and (goes or above >= 0 and gone_inside[above]))
+    return [(path, words, inside, never or doubt >= 0 and gone[doubt]) for path, words, inside, never, doubt in blocks
+            if doubt < 0 or not (gone_inside if inside else gone)[doubt]]
 
 
 def _parse(page: str, by_name: bool, by_element: bool = True) -> tuple[list[tuple[str, str, bool, bool]], list[tuple[str, str]]]:
     """``([(path, text, inside an article, article below what is never one)], [(path, layout of its children)])`` in page order."""
-    blocks: list[tuple[str, str, bool, bool]] = []
-    # element, path, never article, inside article, children, never article even if its outermost article counts
-    stack: list[list] = [["", "", False, False, [], False]]
+    blocks: list[tuple[str, str, bool, bool, int]] = []
+    # element, path, never article, inside article, children, never article even if its outermost article counts, named branch
+    stack: list[list] = [["", "", False, False, [], False, -1]]
+    doubts: list[tuple[int, bool, bool]] = []
     layouts: list[tuple[str, str]] = []
     text: list[str] = []
     open_now: Counter[str] = Counter()
@@ -100,11 +151,11 @@ def _parse(page: str, by_name: bool, by_element: bool = True) -> tuple[list[tupl
             if not top[5]:
                 words = " ".join(entities.unescape("".join(text)).split())
                 if words:
-                    blocks.append((top[1], words, top[3], top[2]))
+                    blocks.append((top[1], words, top[3], top[2], top[6]))
             text.clear()
 
     def close() -> None:
-        name, path, _, _, children, never = stack.pop()
+        name, path, _, _, children, never, _ = stack.pop()
         open_now[name] -= 1
         if children and not never:
             layouts.append((path, " ".join(c for i, c in enumerate(children) if not i or c != children[i - 1])))
@@ -142,13 +193,14 @@ def _parse(page: str, by_name: bool, by_element: bool = True) -> tuple[list[tupl
             continue
         inside = stack[-1][3] or name in _MARKS
         if name in _INLINE:
-            # an inline element that is noise by its own attributes hides its text only
-            if given and name not in unclosed and _never_article(name, given, inside, by_name, by_element):
+            # an inline element that is noise by its own attributes hides its text only, by its name alone not half a page
+            never = bool(given) and name not in unclosed and _never_article(name, given, inside, by_element)
+            if never or given and by_name and name not in unclosed and _listed(name, given):
                 end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-                if end:
-                    at = end.end()
-                else:
+                if not end:
                     unclosed.add(name)
+                elif never or 2 * (end.start() - at) <= len(page):
+                    at = end.end()
             continue
         flush()
         if name in _VOID:
@@ -167,15 +219,19 @@ def _parse(page: str, by_name: bool, by_element: bool = True) -> tuple[list[tupl
         sign = _signature(name, given)
         parent[4].append(sign)
         open_now[name] += 1
-        never = _never_article(name, given, parent[3], by_name, by_element)
+        never = _never_article(name, given, parent[3], by_element)
         outermost = name in _MARKS and not parent[3]
+        doubt = parent[6]
+        if by_name and given and (names := _listed(name, given)):
+            doubts.append((doubt, inside, not _REPLIES.isdisjoint(names)))
+            doubt = len(doubts) - 1
         stack.append([name, parent[1] if len(stack) > DEPTH else f"{parent[1]}>{sign}" if parent[1] else sign,
                       parent[2] or never, inside, [],
-                      "comment" in given.get("class", "").lower() if outermost and by_element else parent[5] or never])
+                      False if outermost and by_element else parent[5] or never, doubt])
     flush()
     while len(stack) > 1:
         close()
-    return blocks, layouts
+    return _judged(blocks, doubts), layouts
 
 
 def page_blocks(page: str | None) -> tuple[list[Block], list[tuple[str, str]]]:
@@ -184,9 +240,10 @@ def page_blocks(page: str | None) -> tuple[list[Block], list[tuple[str, str]]]:
     If the page marks its article, only that counts. An article below what is
     never one (a form around the page, a menu that is not closed, a wrapper
     hidden until scripts run) counts if it has more text than the articles
-    elsewhere, and alone if it has more than all else. If the names of
-    elements would leave nothing, they are disregarded; if the rest of the
-    rules would, all that is text.
+    elsewhere, and alone if it has more than all else. Branches with listed
+    names go unless they have most of the text. If the names of elements
+    would leave nothing, they are disregarded; if the rest of the rules
+    would, all that is text.
     """
     blocks: list[tuple[str, str, bool, bool]] = []
     layouts: list[tuple[str, str]] = []

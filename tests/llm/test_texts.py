@@ -262,6 +262,25 @@ def test_articles_below_what_is_never_one(page, want):
     assert [t for _, t in main_text.page_blocks(page)[0]] == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ('<div class="content no-sidebar"><p>the article</p></div><div class="end">Made by h</div>', ["the article", "Made by h"]),
+    ('<div class="content">the article</div><div class="ad-free">a</div><div class="post share-enabled">b</div>', ["the article", "a", "b"]),
+    ('<div class="col page-has-sidebar">a</div><div class="content">the article</div>', ["a", "the article"]),
+    ('<div id="search-results"><p>the whole article</p><div class="share">S</div></div><div>by h</div>', ["the whole article", "by h"]),
+    ('<div class="notice wrap"><div class="menu">m</div><div class="widget"><p>the article itself</p></div></div>', ["the article itself"]),
+    ('<article><p>one</p><section class="related-work"><p>most of the article</p></section></article>', ["one", "most of the article"]),
+    ('<body><span class="notice">the whole of a long article in a single span</span><p>b', ["the whole of a long article in a single span", "b"]),
+    ('<div class="discussion"><p>a long thread of posts, all there is here</p></div><i>h</i>', ["a long thread of posts, all there is here", "h"]),
+    ('<article class="commentary"><p>the article</p></article><div>by h</div>', ["the article"]),
+    # names still take what is small, and replies that are long
+    ('<div>the article is here</div><div class="related-work">more</div><div class="sidebar">s</div>', ["the article is here"]),
+    ('<div>the article</div><div class="comments"><p>a longer comment than the article</p></div>', ["the article"]),
+    ('<article>the article<div class="widget">w</div><article class="comment">longer than it</article></article>', ["the article"]),
+])
+def test_names_are_no_more_than_a_prior(page, want):
+    assert [t for _, t in main_text.page_blocks(page)[0]] == want
+
+
 def test_branches_common_to_a_host_go(spark):
     rng = random.Random(8)
     rows, want = [], {}
