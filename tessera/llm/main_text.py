@@ -12,6 +12,10 @@ importance, the entropy of the ways in which its children are laid out. A
 branch that is low in both is part of the template and is removed from every
 page of the host.
 
+Fixed rules come first and the tree sees what they leave: menus and adverts
+that vary by page recur no more than an article does, so entropy doesn't
+find them (counts in the README).
+
 The tree is built from counts: pages of one content on a host count once,
 features are pre-aggregated, and the sums of a branch add up over its leaves,
 so a host with a third of all pages is no larger group than its template.
