@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 BUCKETS = 1 << 17
 DIM = 8
 SIZES = (3, 4, 5)
-WINDOW, STRIDE = 6, 3         # words of a window, words from one to the next
+WINDOW, STRIDE = 6, 3         # words of a window, words from one to the next in training (scores take every window)
 SAMPLE = 1500                 # labelled texts of each class that are trained on, at most
 SAMPLE_CHARS = 20_000         # longer texts aren't trained on (they are scored like all others)
 MIN_TEXTS = 4                 # texts of the sample in which an n-gram has to stand to be learned
@@ -127,7 +127,7 @@ class Model:
         counts = np.bincount(word, minlength=n)
         sums, counts = sums[counts > 0], counts[counts > 0]
         s, k = np.cumsum(np.append(0.0, sums)), np.cumsum(np.append(0, counts))
-        first = np.arange(0, max(1, len(sums) - WINDOW + STRIDE), STRIDE)
+        first = np.arange(max(1, len(sums) - WINDOW + 1))
         last = np.minimum(first + WINDOW, len(sums))
         return float(((s[last] - s[first]) / (k[last] - k[first])).max() + self.bias)
 

@@ -198,6 +198,15 @@ def test_model_knows_insults_and_their_misspellings():
     assert model.score(None) == model.score("") == model.score(" ,.") == 0.0
 
 
+def test_a_passage_scores_the_same_wherever_it_stands():
+    weights = np.zeros(toxicity.BUCKETS)
+    phrase = "six words that belong together here"
+    weights[toxicity.ngrams(phrase)[1]] = 1.0
+    model = toxicity.Model(weights, 0.0, 0.0, 1.0)
+    found = [model.logit(f"{'zzzz ' * k}{phrase}{' zzzz' * 9}") for k in range(7)]
+    assert found == [pytest.approx(1.0)] * 7
+
+
 def test_parts_of_a_long_text_overlap_by_a_window():
     text = " ".join(f"w{i}" for i in range(2000))
     parts = list(toxicity._parts(text, 400))
