@@ -104,6 +104,7 @@ _SPELLED = {w: str(d) for words in (
     for d, w in enumerate(words.split())} | {"oh": "0", "nought": "0", "zwo": "2", "zero": "0", "six": "6"}
 _NUMBER = "(?:" + "|".join(sorted(_SPELLED, key=len, reverse=True)) + ")"
 _DOT_WORDS, _AT_WORDS = "dot|punkt|point|punto", "at|arobase|arroba"
+_GAP = r"(?:[\x20\t]{1,3}|\n)"  # between the words of an address
 _ITEM = rf"(?:{_NUMBER}|[0-9]+|{_DOT_WORDS})"
 # a run of digits in words: seven items at least, so that prose about one or two stays as it is
 _COUNTING = "0123456789" + "9876543210"
@@ -112,14 +113,14 @@ _BRACKETED = re.compile(
     rf"(?i)[\x20]?[\[({{<]\s?(?:(?P<at>{_AT_WORDS}|@)|(?:{_DOT_WORDS}|\.))\s?[\])}}>][\x20]?"
     rf"|[_*~-](?:(?P<at2>{_AT_WORDS})|(?:{_DOT_WORDS}))[_*~-]|(?P<at3>&\#64;|&\#x40;|&commat;)|&\#46;|&\#x2e;|&period;")
 _WORDED = re.compile(  # name at host dot com; a plain dot will do if the name isn't an ordinary word
-    rf"(?i)(?<![A-Za-z0-9._%+-])(?P<name>[A-Za-z0-9_%+-]+(?:(?:\.|\x20(?:{_DOT_WORDS})\x20)[A-Za-z0-9_%+-]+)*)"
-    rf"(?P<at>\x20(?:{_AT_WORDS}|@)\x20|@)(?P<host>[A-Za-z0-9-]+(?:(?:\.|\x20(?:{_DOT_WORDS})\x20)[A-Za-z0-9-]+)+)")
+    rf"(?i)(?<![A-Za-z0-9._%+-])(?P<name>[A-Za-z0-9_%+-]+(?:(?:\.|{_GAP}(?:{_DOT_WORDS}){_GAP})[A-Za-z0-9_%+-]+)*)"
+    rf"(?P<at>{_GAP}(?:{_AT_WORDS}|@){_GAP}|@)(?P<host>[A-Za-z0-9-]+(?:(?:\.|{_GAP}(?:{_DOT_WORDS}){_GAP})[A-Za-z0-9-]+)+)")
 _DOTTED_IP = re.compile(rf"(?i)(?<![0-9.])[0-9]{{1,3}}(?:\s?(?:\.|\b(?:{_DOT_WORDS})\b)\s?[0-9]{{1,3}}){{3}}(?![0-9])")
 _GROUPED = re.compile(r"(?<![0-9])[0-9]{4}([._/|])[0-9]{4}(?:\1[0-9]{4}){2}(?![0-9])")
 _CONFUSED = re.compile(r"(?<![A-Za-z0-9])(?=[A-Za-z\x20-]{0,19}[0-9])[0-9OoQlI](?:[\x20-]?[0-9OoQlI]){14,22}(?![A-Za-z0-9])")
 _TRACE = re.compile(
-    rf"(?i)[\[({{<]\s?(?:{_AT_WORDS}|{_DOT_WORDS}|@|\.)\s?[\])}}>]|\x20(?:{_DOT_WORDS})\x20[A-Za-z0-9]"
-    rf"|\x20(?:{_AT_WORDS}|@)\x20[A-Za-z0-9-]+\.[A-Za-z0-9]|[_*~-](?:{_DOT_WORDS})[_*~-]|&(?:\#64|\#x40|commat|\#46|\#x2e|period);")
+    rf"(?i)[\[({{<]\s?(?:{_AT_WORDS}|{_DOT_WORDS}|@|\.)\s?[\])}}>]|{_GAP}(?:{_DOT_WORDS}){_GAP}[A-Za-z0-9]"
+    rf"|{_GAP}(?:{_AT_WORDS}|@){_GAP}[A-Za-z0-9-]+\.[A-Za-z0-9]|[_*~-](?:{_DOT_WORDS})[_*~-]|&(?:\#64|\#x40|commat|\#46|\#x2e|period);")
 _COUNTED = frozenset(_SPELLED) | frozenset(_DOT_WORDS.split("|"))
 _BETWEEN = str.maketrans("-,", "  ")
 
@@ -175,12 +176,12 @@ def _bracket(m: re.Match) -> str:
 
 
 def _address(m: re.Match) -> str | None:
-    worded = re.search(rf"(?i)\x20(?:{_DOT_WORDS})\x20", m["host"])
-    if m["at"] == "@" and not worded and " " not in m["name"]:
+    worded = re.search(rf"(?i){_GAP}(?:{_DOT_WORDS}){_GAP}", m["host"])
+    if m["at"] == "@" and not worded and not re.search(r"\s", m["name"]):
         return None
     if "@" not in m["at"] and not worded and not re.search(r"[0-9._]", m["name"]):
         return None  # "look at example.com"
-    dots = lambda s: re.sub(rf"(?i)\x20(?:{_DOT_WORDS})\x20", ".", s)
+    dots = lambda s: re.sub(rf"(?i){_GAP}(?:{_DOT_WORDS}){_GAP}", ".", s)
     return f"{dots(m['name'])}@{dots(m['host'])}"
 
 

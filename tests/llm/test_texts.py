@@ -141,6 +141,14 @@ def test_ordinary_texts_are_left_alone(text):
     assert private_data.spans(text) == ([], []) and private_data.redacted(text) == text
 
 
+@pytest.mark.parametrize("text", ["john  at   example  dot  com", "john\tat\texample\tdot\tcom", "john at\nexample dot com",
+                                  "john\nat example\ndot com", "john.doe  at  example.com", "j1\tat\texample.com"])
+def test_worded_addresses_over_other_gaps(text):
+    assert private_data.spans(f"mail {text}, please")[1] == [("email", 5, 5 + len(text))]
+    assert private_data.redacted(f"mail {text}, please") == "mail [EMAIL], please"
+    assert private_data.spans("look  at\nexample.com or a dot\non it")[1] == []
+
+
 def test_long_runs_stay_linear():
     for text in ("a" * 300_000, "1" * 300_000, "1." * 150_000, " one" * 50_000, "+1" + " " * 300_000, "@" * 100_000, "a@" * 100_000):
         private_data.spans(text)
