@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, main_text, mixing, near_dedup, packing, private_data, quality, sharding, token_store, toxicity
+from . import (
+    curve_search, embedding_dedup, lexical_search, main_text, mixing, near_dedup, packing, prefix_trie, private_data, quality,
+    sharding, token_store, toxicity,
+)
 from .common import read_table
 
 
@@ -50,6 +53,18 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op10(read_table(spark, sf_dir, "documents"))
 
 
+def op11_curve_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curve_search.op11(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.op12(read_table(spark, sf_dir, "conversations"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.op13(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [f for name, f in globals().items() if name.startswith("op") and name[2:3].isdigit()]
     return {f.__name__: f for f in sorted(found, key=lambda f: int(f.__name__[2:].split("_")[0]))}
