@@ -6,7 +6,9 @@
         [--fpfn-analysis] [--fpfn-analysis-samples 1] [--fpfn-analysis-fraction 0.1]
 
 The session comes from the launcher (``SparkSession.builder.getOrCreate()``);
-results are written below ``--out``.
+results are written below ``--out``. ``--reuse DIR`` keeps finished results
+there (by parameters and input files) and reads them back when a job is
+started again.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from tessera.plans.jobs import market_basket_job, near_duplicate_job
 from tessera.plans.near_duplicates import LshParams
 from tessera.plans.registry import MIN_STD_LIFT
 from tessera.sources.readers import read_conditions_csv, read_documents_json
+from tessera.sources.store import ResultStore
 
 
 # The option names of the two command lines. Defaults are those of the library.
@@ -48,16 +51,20 @@ def _parser() -> argparse.ArgumentParser:
     nd.add_argument("--fpfn-analysis", action="store_true")
     nd.add_argument("--fpfn-analysis-samples", type=int, default=1)
     nd.add_argument("--fpfn-analysis-fraction", type=float, default=0.1)
+    for one in (mb, nd):
+        one.add_argument("--reuse", default=None, help="folder of finished results")
     return ap
 
 
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"tessera-{args.job}").getOrCreate()
+    reuse = ResultStore(spark, args.reuse) if args.reuse else None
     if args.job == "market-basket":
         support = int(args.support) if args.support >= 1 else float(args.support)
         events = read_conditions_csv(spark, args.file)
-        market_basket_job(events, args.out, "PATIENT", "CODE", "DESCRIPTION", support, args.standardised_lift)
+        market_basket_job(events, args.out, "PATIENT", "CODE", "DESCRIPTION", support, args.standardised_lift,
+                          reuse=reuse)
         return 0
     docs = read_documents_json(spark, args.file)
     params = LshParams(args.k, args.bands, args.rows, args.seed, args.similarity_threshold)
@@ -66,7 +73,7 @@ def main(argv: list[str] | None = None) -> int:
         query = docs.select("tweet_id").filter(F.col("tweet_id").cast("string") == F.lit(args.similar_to))
     near_duplicate_job(docs, args.out, "tweet_id", "text", params, query,
                        args.fpfn_analysis_fraction if args.fpfn_analysis else None,
-                       args.fpfn_analysis_samples)
+                       args.fpfn_analysis_samples, reuse)
     return 0
 
 

@@ -171,3 +171,34 @@ def shingles_with_signature(text: Column, k: int, params: list[tuple[int, int]])
         return pd.DataFrame({"shingles": sets, "signature": sigs})
 
     return _both(text)
+
+
+def text_similarity(first: Column, second: Column, k: int) -> Column:
+    """Exact Jaccard (double) of the k-character shingle sets of two texts.
+
+    Both sets are computed where the texts meet and never leave the kernel;
+    the sets of the last few texts are kept, since rows come in runs of one text.
+    """
+    weights = np.array(shingle_weights(k), dtype=np.int64)
+
+    @F.pandas_udf(T.DoubleType())
+    def _similarity(a: pd.Series, b: pd.Series) -> pd.Series:
+        held: dict[str, np.ndarray] = {}
+
+        def tokens(text: str) -> np.ndarray:
+            if text not in held:
+                while len(held) >= 8:
+                    held.pop(next(iter(held)))
+                held[text] = text_shingle_hashes(text, weights)
+            return held[text]
+
+        out = np.empty(len(a))
+        for i, (s, t) in enumerate(zip(a, b)):
+            x, y = tokens(s), tokens(t)
+            both = np.concatenate((x, y))
+            both.sort(kind="stable")  # two sorted runs: one merge
+            common = int((both[1:] == both[:-1]).sum())
+            out[i] = common / (both.size - common)
+        return pd.Series(out)
+
+    return _similarity(first, second)

@@ -1,82 +1,177 @@
-"""Exact all-pairs Jaccard join without a cross join (prefix filtering).
-
-Fix one global order of tokens: ascending token frequency, then token value.
-If J(A, B) >= t, then A and B share a token among the first
-``|A| - ceil(t |A|) + 1`` tokens of A and the first ``|B| - ceil(t |B|) + 1``
-tokens of B (the prefix-filtering principle of set-similarity joins). So
-candidate pairs come from an equi self-join of the *prefix* tokens only, and
-since the rarest tokens come first, prefix groups are small. Candidates are
-then verified with the exact Jaccard, so the result equals brute force.
-
-The frequency table is one partial+final aggregation; prefixes are ranks
-inside each set (a window per set, i.e. the tokens of one row); the pair
-join is an equi-join on the token (AQE splits a hot token).
+"""Exact all-pairs Jaccard join without a cross join (prefix index with filters).
+
+One order holds for all tokens: ascending count in a count-min sketch, then
+token value. The sketch is never below the true count, of a size that is a
+parameter, and shipped to the kernels, so that every set sorts its tokens and
+cuts its prefix in its own row: no token is exchanged or ranked across rows.
+(Any order is valid; counts only make the prefixes of rare tokens.)
+
+Let ``J(X, Y) >= t`` and ``|X| >= |Y|``. Then the two share at least
+``a = ceil(t / (1 + t) (|X| + |Y|))`` tokens, and
+
+* *length*: ``|Y| >= t |X|``, so X and Y lie in the same or in neighbouring
+  size buckets; the bucket is part of the join key;
+* *prefix*: a shared token is among the first ``|X| - ceil(t |X|) + 1`` tokens
+  of the larger set and the first ``|Y| - ceil(2 t / (1 + t) |Y|) + 1`` of the
+  smaller one (of two equally large sets the greater id counts as larger);
+* *place*: with m shared prefix tokens, the last at places i and j, the
+  overlap is at most ``m + min(|X| - i - 1, |Y| - j - 1)``;
+* *suffix*: the overlap is at most the sum over the hash classes of tokens of
+  the smaller number of tokens that either set has in the class.
+
+Pairs that pass all four are verified with the exact Jaccard, so the result
+equals brute force. Tokens of sketch count 1 occur in one set and are left
+out of the index.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+import sys
+from collections.abc import Callable, Iterable, Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql import types as T
 
-from tessera.operators.joins import pairs_within_groups
+from tessera.functions.sketches import WIDTH, CountMin, places
+from tessera.operators.joins import salted_join
 from tessera.operators.similarity import pair_similarity
-from tessera.sources.storage import materialize
+from tessera.sources.storage import materialize, release
+
+try:  # kernels are shipped by value, as in functions.hashing
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(sys.modules[__name__])
+except (ImportError, AttributeError, ValueError):  # pragma: no cover
+    pass
 
 # ceil(t * n) is taken of (t * n - _EPS): the prefix can only get longer, which
 # keeps the filter exact under floating-point rounding.
 _EPS = 1e-9
+CLASSES = 256   # hash classes of the suffix filter
 
 
-def prefix_tokens(sets: DataFrame, threshold: float, id_col: str = "doc_id") -> DataFrame:
-    """``(id, token, size, frequency)`` for the shared tokens in the ``threshold`` prefix of each set.
+def prefix_lengths(n: int, threshold: float) -> tuple[int, int]:
+    """Tokens of a set of ``n`` looked up (as the larger of a pair) and indexed (as the smaller)."""
+    whole = n - math.ceil(threshold * n - _EPS) + 1
+    short = n - math.ceil(2 * threshold / (1 + threshold) * n - _EPS) + 1
+    return min(n, whole), min(n, short)
 
-    Tokens that occur in a single set come first in the global order but can
-    never form a pair, so only tokens with frequency >= 2 are joined back and
-    ranked; the u single-set tokens of a set are accounted for by count
-    (u = size - number of shared tokens), leaving ``p - u`` shared tokens in
-    the prefix of length p.
-    """
+
+def _cut(threshold: float, sketch: CountMin):
+    """A row per prefix token, and one without a token that has the set's class counts."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths = batch.column(1).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            tokens = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            counts, classes = sketch.counts(tokens), places(tokens, 2, CLASSES)
+            rows, token, place, size, count, indexed, histogram = [], [], [], [], [], [], []
+            end = 0
+            for i, n in enumerate(lengths.tolist()):
+                start, end = end, end + n
+                if not n:
+                    continue
+                whole, short = prefix_lengths(n, threshold)
+                first = np.lexsort((tokens[start:end], counts[start:end]))[:whole]
+                common = np.flatnonzero(counts[start:end][first] > 1)
+                first = first[common] + start
+                held = np.bincount(classes[start:end], minlength=CLASSES)
+                rows.append(np.full(len(first) + 1, i))
+                token += [None, *tokens[first].tolist()]
+                place.append(np.concatenate([[-1], common]))
+                size.append(np.full(len(first) + 1, n))
+                count.append(np.concatenate([[0], counts[first]]))
+                indexed.append(np.concatenate([[False], common < short]))
+                # a class too full for 16 bits leaves the set without a suffix filter
+                histogram += [held.astype("<u2").tobytes() if held.max() < 65536 else None, *[None] * len(first)]
+            if not rows:
+                continue
+            flat = lambda parts, kind: pa.array(np.concatenate(parts), kind)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(flat(rows, pa.int64())), pa.array(token, pa.int64()), flat(place, pa.int32()),
+                 flat(size, pa.int32()), flat(count, pa.int64()), flat(indexed, pa.bool_()), pa.array(histogram, pa.binary())],
+                names=["id", "token", "place", "size", "count", "indexed", "histogram"])
+    return run
+
+
+def prefix_tokens(sets: DataFrame, threshold: float, id_col: str = "doc_id", sketch: CountMin | None = None,
+                  width: int = WIDTH) -> DataFrame:
+    """``(id, token, place, size, count, indexed, histogram)``: prefix rows of every set, from its own row alone."""
     if not 0.0 < threshold <= 1.0:
         raise ValueError("threshold must be in (0, 1]")
-    tokens = sets.select(id_col, F.size("shingles").alias("_n"), F.explode("shingles").alias("token"))
-    shared = (tokens.groupBy("token").agg(F.count(F.lit(1)).alias("_f"))
-              .filter(F.col("_f") >= 2))
-    per_set = Window.partitionBy(id_col)
-    ranked = (tokens.join(shared, "token")
-              .withColumn("_r", F.row_number().over(per_set.orderBy("_f", "token")))
-              .withColumn("_m", F.count(F.lit(1)).over(per_set)))
-    prefix_len = F.col("_n") - F.ceil(F.lit(float(threshold)) * F.col("_n") - F.lit(_EPS)) + F.lit(1)
-    unique_first = F.col("_n") - F.col("_m")
-    return (ranked.filter(F.col("_r") <= prefix_len - unique_first)
-            .select(id_col, "token", F.col("_n").alias("size"), F.col("_f").alias("frequency")))
-
-
-def exact_candidate_pairs(prefixes: DataFrame, threshold: float, id_col: str = "doc_id",
-                          group_cols: list[str] | None = None, max_group: int | None = None) -> DataFrame:
-    """``(group..., first, second)``: distinct id pairs sharing a prefix token.
-
-    Pairs whose sizes already rule out ``threshold`` (J <= min/max) are dropped
-    before the distinct.
+    if sketch is None:
+        sketch = CountMin.of(sets, "shingles", width)
+    kind = dict(sets.dtypes)[id_col]
+    return sets.select(F.col(id_col).alias("id"), "shingles").mapInArrow(
+        _cut(float(threshold), sketch),
+        f"id {kind}, token long, place int, size int, count long, indexed boolean, histogram binary")
+
+
+def _least_overlap(threshold: float) -> Column:
+    return F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("nx") + F.col("ny")) - F.lit(_EPS))
+
+
+@F.pandas_udf(T.IntegerType())
+def _overlap_bound(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Sum over the classes of the smaller count; null where a set has no counts."""
+    known = (a.notna() & b.notna()).to_numpy()
+    out = np.full(len(a), -1, np.int64)
+    if known.any():
+        x, y = (np.frombuffer(b"".join(v[known]), "<u2").reshape(-1, CLASSES) for v in (a, b))
+        out[known] = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+    return pd.Series(out).where(known).astype("Int32")
+
+
+def exact_candidate_pairs(prefixes: DataFrame, threshold: float, largest: int | None = None) -> DataFrame:
+    """``(first, second)``: id pairs that pass the four filters, smaller id first.
+
+    ``largest`` is an upper bound of the sets that share a prefix token (the
+    largest sketch count); it tells whether the join needs salting.
     """
-    group_cols = group_cols or []
-    pairs = pairs_within_groups(prefixes.select(*group_cols, "token", id_col, "size"),
-                                [*group_cols, "token"], id_col, carry=["size"], max_group=max_group)
-    size_ok = (F.least("size_1", "size_2").cast("double")
-               >= F.lit(float(threshold)) * F.greatest("size_1", "size_2").cast("double") - F.lit(_EPS))
-    return pairs.filter(size_ok).select(*group_cols, "first", "second").distinct()
+    t = float(threshold)
+    # a little wider than the range of sizes, so that rounding can't separate sizes further than one bucket
+    width = max(math.log(1 / t) * 1.001, 1e-6)
+    rows = prefixes.filter("token is not null").withColumn("bucket", F.floor(F.log(F.col("size").cast("double")) / F.lit(width)))
+    lookup = rows.select("token", F.explode(F.array("bucket", F.col("bucket") - 1)).alias("bucket"), F.col("id").alias("x"),
+                         F.col("size").alias("nx"), F.col("place").alias("i"))
+    index = rows.filter("indexed").select("token", "bucket", F.col("id").alias("y"), F.col("size").alias("ny"),
+                                          F.col("place").alias("j"))
+    if largest is None:
+        largest = prefixes.agg(F.max("count").alias("n")).first()["n"] or 0
+    met = salted_join(lookup, index, ["token", "bucket"], largest).filter(
+        ((F.col("nx") > F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") > F.col("y"))))
+        & (F.col("ny") >= F.lit(t) * F.col("nx") - F.lit(_EPS)))
+    pairs = met.groupBy("x", "y").agg(F.count(F.lit(1)).alias("m"), F.max("i").alias("i"), F.max("j").alias("j"),
+                                      F.max("nx").alias("nx"), F.max("ny").alias("ny"))
+    pairs = pairs.filter(F.col("m") + F.least(F.col("nx") - F.col("i") - 1, F.col("ny") - F.col("j") - 1) >= _least_overlap(t))
+    counts = prefixes.filter("token is null")
+    pairs = (pairs.join(counts.select(F.col("id").alias("x"), F.col("histogram").alias("hx")), "x")
+             .join(counts.select(F.col("id").alias("y"), F.col("histogram").alias("hy")), "y"))
+    bound = F.coalesce(_overlap_bound("hx", "hy").cast("long"), F.lit(1 << 62))
+    return (pairs.filter(bound >= _least_overlap(t))
+            .select(F.least("x", "y").alias("first"), F.greatest("x", "y").alias("second")))
 
 
-def exact_similar_pairs(sets: DataFrame, threshold: float, id_col: str = "doc_id") -> DataFrame:
-    """``(first, second, similarity)`` for every pair with Jaccard >= ``threshold``.
+def exact_similar_pairs(sets: DataFrame, threshold: float, id_col: str = "doc_id",
+                        ids: DataFrame | None = None, verify: Callable[[DataFrame], DataFrame] | None = None,
+                        width: int = WIDTH) -> DataFrame:
+    """``(first, second, similarity)`` for every pair with Jaccard >= ``threshold``, stored.
 
-    The prefixes are materialised; the largest token frequency among them
-    (an upper bound of every token group) is observed in the same pass and
-    decides whether the pair join needs grid salting.
+    ``ids`` (one column ``id``) restricts the sets that take part; the cut is
+    made on prefix rows, not on the sets. ``verify`` adds the similarity to
+    ``(first, second)`` rows; without it the sets are joined.
     """
-    prefixes = prefix_tokens(sets, threshold, id_col)
-    prefixes = materialize(prefixes, "prefix_tokens", {"max_frequency": F.max("frequency")})
-    max_group = int(prefixes._tessera_metrics["max_frequency"] or 0)
-    pairs = exact_candidate_pairs(prefixes, threshold, id_col, max_group=max_group)
-    return (pair_similarity(pairs, sets, id_col)
-            .filter(F.col("similarity") >= F.lit(float(threshold))))
+    prefixes = prefix_tokens(sets, threshold, id_col, width=width)
+    if ids is not None:
+        prefixes = prefixes.join(ids, "id", "left_semi")
+    prefixes = materialize(prefixes, "prefix_tokens", {"largest": F.max("count")})
+    pairs = materialize(exact_candidate_pairs(prefixes, threshold, int(prefixes._tessera_metrics["largest"] or 0)), "exact_candidates")
+    verified = verify(pairs) if verify else pair_similarity(pairs, sets, id_col)
+    out = materialize(verified.filter(F.col("similarity") >= F.lit(float(threshold))).select("first", "second", "similarity"),
+                      "exact_pairs")
+    out._tessera_metrics["candidates"] = pairs._tessera_rows
+    release(prefixes, pairs)
+    return out

@@ -82,6 +82,26 @@ def pairs_within_groups(df: DataFrame, group_cols: list[str], member_col: str,
             .select(*group_cols, "first", "second", *[f"{c}_{k}" for c in carry for k in (1, 2)]))
 
 
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], largest: int, cell: int = PAIR_CELL) -> DataFrame:
+    """Inner equi-join on ``keys`` of two sides whose groups may both be large.
+
+    ``largest`` bounds the rows of a group on either side. Up to ``cell`` rows
+    it is a plain join; beyond, both sides are counted per key, a group of l
+    and r rows is dealt to ceil(l / cell) x ceil(r / cell) cells by the hash
+    of its rows, and every row goes to the cells of its own row or column, so
+    each pair of rows meets once and a cell makes about ``cell``^2 rows.
+    """
+    if largest <= cell:
+        return left.join(right, keys)
+    sizes = (left.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(cell)).cast("int").alias("_l"))
+             .join(right.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(cell)).cast("int").alias("_r")), keys))
+    own = lambda df, n: F.pmod(F.xxhash64(*df.columns), F.col(n).cast("long")).cast("int")
+    other = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    a = left.join(sizes, keys).select(*left.columns, own(left, "_l").alias("_i"), other("_r").alias("_j"))
+    b = right.join(sizes, keys).select(*right.columns, own(right, "_r").alias("_j"), other("_l").alias("_i"))
+    return a.join(b, [*keys, "_i", "_j"]).drop("_i", "_j")
+
+
 def pairs_across_groups(group_pairs: DataFrame, members: DataFrame, group_col: str, member_col: str,
                         cell: int = PAIR_CELL, max_group: int | None = None) -> DataFrame:
     """``(first, second, <values>, _x1, _x2)``: every member combination of each group pair.

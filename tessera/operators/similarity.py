@@ -15,12 +15,13 @@ ever collected into a single array.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import hash_family, minhash_signature, shingle_hashes
+from tessera.functions.hashing import hash_family, minhash_signature, shingle_hashes, text_similarity
 from tessera.functions.setsim import jaccard, matching_positions
-from tessera.operators.joins import ensure_parallelism, pairs_within_groups
+from tessera.functions.sketches import BLOOM_BITS, Bloom
+from tessera.operators.joins import ensure_parallelism, known_rows, pairs_within_groups
 from tessera.sources.storage import materialize
 
 # Defaults of the job (shingle size, bands, rows per band, seed, threshold).
@@ -108,10 +109,54 @@ def pair_similarity(pairs: DataFrame, shingle_sets: DataFrame, id_col: str = "do
             .select(*pairs.columns, jaccard("_s1", "_s2").alias("similarity")))
 
 
+def texts_of(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", bits: int = BLOOM_BITS) -> DataFrame:
+    """The rows of ``docs`` whose id is in ``ids`` (same column), and few others.
+
+    A Bloom filter of the ids, of a size that is a parameter, is applied in
+    the scan: texts that nobody asked for cross no exchange. Its false hits
+    cost work only; every use joins the exact ids later.
+    """
+    return docs.filter(Bloom.of(ids, id_col, bits).may_hold(id_col))
+
+
+def text_pair_similarity(pairs: DataFrame, docs: DataFrame, k: int = SHINGLE_SIZE, id_col: str = "doc_id") -> DataFrame:
+    """``pairs`` (``first``, ``second``, ...) with the exact Jaccard ``similarity`` of the two texts' shingle sets.
+
+    Texts travel to the pairs, an eighth of the size of their sets; the sets
+    are computed where both texts are and cross no exchange. Every id of
+    ``docs`` is there once.
+    """
+    ids = (pairs.select(F.col("first").alias(id_col)).unionByName(pairs.select(F.col("second").alias(id_col)))).distinct()
+    wanted = texts_of(docs.select(id_col, "text"), ids, id_col)
+    side = lambda c: wanted.select(F.col(id_col).alias(c), F.col("text").alias(f"_{c}"))
+    joined = pairs.join(side("first"), "first").join(side("second"), "second")
+    # few bytes, much work: as many tasks as there are slots at least
+    joined = joined.repartition(joined.sparkSession.sparkContext.defaultParallelism * 2, "second") if _small(pairs) else joined
+    return joined.select(*pairs.columns, text_similarity(F.col("_first"), F.col("_second"), k).alias("similarity"))
+
+
+def _small(pairs: DataFrame) -> bool:
+    return (known_rows(pairs) or 0) > 0 and known_rows(pairs) < 100_000
+
+
+def size_test(threshold: float, n_first: Column, n_second: Column) -> Column:
+    """Whether two sets of these sizes can have a Jaccard of ``threshold``."""
+    small, large = F.least(n_first, n_second).cast("double"), F.greatest(n_first, n_second).cast("double")
+    return small >= F.lit(float(threshold) - 1e-9) * large
+
+
 def similar_pairs(pairs: DataFrame, shingle_sets: DataFrame, threshold: float = THRESHOLD,
                   id_col: str = "doc_id") -> DataFrame:
-    """Candidate pairs whose exact Jaccard similarity is at least ``threshold``."""
-    return (pair_similarity(pairs, shingle_sets, id_col)
+    """Candidate pairs whose exact Jaccard similarity is at least ``threshold``.
+
+    Sizes are compared on narrow rows first; sets are fetched for the pairs
+    that can still reach the threshold.
+    """
+    sizes = shingle_sets.select(id_col, F.size("shingles").alias("_n"))
+    n = lambda c: sizes.select(F.col(id_col).alias(c), F.col("_n").alias(f"_n_{c}"))
+    able = (pairs.join(n("first"), "first").join(n("second"), "second")
+            .filter(size_test(threshold, F.col("_n_first"), F.col("_n_second"))).select(*pairs.columns))
+    return (pair_similarity(able, shingle_sets, id_col)
             .filter(F.col("similarity") >= F.lit(float(threshold))))
 
 

@@ -10,8 +10,10 @@ instead of by document; sets with equal keys are taken for equal.
    only those are stored, not the shingle sets, which are larger than the texts;
 2. band rows deduplicated to ``(copy_key, band, bucket)`` (narrow rows; copies
    collapse map-side);
-3. key pairs from the bucket self-join, verified by exact Jaccard; the sets of
-   the keys in pairs are computed again from one text each;
+3. key pairs from the bucket self-join; the sizes in the keys rule out most of
+   the false ones before anything is fetched; the others are verified by exact
+   Jaccard on one text of each key, fetched past a Bloom filter, so that no
+   other text and no shingle set crosses an exchange;
 4. document pairs only at the end: key pairs joined with the key members on
    both sides, plus the pairs inside each copy group (similarity 1.0).
 
@@ -70,16 +72,24 @@ def key_representatives(members: DataFrame, keys: DataFrame | None = None) -> Da
     return members.groupBy("copy_key").agg(F.min("doc_id").alias("rep_id"))
 
 
-def rep_arrays(docs: DataFrame, k: int, reps: DataFrame, repeated_ids: bool) -> DataFrame:
-    """``(rep_id, copy_key, shingles)``: the shingle sets of the representatives, from their texts.
+def can_reach(threshold: float):
+    """The size test on a pair of copy keys, which carry the sizes of their sets."""
+    return sim.size_test(threshold, F.col("first.n"), F.col("second.n"))
 
-    A text counts only if it has the copy key that its document goes by.
-    """
-    texts = docs.join(reps.select(F.col("rep_id").alias("doc_id")), "doc_id", "left_semi")
-    sets = (ensure_parallelism(texts, "doc_id").select(F.col("doc_id").alias("rep_id"), shingle_hashes(F.col("text"), k).alias("shingles"))
-            .withColumn("copy_key", copy_key("shingles")))
-    sets = sets.join(reps, ["rep_id", "copy_key"], "left_semi").select("rep_id", "copy_key", "shingles")
-    return sets.dropDuplicates(["rep_id"]) if repeated_ids else sets
+
+def key_pair_similarity(pairs: DataFrame, members: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """``(first, second, similarity)`` of pairs of copy keys, from one text of each key; stored."""
+    pairs = materialize(pairs.select("first", "second"), "key_pairs")
+    keys = (pairs.select(F.col("first").alias("copy_key")).unionByName(pairs.select(F.col("second").alias("copy_key"))))
+    reps = materialize(key_representatives(members, keys), "key_reps")
+    rep = lambda c: reps.select(F.col("copy_key").alias(c), F.col("rep_id").alias(f"_{c}"))
+    by_rep = materialize(pairs.join(rep("first"), "first").join(rep("second"), "second").select(
+        F.col("_first").alias("first"), F.col("_second").alias("second"), F.col("first").alias("_k1"), F.col("second").alias("_k2")),
+        "rep_pairs")
+    out = materialize(sim.text_pair_similarity(by_rep, docs, k).select(
+        F.col("_k1").alias("first"), F.col("_k2").alias("second"), "similarity"), "key_similarity")
+    release(pairs, reps, by_rep)
+    return out
 
 
 def copy_group_pairs(members: DataFrame, split: int = PAIR_CELL, max_group: int | None = None) -> DataFrame:
@@ -94,19 +104,26 @@ def copy_group_pairs(members: DataFrame, split: int = PAIR_CELL, max_group: int
 
 
 @dataclass
-class NearDuplicates:
+class SignedDocuments:
     params: LshParams
-    docs: DataFrame                # (doc_id, text)                 documents with a shingle at least
+    docs: DataFrame                # (doc_id, text)                 documents with a shingle at least, an id once
     signatures: DataFrame          # (doc_id, copy_key, signature)  one row per document
-    key_candidates: DataFrame      # (first, second) copy keys, first < second
-    key_similarity: DataFrame      # (first, second, similarity) for key candidates
-    repeated_ids: bool             # whether rows of ``docs`` share an id
     stored: list[DataFrame] = field(default_factory=list)   # materialised tables behind the above
 
+    def members(self) -> DataFrame:
+        """``(doc_id, copy_key)`` of every document."""
+        return self.signatures.select("doc_id", "copy_key")
+
     def release(self) -> None:
         """Delete the intermediate tables; nothing derived from them may run afterwards."""
         release(*self.stored)
 
+
+@dataclass
+class NearDuplicates(SignedDocuments):
+    key_candidates: DataFrame | None = None   # (first, second) copy keys, first < second
+    verified: DataFrame | None = None         # (first, second, similarity) for the candidates that pass the size test
+
     # ------------------------------------------------------------- key level
     def largest_copy_group(self) -> int:
         """Members of the largest copy group (one narrow aggregation, computed once)."""
@@ -115,23 +132,21 @@ class NearDuplicates:
                              .agg(F.max("_m").alias("_mx")).first()["_mx"]) or 0
         return self._largest
 
-    def members(self) -> DataFrame:
-        """``(doc_id, copy_key)`` of every document."""
-        return self.signatures.select("doc_id", "copy_key")
-
     def shingles(self) -> DataFrame:
         """``(doc_id, shingles)`` of every document, computed from the texts."""
-        out = ensure_parallelism(self.docs, "doc_id").select("doc_id", shingle_hashes(F.col("text"), self.params.shingle_size).alias("shingles"))
-        if not self.repeated_ids:
-            return out
-        return (out.withColumn("copy_key", copy_key("shingles")).join(self.members(), ["doc_id", "copy_key"], "left_semi")
-                .dropDuplicates(["doc_id"]).select("doc_id", "shingles"))
+        return ensure_parallelism(self.docs, "doc_id").select(
+            "doc_id", shingle_hashes(F.col("text"), self.params.shingle_size).alias("shingles"))
 
-    def arrays(self, reps: DataFrame) -> DataFrame:
-        return rep_arrays(self.docs, self.params.shingle_size, reps, self.repeated_ids)
+    def key_similarity(self) -> DataFrame:
+        """``(first, second, similarity)`` of all key candidates; those that the size test left out are verified now, once."""
+        if getattr(self, "_others", None) is None:
+            others = self.key_candidates.filter(~can_reach(self.params.threshold))
+            self._others = key_pair_similarity(others, self.members(), self.docs, self.params.shingle_size)
+            self.stored.append(self._others)
+        return self.verified.unionByName(self._others)
 
     def key_similar(self) -> DataFrame:
-        return self.key_similarity.filter(F.col("similarity") >= F.lit(float(self.params.threshold)))
+        return self.verified.filter(F.col("similarity") >= F.lit(float(self.params.threshold)))
 
     # ------------------------------------------------------------- doc level
     def expand(self, key_pairs: DataFrame, intra_value_cols: dict | None = None,
@@ -159,15 +174,15 @@ class NearDuplicates:
         return self.expand(self.key_candidates)
 
     def pair_similarity(self) -> DataFrame:
-        return self.expand(self.key_similarity, {"similarity": 1.0})
+        return self.expand(self.key_similarity(), {"similarity": 1.0})
 
     def similar_pairs(self) -> DataFrame:
         return self.expand(self.key_similar(), {"similarity": 1.0})
 
 
-def find_near_duplicates(docs: DataFrame, params: LshParams = LshParams(),
-                         id_col: str = "doc_id", text_col: str = "text") -> NearDuplicates:
-    """Run shingling, MinHash, LSH and verification; see the module doc for the plan."""
+def sign_documents(docs: DataFrame, params: LshParams = LshParams(), id_col: str = "doc_id",
+                   text_col: str = "text") -> SignedDocuments:
+    """Copy key and signature per document: one pass over the texts."""
     kept = (sim.doc_length_filter(docs, params.shingle_size, id_col, text_col)
             .select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
     both = ensure_parallelism(kept, "doc_id").select("doc_id", shingles_with_signature(
@@ -177,24 +192,33 @@ def find_near_duplicates(docs: DataFrame, params: LshParams = LshParams(),
     repeated = materialize(signatures.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("copy_key").alias("copy_key"))
                            .filter("n > 1").select("doc_id", "copy_key"), "repeated_ids")
     stored.append(repeated)
-    repeated_ids = row_count(repeated) > 0
-    if repeated_ids:
+    if row_count(repeated) > 0:
         chosen = signatures.join(repeated, ["doc_id", "copy_key"], "left_semi").dropDuplicates(["doc_id"])
         signatures = materialize(signatures.join(repeated, "doc_id", "left_anti").unionByName(chosen), "signatures")
-        stored.append(signatures)
-    key_bands = (sim.lsh_bands(signatures.select("copy_key", "signature"), params.bands, params.rows, "copy_key")
+        # the text that a repeated id goes by
+        keyed = kept.join(repeated, "doc_id").withColumn("_k", copy_key(shingle_hashes(F.col("text"), params.shingle_size)))
+        one = keyed.filter("_k = copy_key").dropDuplicates(["doc_id"]).select("doc_id", "text")
+        kept = materialize(kept.join(repeated.select("doc_id"), "doc_id", "left_anti").unionByName(one), "unique_docs")
+        stored += [signatures, kept]
+    return SignedDocuments(params, kept, signatures, stored)
+
+
+def find_near_duplicates(docs: DataFrame, params: LshParams = LshParams(),
+                         id_col: str = "doc_id", text_col: str = "text") -> NearDuplicates:
+    """Run shingling, MinHash, LSH and verification; see the module doc for the plan."""
+    return pairs_of_signed(sign_documents(docs, params, id_col, text_col))
+
+
+def pairs_of_signed(signed: SignedDocuments) -> NearDuplicates:
+    """LSH and verification over documents that are signed already."""
+    params = signed.params
+    key_bands = (sim.lsh_bands(signed.signatures.select("copy_key", "signature"), params.bands, params.rows, "copy_key")
                  .distinct())
     key_candidates = materialize(sim.candidate_pairs(key_bands, "copy_key"), "key_candidates")
-
-    # one shingle set per key that takes part in a candidate pair
-    in_pairs = (key_candidates.select(F.col("first").alias("copy_key"))
-                .unionByName(key_candidates.select(F.col("second").alias("copy_key"))))
-    reps = materialize(key_representatives(signatures.select("doc_id", "copy_key"), in_pairs), "key_reps")
-    arrays = materialize(rep_arrays(kept, params.shingle_size, reps, repeated_ids).select("copy_key", "shingles"), "key_sets")
-    key_similarity = materialize(sim.pair_similarity(key_candidates, arrays, "copy_key"), "key_similarity")
-    stored += [key_candidates, reps, key_similarity]
-    release(arrays)
-    return NearDuplicates(params, kept, signatures, key_candidates, key_similarity, repeated_ids, stored)
+    verified = key_pair_similarity(key_candidates.filter(can_reach(params.threshold)), signed.members(), signed.docs,
+                                   params.shingle_size)
+    return NearDuplicates(params, signed.docs, signed.signatures, [*signed.stored, key_candidates, verified],
+                          key_candidates, verified)
 
 
 @dataclass
@@ -209,20 +233,27 @@ class QualityReport:
 def exact_key_pairs(nd: NearDuplicates, keys: DataFrame | None = None) -> DataFrame:
     """Exact key pairs ``(first, second, similarity)`` with Jaccard >= threshold, stored.
 
-    The prefix-filtered join runs on the representatives' ids (cheaper to
-    shuffle and sort than the struct key); only the resulting pairs are mapped
-    back to copy keys, oriented so that ``first < second``. Without ``keys``
-    the whole corpus is compared.
+    The join runs on the representatives' ids; only the resulting pairs are
+    mapped back to copy keys, oriented so that ``first < second``. Without
+    ``keys`` the whole corpus is compared. Sets are computed from the texts in
+    every pass (sketch, prefixes) and stored nowhere; other documents than
+    representatives are left out by a Bloom filter before the kernels and
+    exactly on the prefix rows.
     """
+    k = nd.params.shingle_size
     reps = materialize(key_representatives(nd.members(), keys), "exact_reps")
-    arrays = materialize(nd.arrays(reps).select(F.col("rep_id").alias("doc_id"), "shingles"), "exact_sets")
-    pairs = exact_similar_pairs(arrays, nd.params.threshold, "doc_id")
+    ids = reps.select(F.col("rep_id").alias("doc_id"))
+    texts = sim.texts_of(nd.docs, ids)
+    sets = ensure_parallelism(texts, "doc_id").select("doc_id", shingle_hashes(F.col("text"), k).alias("shingles"))
+    pairs = exact_similar_pairs(sets, nd.params.threshold, "doc_id", ids=ids.select(F.col("doc_id").alias("id")),
+                                verify=lambda p: sim.text_pair_similarity(p, nd.docs, k))
     r1 = reps.select(F.col("rep_id").alias("first"), F.col("copy_key").alias("_k1"))
     r2 = reps.select(F.col("rep_id").alias("second"), F.col("copy_key").alias("_k2"))
     keyed = pairs.join(r1, "first").join(r2, "second")
     out = materialize(keyed.select(F.least("_k1", "_k2").alias("first"), F.greatest("_k1", "_k2").alias("second"),
                                    "similarity"), "key_exact")
-    release(reps, arrays)
+    out._tessera_metrics["candidates"] = pairs._tessera_metrics["candidates"]
+    release(reps, pairs)
     nd.stored.append(out)
     return out
 

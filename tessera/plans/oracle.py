@@ -96,6 +96,7 @@ def market_basket_sql() -> dict[str, str]:
     q["basket_distinct"] = ORDER_BRAND
     q["basket_count"] = f"SELECT count(DISTINCT basket) AS n_baskets FROM ({ORDER_BRAND})"
     q["frequent_items"] = _with(_levels(ORDER_BRAND, OB), "SELECT item, support FROM f1")
+    q["materialize"] = q["frequent_items"]
     prune = _levels(ORDER_BRAND_TYPE, reg.PRUNE_SUPPORT)
     q["prune_infrequent"] = _with(prune, "SELECT basket, item FROM b WHERE item IN (SELECT item FROM f1)")
     q["basket_itemlists"] = _with(prune, "SELECT basket, array_to_string(items, ';') AS items FROM bl")
@@ -154,6 +155,13 @@ LEFT JOIN d d1 ON d1.item = split_part(m.lhs, ',', 1)
 LEFT JOIN d d2 ON d2.item = nullif(split_part(m.lhs, ',', 2), '')
 LEFT JOIN d dr ON dr.item = m.rhs
 WHERE m.std_lift >= {reg.MIN_STD_LIFT}""")
+    q["text_sink"] = f"SELECT row_number() OVER (ORDER BY line DESC) AS rank, line FROM ({q['rule_lines']})"
+    q["parquet_sink"] = ("SELECT row_number() OVER (ORDER BY support DESC, item_1, item_2) AS rank, item_1, item_2, support "
+                         f"FROM ({q['frequent_pairs']})")
+    q["top_pairs_tsv"] = ("SELECT '[''' || coalesce(description_1, item_1) || ''', ''' || coalesce(description_2, item_2) || ''']' "
+                          f"AS pair, support AS count FROM ({q['top_pairs']})")
+    q["csv_scan"] = "SELECT event_id, user_id, event_type, value, props FROM events"
+    q["json_scan"] = "SELECT doc_id, md5(text) AS text_md5, lang, source, n_chars FROM documents"
     return q
 
 
@@ -254,6 +262,7 @@ GROUP BY c.first, c.second""")
 SELECT first AS doc_id, second AS similar_id FROM simp WHERE first IN (SELECT doc_id FROM tox)
 UNION ALL
 SELECT second AS doc_id, first AS similar_id FROM simp WHERE second IN (SELECT doc_id FROM tox)""")
+    q["similar_to_pairs"] = q["similar_to"]
     q["exact_similar_pairs"] = _with(sim + f""",
 sp AS (SELECT a.doc_id AS first, b.doc_id AS second FROM sizes a JOIN sizes b
        ON a.doc_id < b.doc_id AND least(a.n, b.n)::DOUBLE >= {t} * greatest(a.n, b.n)::DOUBLE - 1e-9),

@@ -18,7 +18,12 @@ from tessera.plans import catalog
 from tessera.operators import quality as qa
 from tessera.operators import similarity as sim
 from tessera.plans.market_basket import mine_itemsets
-from tessera.plans.near_duplicates import LshParams, analyze_quality, exact_key_pairs, find_near_duplicates
+from tessera.plans.lsh_index import build_index
+from tessera.plans.near_duplicates import LshParams, analyze_quality, exact_key_pairs, pairs_of_signed, sign_documents
+from tessera.sources.readers import load_csv, load_json, read_table
+from tessera.sources.sinks import read_ordered, write_ordered, write_top_itemsets_tsv
+from tessera.sources.storage import new_folder
+from tessera.sources.store import ResultStore, path_fingerprint
 
 # Fixed job parameters (relative supports keep their meaning across scale factors).
 ORDER_BRAND_SUPPORT = 0.004      # fraction of orders
@@ -38,7 +43,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 # Materialised intermediate results, reused by the jobs of one application
-# (they live in the checkpoint folder); ``clear_cache`` forces recomputation.
+# (they live in the checkpoint folder) as long as the files of the tables that
+# they come from are the same; ``clear_cache`` forces recomputation.
 _CACHE: dict = {}
 
 
@@ -46,8 +52,17 @@ def clear_cache() -> None:
     _CACHE.clear()
 
 
-def _memo(spark: SparkSession, key: tuple, build):
-    full = (spark.sparkContext.applicationId, *key)
+_BASKET_TABLES = ("lineitem", "part", "orders", "events")
+
+
+def _version(spark: SparkSession, sf_dir: str, *tables: str) -> tuple:
+    """Application, folder and state of the tables' files."""
+    return (spark.sparkContext.applicationId, sf_dir,
+            path_fingerprint(spark, *[f"{sf_dir.rstrip('/')}/{t}.parquet" for t in tables]))
+
+
+def _memo(version: tuple, key: tuple, build):
+    full = (*version, *key)
     if full not in _CACHE:
         _CACHE[full] = build()
     return _CACHE[full]
@@ -63,25 +78,36 @@ _BASKETS = {
 def _mined(spark, sf_dir, kind="order_brand", max_k=3):
     """Levels up to ``max_k``; a run that went further is used where there is one."""
     baskets, support = _BASKETS[kind]
+    version = _version(spark, sf_dir, *_BASKET_TABLES)
     for k in range(3, max_k, -1):
-        if (found := _CACHE.get((spark.sparkContext.applicationId, "itemsets", sf_dir, kind, support, k))) is not None:
+        if (found := _CACHE.get((*version, "itemsets", kind, support, k))) is not None:
             return found
-    return _memo(spark, ("itemsets", sf_dir, kind, support, max_k),
+    return _memo(version, ("itemsets", kind, support, max_k),
                  lambda: mine_itemsets(baskets(spark, sf_dir), support, max_k))
 
 
+def _signed(spark, sf_dir, params=LSH):
+    return _memo(_version(spark, sf_dir, "documents"), ("signed", params),
+                 lambda: sign_documents(catalog.documents(spark, sf_dir), params))
+
+
 def _near_dups(spark, sf_dir, params=LSH):
-    return _memo(spark, ("near_dups", sf_dir, params),
-                 lambda: find_near_duplicates(catalog.documents(spark, sf_dir), params))
+    return _memo(_version(spark, sf_dir, "documents"), ("near_dups", params),
+                 lambda: pairs_of_signed(_signed(spark, sf_dir, params)))
+
+
+def _index(spark, sf_dir):
+    return _memo(_version(spark, sf_dir, "documents"), ("index", LSH),
+                 lambda: build_index(_signed(spark, sf_dir), new_folder(spark, "lsh-index")))
 
 
 def _quality(spark, sf_dir, params=LSH, fraction=FPFN_FRACTION, rounds=FPFN_ROUNDS):
-    return _memo(spark, ("quality", sf_dir, params, fraction, rounds),
+    return _memo(_version(spark, sf_dir, "documents"), ("quality", params, fraction, rounds),
                  lambda: analyze_quality(_near_dups(spark, sf_dir, params), fraction, rounds))
 
 
 def _exact(spark, sf_dir):
-    return _memo(spark, ("exact", sf_dir, LSH), lambda: exact_key_pairs(_near_dups(spark, sf_dir)))
+    return _memo(_version(spark, sf_dir, "documents"), ("exact", LSH), lambda: exact_key_pairs(_near_dups(spark, sf_dir)))
 
 
 def _flat_rules(df: DataFrame) -> DataFrame:
@@ -215,7 +241,66 @@ def q_rule_lines(spark, sf_dir):
     return rl.rule_lines(rules, catalog.brand_dictionary(spark, sf_dir)).select("line")
 
 
+def q_materialize(spark, sf_dir):
+    """Frequent items through the result store: built where they are absent, then read back."""
+    store = ResultStore(spark)
+    inputs = [read_table(spark, sf_dir, t) for t in ("lineitem", "part")]
+    params = {"baskets": "order_brand", "min_support": ORDER_BRAND_SUPPORT}
+    store.get("frequent_items", params, inputs, lambda: q_frequent_items(spark, sf_dir))
+    return store.find("frequent_items", params, inputs)
+
+
+# ------------------------------------------------------------------ sources and sinks
+
+def q_csv_scan(spark, sf_dir):
+    """The events table written as CSV (gzip, with header) and read back by type."""
+    path = new_folder(spark, "events-csv")
+    events = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props")
+    events.write.options(header=True, quote='"', escape='"', compression="gzip", emptyValue='""').csv(path)
+    return load_csv(spark, path, {"event_id": "bigint", "user_id": "bigint", "value": "double"}).good
+
+
+def q_json_scan(spark, sf_dir):
+    """The documents table written as JSON lines (bz2) and read back by type."""
+    path = new_folder(spark, "documents-json")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    docs.write.option("compression", "bzip2").json(path)
+    good = load_json(spark, path, docs.schema).good
+    return good.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), "lang", "source", "n_chars")
+
+
+def q_text_sink(spark, sf_dir):
+    """Rule lines written as text in order, over several files, and read back with their ranks."""
+    m = _mined(spark, sf_dir)
+    rules = rl.association_rules(m.items, m.pairs, m.triples, m.n_baskets(), MIN_STD_LIFT)
+    lines = rl.rule_lines(rules, catalog.brand_dictionary(spark, sf_dir)).select("line")
+    path = new_folder(spark, "rule-lines")
+    write_ordered(lines, [F.col("line").desc()], path)
+    return read_ordered(spark, path, "text", lines.schema)
+
+
+def q_top_pairs_tsv(spark, sf_dir):
+    """The tab-separated report of the top pairs, read back."""
+    path = new_folder(spark, "top-pairs")
+    top = its.top_itemsets(_mined(spark, sf_dir, max_k=2).pairs, catalog.brand_dictionary(spark, sf_dir), TOP_N)
+    write_top_itemsets_tsv(top, path, "pair")
+    return spark.read.schema("pair string, count bigint").options(sep="\t", header=True).csv(path)
+
+
+def q_parquet_sink(spark, sf_dir):
+    """Frequent pairs written as gzip Parquet in order of support, over several files, and read back with their ranks."""
+    pairs, path = _mined(spark, sf_dir, max_k=2).pairs.select("item_1", "item_2", "support"), new_folder(spark, "pairs-parquet")
+    write_ordered(pairs, [F.col("support").desc(), "item_1", "item_2"], path, "parquet", {"compression": "gzip"})
+    return read_ordered(spark, path, "parquet", pairs.schema)
+
+
 MARKET_BASKET: dict[str, Query] = {
+    "csv_scan": q_csv_scan,
+    "json_scan": q_json_scan,
+    "text_sink": q_text_sink,
+    "top_pairs_tsv": q_top_pairs_tsv,
+    "parquet_sink": q_parquet_sink,
+    "materialize": q_materialize,
     "item_dictionary": q_item_dictionary,
     "basket_distinct": q_basket_distinct,
     "basket_count": q_basket_count,
@@ -292,7 +377,13 @@ def q_signature_similarity(spark, sf_dir):
 
 
 def q_similar_to(spark, sf_dir):
-    """Near duplicates of every document labelled toxic (batch lookup)."""
+    """Near duplicates of every document labelled toxic, looked up in the stored index."""
+    queries = catalog.documents(spark, sf_dir).join(catalog.toxic_documents(spark, sf_dir), "doc_id", "left_semi")
+    return _index(spark, sf_dir).lookup(queries).select("doc_id", "similar_id")
+
+
+def q_similar_to_pairs(spark, sf_dir):
+    """The same from the table of all similar pairs."""
     queries = catalog.toxic_documents(spark, sf_dir)
     return sim.similar_to(_near_dups(spark, sf_dir).similar_pairs(), queries)
 
@@ -352,6 +443,7 @@ NEAR_DUPLICATES: dict[str, Query] = {
     "similar_pairs": q_similar_pairs,
     "signature_similarity": q_signature_similarity,
     "similar_to": q_similar_to,
+    "similar_to_pairs": q_similar_to_pairs,
     "exact_similar_pairs": q_exact_similar_pairs,
     "false_negatives_corpus": q_false_negatives_corpus,
     "doc_sample": q_doc_sample,

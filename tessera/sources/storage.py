@@ -29,6 +29,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         "(HDFS/S3/ABFS) that every executor can read")
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path in the checkpoint folder that nothing uses yet."""
+    return f"{checkpoint_root(spark)}/tessera/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, name: str = "table", metrics: dict | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the checkpoint folder and return the re-read table.
 
@@ -40,7 +45,7 @@ def materialize(df: DataFrame, name: str = "table", metrics: dict | None = None)
     kept in ``_tessera_metrics``.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/tessera/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     rows = Observation(f"rows_{name}")
     extra = [col.alias(key) for key, col in (metrics or {}).items()]
     df.observe(rows, F.count(F.lit(1)).alias("rows"), *extra).write.mode("errorifexists").parquet(path)

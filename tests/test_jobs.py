@@ -60,3 +60,25 @@ def test_command_line_runs_both_jobs(spark):
     pairs = spark.read.parquet(os.path.join(d, "nd", "similar_pairs")).collect()
     assert [(r.first, r.second, r.similarity) for r in pairs] == [("t0", "t1", 1.0)]
     assert [r.similar_id for r in spark.read.parquet(os.path.join(d, "nd", "similar_to")).collect()] == ["t1"]
+
+
+def test_jobs_read_back_what_was_finished(spark, tmp_path, monkeypatch):
+    from tessera.plans import jobs
+    from tessera.sources.store import ResultStore
+
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    part = spark.read.parquet(f"{SF001}/part.parquet")
+    docs = catalog.documents(spark, SF001)
+    run = lambda n: (
+        market_basket_job(li.join(part, li.l_partkey == part.p_partkey).select("l_orderkey", "p_brand"), str(tmp_path / f"mb{n}"),
+                          "l_orderkey", "p_brand", min_support=8, reuse=ResultStore(spark, str(tmp_path / "reuse"))),
+        near_duplicate_job(docs, str(tmp_path / f"nd{n}"), reuse=ResultStore(spark, str(tmp_path / "reuse"))))
+    rows = lambda df: sorted(map(str, df.collect()))
+    basket, near = run(1)
+    for name in ("mine_itemsets", "find_near_duplicates"):
+        monkeypatch.setattr(jobs, name, None)      # nothing may be computed again
+    basket_2, near_2 = run(2)
+    assert basket.n_baskets == basket_2.n_baskets
+    for a, b in ((basket.levels[2], basket_2.levels[2]), (basket.levels[3], basket_2.levels[3]), (basket.rules, basket_2.rules),
+                 (near.signatures, near_2.signatures), (near.similar_pairs, near_2.similar_pairs)):
+        assert rows(a) == rows(b)
