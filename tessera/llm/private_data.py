@@ -112,9 +112,24 @@ _SPELLED_RUN = re.compile(rf"(?i)\b(?:plus[\s-]+)?{_ITEM}(?:[\s,-]+{_ITEM}){{6,}
 _BRACKETED = re.compile(
     rf"(?i)[\x20]?[\[({{<]\s?(?:(?P<at>{_AT_WORDS}|@)|(?:{_DOT_WORDS}|\.))\s?[\])}}>][\x20]?"
     rf"|[_*~-](?:(?P<at2>{_AT_WORDS})|(?:{_DOT_WORDS}))[_*~-]|(?P<at3>&\#64;|&\#x40;|&commat;)|&\#46;|&\#x2e;|&period;")
-_WORDED = re.compile(  # name at host dot com; a plain dot will do if the name isn't an ordinary word
-    rf"(?i)(?<![A-Za-z0-9._%+-])(?P<name>[A-Za-z0-9_%+-]+(?:(?:\.|{_GAP}(?:{_DOT_WORDS}){_GAP})[A-Za-z0-9_%+-]+)*)"
-    rf"(?P<at>{_GAP}(?:{_AT_WORDS}|@){_GAP}|@)(?P<host>[A-Za-z0-9-]+(?:(?:\.|{_GAP}(?:{_DOT_WORDS}){_GAP})[A-Za-z0-9-]+)+)")
+# an address in words is looked for from its at sign outwards, so no run of names is walked twice
+_SIGN = re.compile(rf"(?i){_GAP}(?P<sign>{_AT_WORDS}|@){_GAP}|@")
+_HOST = re.compile(rf"(?i)[A-Za-z0-9-]{{1,63}}+(?:(?:\.|{_GAP}(?:{_DOT_WORDS}){_GAP})[A-Za-z0-9-]{{1,63}}+){{1,8}}+")
+_DOT_BETWEEN = re.compile(rf"(?i){_GAP}(?P<dot>{_DOT_WORDS}){_GAP}")
+_DOT_BEFORE = re.compile(rf"(?i)[A-Za-z0-9_%+-]{_GAP}(?:{_DOT_WORDS}){_GAP}$")
+_NAME_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+# Last labels that a spoken address ends in (those that are everyday words are left out),
+# and everyday English words around "at" that are neither a name nor a host.
+_ENDINGS = frozenset(
+    "com org net edu gov mil info biz name pro dev app io ai eu de fr es uk ch nl pl cz se dk fi pt gr ru ua cn jp kr br mx ar "
+    "cl ca au nz za ie lu hu ro bg hr sk si ee lv lt tr il sg hk tw".split())
+_EVERYDAY = frozenset(
+    "a an the this that these those one some any every each no all both another what which whose my your his her its our their "
+    "i you he she it we they me him us them here there where when once only just not now then still and or but as than so if "
+    "is are was were be been being am do does did has have had look looks looked looking arrive arrives arrived arriving stay "
+    "stays stayed live lives lived work works worked working stop stops stopped start starts started point points pointed aim "
+    "aimed stare stared glance glanced sold buy bought found find see saw seen held meet met visit visited available based "
+    "best least last first most".split())
 _DOTTED_IP = re.compile(rf"(?i)(?<![0-9.])[0-9]{{1,3}}(?:\s?(?:\.|\b(?:{_DOT_WORDS})\b)\s?[0-9]{{1,3}}){{3}}(?![0-9])")
 _GROUPED = re.compile(r"(?<![0-9])[0-9]{4}([._/|])[0-9]{4}(?:\1[0-9]{4}){2}(?![0-9])")
 _CONFUSED = re.compile(r"(?<![A-Za-z0-9])(?=[A-Za-z\x20-]{0,19}[0-9])[0-9OoQlI](?:[\x20-]?[0-9OoQlI]){14,22}(?![A-Za-z0-9])")
@@ -141,12 +156,14 @@ class Rewritten:
 
     def rewrite(self, pattern: re.Pattern, to) -> Rewritten:
         """Every match becomes ``to(match)``; its characters stand for the whole match."""
+        return self.replace((*m.span(), to(m)) for m in pattern.finditer(self.text))
+
+    def replace(self, places: Iterable[tuple[int, int, str | None]]) -> Rewritten:
+        """Every ``(start, end, out)``, in order and apart, becomes ``out`` (None: stays)."""
         parts, starts, ends, changed, last = [], [], [], [], 0
-        for m in pattern.finditer(self.text):
-            out = to(m)
-            if out is None or out == m[0]:
+        for a, b, out in places:
+            if out is None or out == self.text[a:b]:
                 continue
-            a, b = m.span()
             parts += (self.text[last:a], out)
             starts += (self.start[last:a], np.full(len(out), self.start[a]))
             ends += (self.end[last:a], np.full(len(out), self.end[b - 1]))
@@ -175,14 +192,61 @@ def _bracket(m: re.Match) -> str:
     return "@" if m["at"] or m["at2"] or m["at3"] else "."
 
 
-def _address(m: re.Match) -> str | None:
-    worded = re.search(rf"(?i){_GAP}(?:{_DOT_WORDS}){_GAP}", m["host"])
-    if m["at"] == "@" and not worded and not re.search(r"\s", m["name"]):
-        return None
-    if "@" not in m["at"] and not worded and not re.search(r"[0-9._]", m["name"]):
-        return None  # "look at example.com"
-    dots = lambda s: re.sub(rf"(?i){_GAP}(?:{_DOT_WORDS}){_GAP}", ".", s)
-    return f"{dots(m['name'])}@{dots(m['host'])}"
+def _name_start(text: str, end: int, free: int) -> int:
+    """Where the name before an at sign begins: pieces joined by a dot or a dot in words, nine at most."""
+    start = end
+    for _ in range(9):
+        run = start
+        while run > free and text[run - 1] in _NAME_CHARS:
+            run -= 1
+        while run < start and text[run] == ".":
+            run += 1
+        if run == start:
+            break
+        start = run
+        before = _DOT_BEFORE.search(text, max(free, start - 16), start)
+        if not before:
+            return start
+        end, start = start, before.start() + 1
+    return start if start < end and text[start:start + 1] in _NAME_CHARS else end
+
+
+def _addresses(text: str) -> Iterator[tuple[int, int, str]]:
+    """Addresses in words, ``name at host dot com``, as places with what they stand for.
+
+    ``at`` and ``dot`` are everyday words, so both in words count only before
+    an ending that spoken addresses have, and not between everyday words
+    ("look at this dot com bubble"); "point" and "punto" need a sign that
+    isn't everyday ("at some point we ..."). With plain dots the name must
+    look like one ("look at example.com").
+    """
+    free = 0
+    for sign in _SIGN.finditer(text):
+        if sign.start() < free:
+            continue
+        host = _HOST.match(text, sign.end())
+        if not host:
+            continue
+        start = _name_start(text, sign.start(), free)
+        if start == sign.start():
+            continue
+        name, word = text[start:sign.start()], (sign["sign"] or "@").lower()
+        in_host = {m["dot"].lower() for m in _DOT_BETWEEN.finditer(host[0])}
+        in_words = in_host | {m["dot"].lower() for m in _DOT_BETWEEN.finditer(name)}
+        if not in_words and sign[0] == "@":
+            continue  # as written
+        ends = re.split(rf"(?i)\.|{_GAP}(?:{_DOT_WORDS}){_GAP}", host[0])
+        if in_host and ends[-1].lower() not in _ENDINGS:
+            continue
+        if word == "at":
+            if in_words & {"point", "punto"}:
+                continue
+            if in_host and (name.lower() in _EVERYDAY or ends[0].lower() in _EVERYDAY) or not in_host and not re.search(r"[0-9._]", name):
+                continue
+        elif word != "@" and not in_host and not re.search(r"[0-9._]", name):
+            continue
+        free = host.end()
+        yield start, free, f"{_DOT_BETWEEN.sub('.', name)}@{_DOT_BETWEEN.sub('.', host[0])}"
 
 
 def _spelled(m: re.Match) -> str:
@@ -208,7 +272,8 @@ def _unconfused(m: re.Match) -> str | None:
 
 def normalise(text: str) -> Rewritten:
     r = Rewritten.source(text).rewrite(_LETTERS, _letter)
-    r = r.rewrite(_SPELLED_RUN, _spelled).rewrite(_BRACKETED, _bracket).rewrite(_WORDED, _address)
+    r = r.rewrite(_SPELLED_RUN, _spelled).rewrite(_BRACKETED, _bracket)
+    r = r.replace(_addresses(r.text))
     r = r.rewrite(_DOTTED_IP, _dotted).rewrite(_GROUPED, lambda m: m[0].replace(m[1], " "))
     return r.rewrite(_CONFUSED, _unconfused)
 

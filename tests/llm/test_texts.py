@@ -78,6 +78,22 @@ def test_without_evidence_only_the_base_rule_rejects(spark):
         assert all(r.kept and not r.base_failed for r in got)
 
 
+def test_copies_and_base_failures_are_no_evidence(spark):
+    """600 copies of one good text, or 600 good texts that the base rule rejects, certify nothing."""
+    rng = random.Random(6)
+    text = " ".join(words(rng, 60))
+    junk = "### $$$ " * 12 + " ".join(words(rng, 30))
+    for good in ([text] * 600, [" ".join(words(rng, 10)) for _ in range(600)]):
+        docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate([*good, junk])], "doc_id long, text string, lang string")
+        labels = spark.createDataFrame([(i, 1, 0) for i in range(600)], "doc_id long, quality int, toxic int")
+        got = {r.doc_id: r for r in quality.quality_report(docs, labels).collect()}
+        assert got[600].kept and not got[600].base_failed
+    different = [" ".join(words(rng, 60)) for _ in range(900)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate([*different, junk])], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(900)], "doc_id long, quality int, toxic int")
+    assert not {r.doc_id: r for r in quality.quality_report(docs, labels).collect()}[900].kept
+
+
 def test_awkward_texts_are_judged(spark):
     docs, rows = awkward_docs(spark)
     labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (None, 1, 0), (2, None, 1), (999, 1, 0)], "doc_id long, quality int, toxic int")
@@ -149,6 +165,49 @@ def test_worded_addresses_over_other_gaps(text):
     assert private_data.spans("look  at\nexample.com or a dot\non it")[1] == []
 
 
+@pytest.mark.parametrize("text", [
+    "But at some point we have to stop.", "We arrived at this point in time.", "They were at one point 3 goals ahead",
+    "He was at the point of leaving", "the score stood at that point after the break", "look at this dot com bubble",
+    "At what point do we give up?", "She looked at the dot in the middle of the page", "He stared at one dot in particular",
+    "At this point de facto control passed on", "at every point to the north of it", "It was at the lowest point ever measured",
+    "at that point it was over", "Start at any point and go on", "Meet me at the point at noon", "we are at a point of no return",
+    "at boiling point water turns to steam", "The line ends at point be or point se", "Aim at the red dot and press",
+    "at a point io and back", "They met at high point de luxe", "I was at match point twice", "sold at the dot com peak",
+    "He worked at a dot com for years", "people at dot com firms", "the price at one point de facto doubled",
+    "Look at each dot on the map", "at the turning point es began to fall", "stand at the vantage point to see it",
+    "They are good at dot to dot puzzles", "We stopped at every point fr om here", "at knife point he gave in",
+    "Wir waren am Punkt der Entscheidung", "Der Punkt ist at den Rand gesetzt", "An diesem Punkt de facto vorbei",
+    "Sie kam auf den Punkt und ging", "Punkt eins und Punkt zwei sind klar", "ein Punkt in der Mitte at all",
+    "Der wunde Punkt de lege ferenda", "Punkt fünf Uhr war Schluss", "Kommen wir zum Punkt com o",
+    "À ce point de la route, on tourne", "Il est sur le point de partir", "un point de vue at large",
+    "Le point fr est une revue", "Au point où nous en sommes", "point par point, il répond", "mettre au point de nouveaux outils",
+    "En ese punto de la historia", "El punto es que no hay tiempo", "a tal punto de no volver", "desde mi punto de vista at home",
+    "punto com o punto es lo mismo", "punto y aparte", "hasta cierto punto de acuerdo", "llegó en punto es decir a tiempo",
+])
+def test_prose_about_points_and_dots_is_left_alone(text):
+    assert private_data.spans(text) == ([], []) and private_data.redacted(text) == text
+
+
+@pytest.mark.parametrize("text", [
+    "maria.weber at firma punkt de", "jean arobase exemple point fr", "ana arroba ejemplo punto es", "first dot last at mail dot example dot org",
+    "john [at] example point com", "jo@example dot net", "j_99 at example.com",
+])
+def test_worded_addresses_in_four_languages(text):
+    assert private_data.redacted(f"mail: {text}, please") == "mail: [EMAIL], please"
+
+
+def test_addresses_stay_linear():
+    import time
+    for text in ("x dot " * 200_000, "x at " * 200_000, "x at y dot " * 90_000, "a@" * 300_000, "x dot y at " * 90_000,
+                 "a" * 500_000 + " at b dot c ", "x at x dot com " * 1000, ("a." * 20 + "b at ") * 20_000):
+        began = time.perf_counter()
+        list(private_data._addresses(text))
+        assert time.perf_counter() - began < (1 if text.startswith("x dot x") else 8), text[:30]
+    began = time.perf_counter()
+    private_data.spans("x dot " * 200_000)
+    assert time.perf_counter() - began < 6
+
+
 def test_long_runs_stay_linear():
     for text in ("a" * 300_000, "1" * 300_000, "1." * 150_000, " one" * 50_000, "+1" + " " * 300_000, "@" * 100_000, "a@" * 100_000):
         private_data.spans(text)
