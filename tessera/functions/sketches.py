@@ -39,12 +39,19 @@ def places(values: np.ndarray, lane: int, cells: int) -> np.ndarray:
     return ((mixed * np.uint64(MULTIPLIERS[(lane + 1) % 3])) >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of few rows, for kernels that make much of a row."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _filled(add: Callable, cells: int, dtype: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = None
-        for batch in batches:
+        for batch in slices(batches):
             table = np.zeros(cells, dtype) if table is None else table
-            add(table, batch.column(0))
+            add(table, batch)
         for part, start in enumerate(range(0, cells if table is not None else 0, PART)):
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([table[start:start + PART].tobytes()], pa.binary())],
                                              names=["part", "cells"])
@@ -70,10 +77,10 @@ def _merged(merge: np.ufunc, dtype: str):
     return run
 
 
-def merged_table(column: DataFrame, add: Callable, cells: int, dtype: str, merge: np.ufunc) -> np.ndarray:
-    """The table that ``add(table, arrow_column)`` fills over all rows of a one-column frame."""
+def merged_table(frame: DataFrame, add: Callable, cells: int, dtype: str, merge: np.ufunc) -> np.ndarray:
+    """The table that ``add(table, record_batch)`` fills over all rows of a frame."""
     out = np.zeros(cells, dtype)
-    rows = (column.mapInArrow(_filled(add, cells, dtype), "part int, cells binary").repartition("part").sortWithinPartitions("part")
+    rows = (frame.mapInArrow(_filled(add, cells, dtype), "part int, cells binary").repartition("part").sortWithinPartitions("part")
             .mapInArrow(_merged(merge, dtype), "part int, cells binary").collect())  # ``cells`` cells in all
     for row in rows:
         out[row["part"] * PART:][:PART] = np.frombuffer(row["cells"], dtype)
@@ -90,11 +97,16 @@ class CountMin:
     @classmethod
     def of(cls, sets: DataFrame, column: str, width: int = WIDTH) -> CountMin:
         """Over all elements of an array column."""
-        def add(table: np.ndarray, arrays: pa.Array) -> None:
-            tokens = arrays.flatten().to_numpy(zero_copy_only=False)
+        return cls.over(sets.select(column), lambda batch: batch.column(0).flatten().to_numpy(zero_copy_only=False), width)
+
+    @classmethod
+    def over(cls, frame: DataFrame, tokens: Callable[[pa.RecordBatch], np.ndarray], width: int = WIDTH) -> CountMin:
+        """Over the tokens that a kernel takes from every batch of a frame."""
+        def add(table: np.ndarray, batch: pa.RecordBatch) -> None:
+            found = tokens(batch)
             for lane in (0, 1):
-                np.add.at(table[lane * width:(lane + 1) * width], places(tokens, lane, width), 1)
-        return cls(merged_table(sets.select(column), add, 2 * width, "<i8", np.add), width)
+                np.add.at(table[lane * width:(lane + 1) * width], places(found, lane, width), 1)
+        return cls(merged_table(frame, add, 2 * width, "<i8", np.add), width)
 
     def counts(self, tokens: np.ndarray) -> np.ndarray:
         return np.minimum(*[self.rows[lane][places(tokens, lane, self.width)] for lane in (0, 1)]).astype(np.int64)
@@ -108,8 +120,8 @@ class Bloom:
 
     @classmethod
     def of(cls, values: DataFrame, column: str, bits: int = BLOOM_BITS) -> Bloom:
-        def add(table: np.ndarray, hashes: pa.Array) -> None:
-            h = hashes.to_numpy(zero_copy_only=False)
+        def add(table: np.ndarray, batch: pa.RecordBatch) -> None:
+            h = batch.column(0).to_numpy(zero_copy_only=False)
             for lane in range(3):
                 at = places(h, lane, bits)
                 np.bitwise_or.at(table, at >> 3, (1 << (at & 7)).astype(np.uint8))
@@ -124,7 +136,11 @@ class Bloom:
         return out
 
     def may_hold(self, column: str | Column) -> Column:
-        """Condition that is true for every value of the filter, and for few others."""
+        """Condition that is true for every value of the filter, and for few others.
+
+        A kernel that follows on the same rows had better call :meth:`holds`
+        on their ``xxhash64`` itself: two Python steps are two workers a task.
+        """
         @F.pandas_udf(T.BooleanType())
         def _holds(h: pd.Series) -> pd.Series:
             return pd.Series(self.holds(h.to_numpy()))

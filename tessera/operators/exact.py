@@ -37,9 +37,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.sketches import WIDTH, CountMin, places
-from tessera.operators.joins import salted_join
-from tessera.operators.similarity import pair_similarity
+from tessera.functions.hashing import shingle_weights, text_shingle_hashes
+from tessera.functions.sketches import WIDTH, Bloom, CountMin, places, slices
+from tessera.operators.joins import ensure_parallelism, salted_join
+from tessera.operators.similarity import pair_similarity, text_pair_similarity
 from tessera.sources.storage import materialize, release
 
 try:  # kernels are shipped by value, as in functions.hashing
@@ -61,12 +62,31 @@ def prefix_lengths(n: int, threshold: float) -> tuple[int, int]:
     return min(n, whole), min(n, short)
 
 
-def _cut(threshold: float, sketch: CountMin):
+# A source of sets: a frame, and a kernel that takes (ids, lengths, tokens) from its batches.
+Read = Callable[[pa.RecordBatch], tuple[pa.Array, np.ndarray, np.ndarray]]
+
+
+def _read_sets(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    lengths = batch.column(1).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return batch.column(0), lengths, batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _read_texts(k: int, wanted: Bloom) -> Read:
+    """Shingles of the texts whose id the filter may hold, in one step with what uses them."""
+    weights = np.array(shingle_weights(k), dtype=np.int64)
+
+    def read(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        batch = batch.filter(pa.array(wanted.holds(batch.column(2).to_numpy(zero_copy_only=False))))
+        sets = [text_shingle_hashes(t, weights) for t in batch.column(1).to_pylist()]
+        return batch.column(0), np.array([s.size for s in sets], np.int64), np.concatenate([*sets, np.empty(0, np.int64)])
+    return read
+
+
+def _cut(threshold: float, sketch: CountMin, read: Read):
     """A row per prefix token, and one without a token that has the set's class counts."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lengths = batch.column(1).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            tokens = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        for batch in slices(batches):
+            ids, lengths, tokens = read(batch)
             counts, classes = sketch.counts(tokens), places(tokens, 2, CLASSES)
             rows, token, place, size, count, indexed, histogram = [], [], [], [], [], [], []
             end = 0
@@ -74,8 +94,8 @@ def _cut(threshold: float, sketch: CountMin):
                 start, end = end, end + n
                 if not n:
                     continue
-                whole, short = prefix_lengths(n, threshold)
-                first = np.lexsort((tokens[start:end], counts[start:end]))[:whole]
+                looked_up, short = prefix_lengths(n, threshold)
+                first = np.lexsort((tokens[start:end], counts[start:end]))[:looked_up]
                 common = np.flatnonzero(counts[start:end][first] > 1)
                 first = first[common] + start
                 held = np.bincount(classes[start:end], minlength=CLASSES)
@@ -91,7 +111,7 @@ def _cut(threshold: float, sketch: CountMin):
                 continue
             flat = lambda parts, kind: pa.array(np.concatenate(parts), kind)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(flat(rows, pa.int64())), pa.array(token, pa.int64()), flat(place, pa.int32()),
+                [ids.take(flat(rows, pa.int64())), pa.array(token, pa.int64()), flat(place, pa.int32()),
                  flat(size, pa.int32()), flat(count, pa.int64()), flat(indexed, pa.bool_()), pa.array(histogram, pa.binary())],
                 names=["id", "token", "place", "size", "count", "indexed", "histogram"])
     return run
@@ -100,14 +120,17 @@ def _cut(threshold: float, sketch: CountMin):
 def prefix_tokens(sets: DataFrame, threshold: float, id_col: str = "doc_id", sketch: CountMin | None = None,
                   width: int = WIDTH) -> DataFrame:
     """``(id, token, place, size, count, indexed, histogram)``: prefix rows of every set, from its own row alone."""
+    return _prefixes(sets.select(F.col(id_col).alias("id"), "shingles"), _read_sets, threshold, sketch, width)
+
+
+def _prefixes(frame: DataFrame, read: Read, threshold: float, sketch: CountMin | None = None, width: int = WIDTH) -> DataFrame:
     if not 0.0 < threshold <= 1.0:
         raise ValueError("threshold must be in (0, 1]")
     if sketch is None:
-        sketch = CountMin.of(sets, "shingles", width)
-    kind = dict(sets.dtypes)[id_col]
-    return sets.select(F.col(id_col).alias("id"), "shingles").mapInArrow(
-        _cut(float(threshold), sketch),
-        f"id {kind}, token long, place int, size int, count long, indexed boolean, histogram binary")
+        sketch = CountMin.over(frame, lambda batch: read(batch)[2], width)
+    kind = dict(frame.dtypes)["id"]
+    return frame.mapInArrow(_cut(float(threshold), sketch, read),
+                            f"id {kind}, token long, place int, size int, count long, indexed boolean, histogram binary")
 
 
 def _least_overlap(threshold: float) -> Column:
@@ -155,22 +178,30 @@ def exact_candidate_pairs(prefixes: DataFrame, threshold: float, largest: int |
             .select(F.least("x", "y").alias("first"), F.greatest("x", "y").alias("second")))
 
 
-def exact_similar_pairs(sets: DataFrame, threshold: float, id_col: str = "doc_id",
-                        ids: DataFrame | None = None, verify: Callable[[DataFrame], DataFrame] | None = None,
-                        width: int = WIDTH) -> DataFrame:
-    """``(first, second, similarity)`` for every pair with Jaccard >= ``threshold``, stored.
+def exact_similar_pairs(sets: DataFrame, threshold: float, id_col: str = "doc_id", width: int = WIDTH) -> DataFrame:
+    """``(first, second, similarity)`` for every pair of sets with Jaccard >= ``threshold``, stored."""
+    return _joined(prefix_tokens(sets, threshold, id_col, width=width), threshold, lambda p: pair_similarity(p, sets, id_col))
+
 
-    ``ids`` (one column ``id``) restricts the sets that take part; the cut is
-    made on prefix rows, not on the sets. ``verify`` adds the similarity to
-    ``(first, second)`` rows; without it the sets are joined.
+def exact_similar_texts(docs: DataFrame, threshold: float, k: int, ids: DataFrame, width: int = WIDTH) -> DataFrame:
+    """The same for the k-character shingle sets of the texts of ``ids`` (column ``doc_id``), out of ``(doc_id, text)`` rows.
+
+    Sets are computed where they are used and stored nowhere. Other documents
+    are left out by a Bloom filter in the kernels, and exactly on the prefix
+    rows. Every id of ``docs`` is there once.
     """
-    prefixes = prefix_tokens(sets, threshold, id_col, width=width)
-    if ids is not None:
-        prefixes = prefixes.join(ids, "id", "left_semi")
+    wanted = Bloom.of(ids, "doc_id")
+    frame = ensure_parallelism(docs.select("doc_id", "text"), "doc_id").select(
+        F.col("doc_id").alias("id"), "text", F.xxhash64("doc_id").alias("h"))
+    prefixes = _prefixes(frame, _read_texts(k, wanted), threshold, width=width)
+    prefixes = prefixes.join(ids.select(F.col("doc_id").alias("id")), "id", "left_semi")
+    return _joined(prefixes, threshold, lambda p: text_pair_similarity(p, docs, k))
+
+
+def _joined(prefixes: DataFrame, threshold: float, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
     prefixes = materialize(prefixes, "prefix_tokens", {"largest": F.max("count")})
     pairs = materialize(exact_candidate_pairs(prefixes, threshold, int(prefixes._tessera_metrics["largest"] or 0)), "exact_candidates")
-    verified = verify(pairs) if verify else pair_similarity(pairs, sets, id_col)
-    out = materialize(verified.filter(F.col("similarity") >= F.lit(float(threshold))).select("first", "second", "similarity"),
+    out = materialize(verify(pairs).filter(F.col("similarity") >= F.lit(float(threshold))).select("first", "second", "similarity"),
                       "exact_pairs")
     out._tessera_metrics["candidates"] = pairs._tessera_rows
     release(prefixes, pairs)

@@ -48,22 +48,28 @@ def basket_count(baskets: DataFrame) -> DataFrame:
     return baskets.agg(F.count_distinct("basket").alias("n_baskets"))
 
 
-def support_threshold(baskets: DataFrame, min_support: Support, n_baskets: int | None = None) -> Column:
-    """The absolute support threshold as a column (inclusive comparison).
-
-    A fraction is multiplied by the number of baskets and rounded up: by the
-    given ``n_baskets`` if known, else by a scalar subquery over ``baskets``.
-    """
+def absolute_support(min_support: Support, n_baskets: int) -> int:
+    """The number of baskets that a support asks for: a count, or a fraction of ``n_baskets`` rounded up."""
     if isinstance(min_support, bool):
         raise TypeError("min_support must be a count or a fraction")
     if isinstance(min_support, int):
         if min_support < 1:
             raise ValueError("an absolute support must be >= 1")
-        return F.lit(min_support)
+        return min_support
     if not 0.0 < float(min_support) < 1.0:
         raise ValueError("a relative support must be in (0, 1)")
-    if n_baskets is not None:
-        return F.lit(math.ceil(float(min_support) * n_baskets))
+    return math.ceil(float(min_support) * n_baskets)
+
+
+def support_threshold(baskets: DataFrame, min_support: Support, n_baskets: int | None = None) -> Column:
+    """The absolute support threshold as a column (inclusive comparison).
+
+    A fraction is multiplied by the number of baskets and rounded up: by the
+    given ``n_baskets`` if known, else by a scalar subquery over ``baskets``.
+    """
+    if n_baskets is not None or isinstance(min_support, int):
+        return F.lit(absolute_support(min_support, n_baskets or 0))
+    absolute_support(min_support, 1)  # checks the range
     n = basket_count(baskets).scalar()
     return F.ceil(F.lit(float(min_support)) * n)
 

@@ -11,8 +11,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tessera.operators import itemsets as its
+from tessera.operators import levels as lv
 from tessera.operators import rules as rl
 from tessera.sources.storage import materialize, release
 
@@ -48,26 +50,45 @@ class Itemsets:
         return its.basket_count(self.baskets).scalar()
 
 
-def mine_itemsets(baskets: DataFrame, min_support: its.Support, max_k: int = 3) -> Itemsets:
+def mine_itemsets(baskets: DataFrame, min_support: its.Support, max_k: int = 3, pair_cells: int = lv.PAIR_CELLS,
+                  bitmaps: bool | None = None) -> Itemsets:
     """Level-wise A-priori mining up to ``max_k`` (1, 2 or 3).
 
     Levels 2 and 3 are enumerated on order-preserving long codes of the items
     (the encoding join also prunes infrequent items) and decoded at the end.
+    How a level is counted follows from what level 1 measured, and changes
+    the plan, not the rows: where the possible pairs outnumber ``pair_cells``,
+    pairs in poor cells are left out before the shuffle; where the baskets
+    are dense and the candidate triples fit the kernel, triples are counted
+    on bitmaps (``bitmaps`` overrules the measure).
     """
     baskets = materialize(baskets, "baskets")
     # one scalar (the basket count) reaches the driver; thresholds become literals
     n = its.basket_count(baskets).first()["n_baskets"]
-    levels = {1: materialize(its.frequent_items(baskets, min_support, n), "k1")}
+    levels = {1: materialize(its.frequent_items(baskets, min_support, n), "k1", {"basket_rows": F.sum("support")})}
     stored = [baskets, levels[1]]
     if max_k >= 2:
         # a basket holds at most so many frequent items: a proven bound of every pair group
         n_items = levels[1]._tessera_rows
         codes = materialize(its.item_codes(levels[1]), "item_codes")
         pruned = its.encode_baskets(baskets, codes)
-        encoded = {2: materialize(its.pairs_of_pruned(pruned, baskets, min_support, n, n_items), "k2_codes")}
+        threshold = its.absolute_support(min_support, n)
+        if lv.is_wide(n_items, pair_cells):
+            pairs = lv.frequent_pairs_by_cells(pruned, threshold, n_items, pair_cells)
+        else:
+            pairs = its.pairs_of_pruned(pruned, baskets, min_support, n, n_items)
+        encoded = {2: materialize(pairs, "k2_codes")}
         if max_k >= 3:
-            encoded[3] = materialize(its.triples_of_pruned(pruned, encoded[2], baskets, min_support, n, n_items),
-                                     "k3_codes")
+            n_rows = int(levels[1]._tessera_metrics["basket_rows"] or 0)  # (basket, frequent item) rows
+            triples = None
+            if lv.is_dense(n_rows, n, n_items) if bitmaps is None else bitmaps:
+                candidates = materialize(its.candidate_triples(encoded[2]), "k3_candidates")
+                stored.append(candidates)
+                if candidates._tessera_rows <= lv.MAX_CANDIDATES:
+                    triples = lv.count_by_bitmaps(pruned, candidates, n_rows).filter(F.col("support") >= threshold)
+            if triples is None:
+                triples = its.triples_of_pruned(pruned, encoded[2], baskets, min_support, n, n_items)
+            encoded[3] = materialize(triples, "k3_codes")
         stored += [codes, *encoded.values()]
         for k, level in encoded.items():
             levels[k] = its.decode_itemsets(level, codes)

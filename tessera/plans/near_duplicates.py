@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from tessera.functions.hashing import hash_family, shingle_hashes, shingles_with_signature
 from tessera.operators import quality as q
 from tessera.operators import similarity as sim
-from tessera.operators.exact import exact_similar_pairs
+from tessera.operators.exact import exact_similar_texts
 from tessera.operators.joins import PAIR_CELL, ensure_parallelism, pairs_across_groups, pairs_within_groups
 from tessera.sources.storage import materialize, release, row_count
 
@@ -235,18 +235,12 @@ def exact_key_pairs(nd: NearDuplicates, keys: DataFrame | None = None) -> DataFr
 
     The join runs on the representatives' ids; only the resulting pairs are
     mapped back to copy keys, oriented so that ``first < second``. Without
-    ``keys`` the whole corpus is compared. Sets are computed from the texts in
-    every pass (sketch, prefixes) and stored nowhere; other documents than
-    representatives are left out by a Bloom filter before the kernels and
-    exactly on the prefix rows.
+    ``keys`` the whole corpus is compared.
     """
     k = nd.params.shingle_size
     reps = materialize(key_representatives(nd.members(), keys), "exact_reps")
     ids = reps.select(F.col("rep_id").alias("doc_id"))
-    texts = sim.texts_of(nd.docs, ids)
-    sets = ensure_parallelism(texts, "doc_id").select("doc_id", shingle_hashes(F.col("text"), k).alias("shingles"))
-    pairs = exact_similar_pairs(sets, nd.params.threshold, "doc_id", ids=ids.select(F.col("doc_id").alias("id")),
-                                verify=lambda p: sim.text_pair_similarity(p, nd.docs, k))
+    pairs = exact_similar_texts(nd.docs, nd.params.threshold, k, ids)
     r1 = reps.select(F.col("rep_id").alias("first"), F.col("copy_key").alias("_k1"))
     r2 = reps.select(F.col("rep_id").alias("second"), F.col("copy_key").alias("_k2"))
     keyed = pairs.join(r1, "first").join(r2, "second")

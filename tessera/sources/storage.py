@@ -44,6 +44,8 @@ def materialize(df: DataFrame, name: str = "table", metrics: dict | None = None)
     aggregate ``metrics`` (name -> column) are observed in the same pass and
     kept in ``_tessera_metrics``.
     """
+    if "rows" in (metrics or {}):
+        raise ValueError("the metric 'rows' is the row count")
     spark = df.sparkSession
     path = new_folder(spark, name)
     rows = Observation(f"rows_{name}")
