@@ -30,7 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.sources.storage import materialize, row_count
+from tessera.functions.sketches import Bloom
+from tessera.sources.storage import materialize, release, row_count
 
 from .common import hidden
 from .graph import connected_components
@@ -97,11 +98,13 @@ def _signatures(size: int):
     return run
 
 
-def _sets(size: int):
+def _sets(size: int, wanted: Bloom):
+    """``(cid, shingles)`` of the texts whose key (hashed, in front) the filter may hold."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
+        for batch in batches:
+            whole = batch.filter(pa.array(wanted.holds(batch.column(0).to_numpy(zero_copy_only=False))))
             for at in range(0, whole.num_rows, 512):
-                sets = [shingle_set(w, size) for w in word_hashes(whole.slice(at, 512).column(0))]
+                sets = [shingle_set(w, size) for w in word_hashes(whole.slice(at, 512).column(1))]
                 sets = [s for s in sets if len(s)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([_set_id(s) for s in sets], pa.int64()),
@@ -255,10 +258,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
             .filter("m > 1").select("bucket", "hub"))
     crowded = materialize(member.join(hubs, "bucket"), "near-crowded")
 
-    involved = crowded.select("cid").distinct().join(classes.select("cid", "rep"), "cid").select("rep").distinct()
-    # null keys can't be looked up by key; they are few or the table has no keys
-    wanted = own.join(involved.hint("shuffle_hash"), own["doc_id"].eqNullSafe(involved["rep"]), "left_semi")
-    sets = wanted.select("text").mapInArrow(_sets(shingle), "cid long, shingles array<long>")
+    # one document of each class in a shared bucket gives its set; the others are left out in the scan
+    involved = materialize(crowded.select("cid").distinct().join(classes.select("cid", "rep"), "cid").select("rep").distinct(),
+                           "near-involved")
+    sets = own.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(
+        _sets(shingle, Bloom.of(involved, "rep")), "cid long, shingles array<long>")
     sets = materialize(sets.join(crowded.select("cid").distinct(), "cid", "left_semi").dropDuplicates(["cid"]), "near-sets")
 
     cut = estimate_cut(percent)
@@ -269,19 +273,23 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
                .filter(estimate(F.col("sig_a"), F.col("sig_b")) >= cut).select("a", "b"))
     links = materialize(_confirmed(starred, sets, percent), "near-links")
     comps = materialize(connected_components(links), "near-components")
+    found = [comps]
 
     cells = _open_cells(crowded, comps, classes, sets)
     more = materialize(cells.groupBy("bucket", "i", "j").applyInArrow(_cell_links(cut, percent), "a long, b long")
                        .distinct(), "near-links")
     if row_count(more):
         comps = materialize(connected_components(links.unionByName(more)), "near-components")
+        found.append(comps)
 
     named = (classes.select("cid", "rep").join(comps, F.col("cid") == F.col("node"), "left")
              .select("cid", "rep", F.coalesce("comp", "cid").alias("comp")))
     names = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     named = materialize(named.select("cid", "comp").join(names, "comp").select(F.col("cid").alias("class"), "component_id"),
                         "near-named")
-    out = (signed.select("doc_id", "n_shingles", "cid").join(named, F.col("cid") == F.col("class"), "left")
+    rows = materialize(signed.select("doc_id", "n_shingles", "cid"), "near-rows")
+    release(signed, classes, crowded, involved, sets, links, more, *found)
+    out = (rows.join(named, F.col("cid") == F.col("class"), "left")
            .withColumn("component_id", F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))))
     return out.select(F.col("doc_id").alias(key), "n_shingles", "component_id",
                       F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
@@ -292,22 +300,44 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     """One document of each component, with the columns of ``docs``: the one that names it.
 
     Rows that repeat a key are one document: it goes only if none of its rows
-    is kept, and one row of it stays. Rows with a null key have no name to
-    be told apart by, and stay.
+    is kept, and one row of it stays. Rows without a key are documents of
+    their own, numbered behind all keys (in front of them, where they would
+    leave 64 bits), so of a component that no key names one row stays. A
+    Bloom filter of the keys that go picks the rows to look at; the others
+    pass without a shuffle.
     """
-    found = near_duplicates(docs, key, text, shingle, percent)
+    if not docs.filter(docs[key].isNull()).limit(1).count():
+        return _dropped(docs, key, text, shingle, percent)
+    number = hidden(docs, stem="number")
+    ends = docs.agg(F.min(F.col(key).cast("long")).alias("low"), F.max(F.col(key).cast("long")).alias("high")).first()
+    place = F.monotonically_increasing_id() + 1
+    behind = (ends["high"] or 0) < 1 << 62
+    free = F.lit(ends["high"] or 0) + place if behind else F.lit(ends["low"]) - place
+    numbered = materialize(docs.withColumn(number, F.coalesce(docs[key].cast("long"), free)), "near-numbered")
+    return _dropped(numbered, number, text, shingle, percent).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _dropped(docs: DataFrame, key: str, text: str, shingle: int, percent: int) -> DataFrame:
     mine = hidden(docs, stem="key")
-    per_key = materialize(found.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias(mine))
+    found = near_duplicates(docs, key, text, shingle, percent)
+    per_key = materialize(found.groupBy(F.col(key).alias(mine))
                           .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")), "near-keys",
-                          {"repeated": F.sum(F.when(F.col("kept") & (F.col("n") > 1), 1))})
-    same_key = docs[key].cast("long") == F.col(mine)
-    left = docs.join(per_key.filter(~F.col("kept")).select(mine), same_key, "left_anti")
+                          {"repeated": F.count_if(F.col("kept") & (F.col("n") > 1))})
+    left = _without(docs, key, per_key.filter(~F.col("kept")).select(mine), mine)
     if not per_key._tessera_metrics["repeated"]:
         return left
     repeated = per_key.filter(F.col("kept") & (F.col("n") > 1)).select(mine)
+    same_key = left[key].cast("long") == F.col(mine)
     return (left.join(repeated, same_key, "left_anti")
             .unionByName(left.join(repeated, same_key, "left_semi").dropDuplicates([key])))
 
 
+def _without(docs: DataFrame, key: str, going: DataFrame, mine: str) -> DataFrame:
+    """``docs`` less the rows whose key is in ``going`` (one column ``mine``)."""
+    may_go = Bloom.of(going, mine).may_hold(docs[key].cast("long"))
+    looked_at = docs.filter(may_go)
+    return docs.filter(~may_go).unionByName(looked_at.join(going, looked_at[key].cast("long") == F.col(mine), "left_anti"))
+
+
 def op1(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs, shingle=2)

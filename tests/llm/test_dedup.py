@@ -1,5 +1,6 @@
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -88,6 +89,23 @@ def test_dropping_keeps_one_of_each_group(spark):
     assert sorted(r.doc_id for r in near_dedup.drop_near_duplicates(repeated).collect()) == [1, 2]
 
 
+def test_rows_without_a_key_are_documents_too(spark):
+    """Two copies without a key leave one; beside a named copy none stays."""
+    rows = [(None, "a b c d e f g h"), (None, "a b c d e f g h"), (None, "x y z x y z u"), (5, "x y z x y z u"), (6, "own words here"),
+            (None, None), (None, "")]
+    for shift in (0, 1 << 62):
+        given = [(None if i is None else i + shift, t, "extra") for i, t in rows]
+        docs = spark.createDataFrame(given, "doc_id long, text string, _number string")
+        left = near_dedup.drop_near_duplicates(docs)
+        assert left.columns == docs.columns
+        got = Counter((None if r.doc_id is None else r.doc_id - shift, r.text) for r in left.collect())
+        assert got[None, "a b c d e f g h"] == 1 and got[6, "own words here"] == 1
+        assert sum(n for (_, t), n in got.items() if t == "x y z x y z u") == 1
+        assert got[None, None] == 1 and got[None, ""] == 1 and sum(got.values()) == 5
+    assert (5, "x y z x y z u") in {(r.doc_id, r.text) for r in near_dedup.drop_near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+
+
 def test_estimate_is_corrected_for_chance():
     rng = np.random.default_rng(0)
     m = near_dedup._multipliers()
