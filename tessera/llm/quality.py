@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.sources.storage import materialize
+from tessera.sources.storage import materialize, release
 
 from .common import hidden, words
 
@@ -183,13 +183,19 @@ def _stratum(lang: str) -> Column:
     return F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("?"))
 
 
-def judge(measured: DataFrame, labels: DataFrame, key: str, lang: str, f: str, risk: float, level: float) -> DataFrame:
-    """``measured`` (stored figures) joined with its stratum's cutoffs, and the columns ``<f>_failed`` and ``<f>_kept``."""
+def judge(measured: DataFrame, labels: DataFrame, key: str, lang: str, text_hash: str, f: str, risk: float,
+          level: float) -> DataFrame:
+    """``measured`` (stored figures) joined with its stratum's cutoffs, and the columns ``<f>_failed`` and ``<f>_kept``.
+
+    The holdout has every good text once per stratum (copies are no
+    independent draws) and no text that the base rule rejects anyway.
+    """
     good = (labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
             .groupBy(F.col("doc_id").alias("label_id")).agg(F.min("quality").alias("quality")).filter("quality = 1"))
-    holdout = (measured.select(F.col(key).alias("id"), _stratum(lang).alias("stratum"), F.col(f).alias("f"))
+    holdout = (measured.filter(~base_failed(F.col(f)))
+               .select(F.col(key).alias("id"), _stratum(lang).alias("stratum"), F.col(f).alias("f"), F.col(text_hash).alias("h"))
                .join(good, F.col("id") == F.col("label_id"), "left_semi")
-               .select("stratum", "f"))
+               .dropDuplicates(["stratum", "h"]).select("stratum", "f"))
     cutoffs = certified_cutoffs(holdout, risk, level)
     cutoffs = materialize(cutoffs.select(F.col("stratum").alias(f"{f}_stratum"),
                                          *[F.col(c).alias(f"{f}_{c}") for c in cutoffs.columns[1:]]), "quality-cutoffs")
@@ -210,12 +216,13 @@ def quality_report(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     languages form a stratum of their own. Labels without an id or quality
     are left out; a document labelled both good and bad counts as bad; labels
     of unknown documents don't matter. Without labels only the base rule
-    rejects. Repeated rows are judged one by one and count one by one in the
-    holdout. An empty table gives no rows. Further columns are not read.
+    rejects. Repeated rows are judged one by one; in the holdout a text counts
+    once per stratum. An empty table gives no rows. Further columns are not
+    read.
     """
-    f = hidden(docs, stem="f")
-    measured = materialize(figures(docs, text, [key, lang], f), "quality-figures")
-    out = judge(measured, labels, key, lang, f, risk, level)
+    f, h = hidden(docs, stem="f"), hidden(docs, stem="h")
+    measured = materialize(figures(docs.withColumn(h, F.xxhash64(F.col(f"`{text}`"))), text, [key, lang, h], f), "quality-figures")
+    out = judge(measured, labels, key, lang, h, f, risk, level)
     return out.select(F.col(key), *[F.col(f)[c].alias(c) for c in
                                     ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
                       F.col(f"{f}_failed").alias("base_failed"), F.col(f"{f}_kept").alias("kept"))
@@ -223,11 +230,22 @@ def quality_report(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
 
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
               risk: float = RISK, level: float = LEVEL) -> DataFrame:
-    """The rows of ``docs`` that pass, with the columns of ``docs``; the figures are stored beside the texts once."""
-    f = hidden(docs, stem="f")
-    measured = materialize(figures(docs, text, docs.columns, f), "quality-measured")
-    out = judge(measured, labels, key, lang, f, risk, level)
-    return out.filter(F.col(f"{f}_kept")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` that pass, with the columns of ``docs``.
+
+    Figures and verdicts are stored without the texts; the rows that fail go
+    by two hashes over all of a row's columns (equal rows have equal
+    verdicts).
+    """
+    f, row, h = (hidden(docs, stem=x) for x in ("f", "row", "h"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    marked = docs.withColumn(h, F.xxhash64(F.col(f"`{text}`"))).withColumn(row, F.struct(F.xxhash64(F.lit(1), *columns).alias("a"), F.xxhash64(F.lit(2), *columns).alias("b")))
+    measured = materialize(figures(marked, text, [key, lang, h, row], f), "quality-measured")
+    going = judge(measured, labels, key, lang, h, f, risk, level).filter(~F.col(f"{f}_kept")).select(row).distinct()
+    going = materialize(going, "quality-going")
+    # the texts pass the narrow side's hash table; they needn't be sorted
+    out = marked.join(going.hint("shuffle_hash"), row, "left_anti").select(*columns)
+    release(measured)
+    return out
 
 
 def op6(docs: DataFrame, labels: DataFrame) -> DataFrame:
