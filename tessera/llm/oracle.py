@@ -165,7 +165,30 @@ ranked AS (
 SELECT item_id, rank::int AS rank, doc_id, score FROM ranked WHERE rank <= 20
 """
 
+OP5 = r"""
+WITH crcs AS (
+  SELECT list_transform(range(0, 256), lambda n: list_reduce(
+           list_prepend(n::bigint, [0::bigint, 0, 0, 0, 0, 0, 0, 0]),
+           lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::bigint) ELSE c >> 1 END)) AS t),
+texts AS (SELECT doc_id, row_number() OVER () AS row, encode(coalesce(text, '')) AS b FROM documents),
+digits AS (SELECT doc_id, row, octet_length(b) AS n, hex(b) AS h FROM texts),
+sized AS (
+  SELECT doc_id, row, n + 16 AS size,
+         xor(4294967295::bigint, list_reduce(
+           list_prepend(4294967295::bigint, list_transform(range(0, n), lambda i: ('0x' || h[2 * i + 1:2 * i + 2])::bigint)),
+           lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) AS crc
+  FROM digits, crcs),
+axis AS (
+  SELECT *, row_number() OVER o - 1 AS rank, sum(size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
+         sum(size) OVER () AS all_bytes
+  FROM sized WINDOW o AS (ORDER BY doc_id NULLS FIRST, crc, size, row)),
+placed AS (SELECT *, ((2 * upto - size) * 40 // (2 * all_bytes))::int AS shard FROM axis)
+SELECT doc_id, size::bigint AS size, crc AS text_crc32, 'bytes' AS law, shard,
+       (rank - min(rank) OVER (PARTITION BY shard))::bigint AS slot, NULL::int AS grown_shard
+FROM placed
+"""
+
 
 def all_sql() -> dict[str, str]:
-    return {"op1_minhash_dedup": OP1, "op7_pca_tiles": OP7, "op10_source_mixing": OP10, "op11_curve_search": OP11,
+    return {"op1_minhash_dedup": OP1, "op5_prefix_sharding": OP5, "op7_pca_tiles": OP7, "op10_source_mixing": OP10, "op11_curve_search": OP11,
             "op12_prefix_trie": OP12, "op13_lexical_search": OP13}

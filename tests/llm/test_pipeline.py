@@ -44,14 +44,14 @@ def test_run_is_its_stages_one_after_the_other(spark):
 
 def test_every_operator_is_registered():
     names = list(registry.all_queries())
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11)) and set(all_sql()) <= set(names)
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14)) and set(all_sql()) <= set(names)
 
 
 def test_queries_equal_their_sql(spark):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "labels", "pages", "embeddings"):
+    for t in ("documents", "labels", "pages", "embeddings", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF001}/{t}.parquet'")
     for name, sql in all_sql().items():
         df = registry.all_queries()[name](spark, SF001)
