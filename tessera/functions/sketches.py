@@ -27,6 +27,7 @@ except (ImportError, AttributeError, ValueError):  # pragma: no cover
 PART = 1 << 16        # cells of a part of a table
 WIDTH = 1 << 20       # cells of a row of a count-min table
 BLOOM_BITS = 1 << 26  # bits of a Bloom filter (8 MB)
+BLOOM_TASKS = 32      # tasks that fill a Bloom filter
 # odd multipliers of the multiply-shift hashes, one per row or probe
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
@@ -53,6 +54,8 @@ def _filled(add: Callable, cells: int, dtype: str):
             table = np.zeros(cells, dtype) if table is None else table
             add(table, batch)
         for part, start in enumerate(range(0, cells if table is not None else 0, PART)):
+            if not table[start:start + PART].any():
+                continue
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([table[start:start + PART].tobytes()], pa.binary())],
                                              names=["part", "cells"])
     return run
@@ -125,7 +128,8 @@ class Bloom:
             for lane in range(3):
                 at = places(h, lane, bits)
                 np.bitwise_or.at(table, at >> 3, (1 << (at & 7)).astype(np.uint8))
-        hashes = values.select(F.xxhash64(column).alias("h"))
+        # a value costs a few bytes and three bits: few tasks, so that few tables are merged
+        hashes = values.select(F.xxhash64(column).alias("h")).coalesce(BLOOM_TASKS)
         return cls(merged_table(hashes, add, bits // 8, "<u1", np.bitwise_or), bits)
 
     def holds(self, hashes: np.ndarray) -> np.ndarray:
