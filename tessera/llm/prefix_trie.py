@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.sketches import Bloom
 from tessera.sources.storage import materialize, release
 
 from .common import words
@@ -83,10 +84,15 @@ def _turn_references(narrow: DataFrame) -> DataFrame:
 
 
 def _texts_differ(turns: DataFrame, references: DataFrame) -> bool:
-    """Whether turns of one hash have different roles or texts (only hashes of several turns are looked at)."""
-    shared = references.filter("n > 1").select("h1", "h2")
+    """Whether turns of one hash have different roles or texts.
+
+    Turns that are alone with their hash are left out by a Bloom filter in
+    the scan; copies of a turn, however many, meet in the tasks first.
+    """
+    h = F.xxhash64("h1", "h2")
+    shared = references.filter("n > 1").select(h.alias("h"))
     said = F.struct("role", "text")
-    return bool(turns.join(shared, ["h1", "h2"], "left_semi").groupBy("h1", "h2")
+    return bool(turns.filter(Bloom.of(shared, "h").may_hold(h)).groupBy("h1", "h2")
                 .agg(F.min(said).alias("low"), F.max(said).alias("high")).filter("low <> high").limit(1).count())
 
 
