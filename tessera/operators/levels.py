@@ -33,7 +33,7 @@ except (ImportError, AttributeError, ValueError):  # pragma: no cover
     pass
 
 PAIR_CELLS = 1 << 20           # cells of the table of pair hashes (its rich cells are broadcast: 8 MB at most)
-BLOCK_ROWS = 2_000_000         # basket rows of a block of bitmaps, on average
+BLOCK_ROWS = 1 << 19           # basket rows of a block of bitmaps, on average (some 60 MB of a worker while it is filled)
 MAX_CANDIDATES = 2_000_000     # candidates shipped to the bitmaps' kernel (24 MB)
 DENSITY = 1 / 16               # share of (basket, item) cells that are set from which bitmaps are taken
 _STEP = 1 << 22                # words intersected at once
