@@ -107,30 +107,54 @@ def find_slots(sizes: list[int], bits: np.ndarray, ranks: np.ndarray, hashes: np
 
 # ---------------------------------------------------------------- writing
 
+def _copies(keys: pa.Array, before: tuple | None) -> tuple[np.ndarray, tuple]:
+    """How many rows with its key come before each row, and the last key with its number; ``before`` is that of the rows before."""
+    null, ids = keys.is_null().to_numpy(zero_copy_only=False), keys.fill_null(0).to_numpy()
+    first = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (null[1:] != null[:-1])))
+    lengths = np.diff(np.append(first, len(ids)))
+    copies = np.arange(len(ids)) - np.repeat(first, lengths)
+    if before is not None and before[:2] == (null[0], ids[0]):
+        copies[:lengths[0]] += before[2] + 1
+    return copies, (null[-1], ids[-1], copies[-1])
+
+
 def _blocks(batches: Iterable[pa.RecordBatch], path: str, block_ids: int) -> Iterator[pa.RecordBatch]:
     encoder, part = PieceEncoder.of(path), TaskContext.get().partitionId()
-    end = END_ID.to_bytes(4, "little")
-    block, offset, copy, last = 0, 0, -1, object()
-    records: list[dict] = []
-    ids: list[bytes] = []
+    block, offset, last = 0, 0, None
+    held: list[tuple[pa.Array, np.ndarray]] = []  # records and ids of the open block
 
     def closed() -> pa.RecordBatch:
+        records = pa.concat_arrays([r for r, _ in held])
         return pa.RecordBatch.from_arrays([
             pa.array([part], pa.int64()), pa.array([block], pa.int64()), pa.array([offset], pa.int64()),
-            pa.array([records], pa.list_(_RECORD)), pa.array([b"".join(ids)], pa.binary())], schema=_BLOCKS)
+            pa.ListArray.from_arrays(pa.array([0, len(records)], pa.int32()), records),
+            pa.array([b"".join(ids for _, ids in held)], pa.binary())], schema=_BLOCKS)
 
     for batch in batches:
-        for doc, own in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()), strict=True):
-            copy = copy + 1 if doc == last else 0
-            last = doc
-            n = len(own) // 4 + 1
-            records.append({"doc_id": doc, "copy": copy, "offset": offset, "n_tokens": n})
-            ids += (own, end)
-            offset += n
-            if offset >= block_ids:
-                yield closed()
-                block, offset, records, ids = block + 1, 0, [], []
-    if records:
+        if not batch.num_rows:
+            continue
+        copies, last = _copies(batch.column(0), last)
+        row = 0
+        for ids, counts in encoder.groups(batch.column(1)):
+            ids, counts = np.insert(ids, np.cumsum(counts), END_ID), counts + 1
+            ends, at = np.cumsum(counts), 0
+            while at < len(counts):
+                begun = ends[at] - counts[at]
+                # the block ends with the document that fills it
+                to = min(int(np.searchsorted(ends, begun + block_ids - offset)) + 1, len(counts))
+                places = offset + ends[at:to] - counts[at:to] - begun
+                held.append((pa.StructArray.from_arrays(
+                    [batch.column(0).slice(row + at, to - at), pa.array(copies[row + at:row + to], pa.int64()),
+                     pa.array(places, pa.int64()), pa.array(counts[at:to], pa.int64())], fields=list(_RECORD)),
+                    ids[begun:ends[to - 1]]))
+                offset += int(ends[to - 1] - begun)
+                at = to
+                if offset >= block_ids:
+                    yield closed()
+                    block, offset = block + 1, 0
+                    held.clear()
+            row += len(counts)
+    if held:
         yield closed()
 
 

@@ -2,6 +2,8 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from frames import awkward_docs, no_docs
 
@@ -47,6 +49,54 @@ def test_a_full_cache_starts_anew(monkeypatch):
     assert list(own.encode(texts)) == want
 
 
+def test_words_are_learned_without_their_signs(monkeypatch):
+    """Signs after a word make no new piece, and a full cache keeps the pieces at hand."""
+    own = PieceEncoder(default_vocabulary())
+    texts = ["one word%%% two word&& word! café| café» (word) привет: it's"] * 3
+    assert list(own.encode(texts)) == [b"".join(i.to_bytes(4, "little") for i in ids_of(own, t)[:-1]) for t in texts]
+    assert {" word", "%%%", "&&", "!", " café", "|", " привет", ":", " it", "'s"} <= set(own.cache)
+    assert not {" word%%%", " word&&", " café|"} & set(own.cache)
+    monkeypatch.setattr("tessera.llm.tokens.CACHE_PIECES", len(own.cache) + 1)
+    list(own.encode(["new words and word%%%"]))
+    assert set(own.cache) == {"new", " words", " and", " word", "%%%"}
+
+
+def test_new_pieces_share_a_call_of_the_tokenizer():
+    own, sizes = PieceEncoder(default_vocabulary()), []
+
+    class Counted:
+        def encode_batch_fast(self, texts, add_special_tokens):
+            sizes.append(len(texts))
+            return inner.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    inner, own.tokenizer = own.tokenizer, Counted()
+    text = " ".join(f"w{i}\nx{i}" for i in range(2000))
+    assert next(iter(own.encode([text]))) == b"".join(i.to_bytes(4, "little") for i in inner.encode(text).ids)
+    assert len(own.cache) == 4000 and sum(sizes) < 30
+
+
+@pytest.mark.parametrize("segment", [1, 7, 60, 4 << 20])
+def test_groups_of_any_size_give_the_same_ids(encoder, monkeypatch, segment):
+    rng = random.Random(segment)
+    signs = ["a", "B", "é", "×", "÷", "ß", "ж", "日", "҂", "1", "²", " ", " ", "\n", "\t", "\u2003", "\u3000", "\u205f", "\u1680", "\x85",
+             "\xa0", "\x1c", "'", "'re", ",", "%", "_", "“", "”", "\u2028", "😀", "<|endoftext|>", "\0"]
+    texts = ["".join(rng.choices(signs, k=rng.randint(0, 25))) for _ in range(3000)]
+    texts[5] = texts[6] = texts[-1] = None
+    monkeypatch.setattr("tessera.llm.tokens.SEGMENT", segment)
+    column = pa.array(["ahead", *texts]).slice(1)
+    ids, counts = (np.concatenate(x) for x in zip(*encoder.groups(column), strict=True))
+    want = [e.ids for e in encoder.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert counts.tolist() == list(map(len, want)) and ids.tolist() == [i for own in want for i in own]
+
+
+def test_copies_go_on_from_batch_to_batch():
+    keys, last, got = [None, None, None, 0, 0, 1, 2, 2, 2, 2, 3], None, []
+    for at in range(0, len(keys), 3):
+        copies, last = token_store._copies(pa.array(keys[at:at + 3], pa.int64()), last)
+        got += copies.tolist()
+    assert got == [0, 1, 2, 0, 1, 0, 0, 1, 2, 3, 0]
+
+
 def test_store_round_trip(spark, encoder, tmp_path):
     docs, rows = awkward_docs(spark, long_words=3000)
     folder = token_store.write_store(docs, f"file://{tmp_path}/store", block_ids=500, index_keys=8)
