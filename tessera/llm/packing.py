@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from .tokens import END_ID, PieceEncoder, default_vocabulary
 
 LENGTH = 1024
-CHUNK = 16_384  # remainders packed together: at most CHUNK * LENGTH ids are held
+CHUNK = 16_384  # remainders packed together: at most CHUNK * LENGTH ids are held, in one array
 EMIT = 1024     # sequences in an output batch
 
 _PIECE = pa.struct([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
@@ -94,31 +95,37 @@ def best_fit_decreasing(lengths: list[int], length: int = LENGTH) -> list[list[i
 
 def _pack(batches: Iterable[pa.RecordBatch], encoder: PieceEncoder, length: int, chunk: int) -> Iterator[tuple]:
     """Sequences ``([(doc_id, start, n, doc_tokens, offset)...], ids)`` of one partition."""
-    end = END_ID.to_bytes(4, "little")
-    held: list[tuple] = []
+    held: list[tuple] = []  # (doc_id, start, doc_tokens, place of its ids in ``store``) of the chunk's remainders
+    store, filled = np.empty(chunk * length, "<u4"), 0  # one for all chunks; its memory is taken as it fills
 
     def packed() -> Iterator[tuple]:
-        for window in best_fit_decreasing([len(h[3]) // 4 for h in held], length):
+        for window in best_fit_decreasing([total - start for _, start, total, _ in held], length):
             parts, offset = [], 0
             for i in window:
-                doc, start, total, ids = held[i]
-                parts.append((doc, start, len(ids) // 4, total, offset))
-                offset += len(ids) // 4
-            yield parts, b"".join(held[i][3] for i in window)
+                doc, start, total, _ = held[i]
+                parts.append((doc, start, total - start, total, offset))
+                offset += total - start
+            yield parts, b"".join(store[at:at + total - start] for _, start, total, at in map(held.__getitem__, window))
 
     for batch in batches:
-        docs = batch.column(0).to_pylist()
-        for doc, ids in zip(docs, encoder.encode(batch.column(1).to_pylist()), strict=True):
-            ids += end
-            total, step = len(ids) // 4, 4 * length
-            for at in range(0, len(ids) - step + 1, step):
-                yield [(doc, at // 4, length, total, 0)], ids[at:at + step]
-            if len(ids) % step:
+        row = 0
+        for ids, counts in encoder.groups(batch.column(1)):
+            docs = batch.column(0).slice(row, len(counts)).to_pylist()
+            row += len(counts)
+            ids, counts = np.insert(ids, np.cumsum(counts), END_ID), counts + 1
+            for doc, total, end in zip(docs, counts.tolist(), np.cumsum(counts).tolist(), strict=True):
                 start = total // length * length
-                held.append((doc, start, total, ids[4 * start:]))
-                if len(held) >= chunk:
-                    yield from packed()
-                    held.clear()
+                for at in range(0, start, length):
+                    yield [(doc, at, length, total, 0)], ids[end - total + at:end - total + at + length].tobytes()
+                if start < total:
+                    store[filled:filled + total - start] = ids[end - total + start:end]
+                    held.append((doc, start, total, filled))
+                    filled += total - start
+                    if len(held) >= chunk:
+                        yield from packed()
+                        held.clear()
+                        filled = 0
+        pa.default_memory_pool().release_unused()  # of the batch's groups
     yield from packed()
 
 

@@ -22,8 +22,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 END_ID = 0  # fixed value: the id that closes a document
-SEGMENT = 4 << 20  # bytes of a group of texts whose pieces are held at once
-CACHE_PIECES = 500_000  # bound of a worker's cache; beyond it the cache starts anew
+SEGMENT = 2 << 20  # bytes of a group of texts whose pieces are held at once
+CACHE_PIECES = 250_000  # bound of a worker's cache; beyond it the cache starts anew
 RUN = 256  # new pieces that go through the tokenizer as one text
 
 # What counts as white space in the tokenizer's split pattern.
@@ -119,29 +119,36 @@ class PieceEncoder:
         return ids, np.diff(ends[np.searchsorted(at, offsets)])
 
     def groups(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """``(ids, ids per text)`` of consecutive groups of the texts (null: none), without end ids."""
-        if texts.null_count:
-            texts = pc.fill_null(texts, "")
-        texts = texts.cast(pa.large_string())
+        """``(ids, ids per text)`` of consecutive groups of the texts (null: none), without end ids.
+
+        The texts are read where they lie; only what a group needs is held beside them.
+        """
         if not len(texts):
             return
-        _, places, data = texts.buffers()
-        offsets = np.frombuffer(places, np.int64, len(texts) + 1, 8 * texts.offset)
-        data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+        texts = texts.cast(pa.large_string())
+        places = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, 8 * texts.offset)
         at = 0
         while at < len(texts):
-            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SEGMENT, "right")) - 1)
-            if offsets[to] - offsets[at] > SEGMENT:  # a very long text goes through in segments
-                parts = [np.frombuffer(s.encode(), np.uint8) for s in segments(texts[at].as_py())]
+            to = max(at + 1, int(np.searchsorted(places, places[at] + SEGMENT, "right")) - 1)
+            few = texts.slice(at, to - at)
+            if few.null_count:
+                few = pc.fill_null(few, "")
+            _, offsets, data = few.buffers()
+            offsets = np.frombuffer(offsets, np.int64, len(few) + 1, 8 * few.offset)
+            data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+            if offsets[-1] - offsets[0] > SEGMENT:  # a very long text goes through in segments
+                parts = [np.frombuffer(s.encode(), np.uint8) for s in segments(few[0].as_py())]
                 ids = np.concatenate([self._group(p, np.array([0, len(p)]))[0] for p in parts])
                 yield ids, np.array([len(ids)])
             else:
-                yield self._group(data[offsets[at]:offsets[to]], offsets[at:to + 1] - offsets[at])
+                yield self._group(data[offsets[0]:offsets[-1]], offsets - offsets[0])
             at = to
 
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+    def encode(self, texts: pa.Array | list[str | None]) -> Iterator[bytes]:
         """The ids of every text (null: none), without the end id."""
-        for ids, counts in self.groups(pa.array(texts, pa.large_string())):
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.large_string())
+        for ids, counts in self.groups(texts):
             raw, ends = ids.tobytes(), (4 * np.cumsum(counts)).tolist()
             for start, end in zip([0, *ends], ends):
                 yield raw[start:end]

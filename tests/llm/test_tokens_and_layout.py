@@ -154,6 +154,29 @@ def test_packing_round_trip(spark, encoder):
     assert packing.pack_documents(no_docs(spark)).collect() == []
 
 
+def test_packing_holds_no_second_copy_of_a_batch(encoder, monkeypatch):
+    """The texts of a batch are read where they lie, and remainders lie in the chunk's one array."""
+    monkeypatch.setattr("tessera.llm.tokens.SEGMENT", 1 << 16)
+    words = [f"word{i}" for i in range(500)]
+    rng = random.Random(3)
+    texts = [None if i % 50 == 7 else " ".join(rng.choices(words, k=rng.randint(0, 1500))) for i in range(600)]
+    batch = pa.RecordBatch.from_arrays([pa.array([None, *range(599)], pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
+    list(encoder.encode([" ".join(words)]))  # all words are in the cache
+    pieces, most, before = Counter(), 0, pa.total_allocated_bytes()
+    for parts, ids in packing._pack([batch, batch], encoder, 64, 100):
+        assert len(ids) == 4 * sum(p[2] for p in parts) <= 256
+        for doc, start, length, total, offset in parts:
+            pieces[doc, start, length, total, zlib.crc32(ids[4 * offset:4 * (offset + length)])] += 1
+        most = max(most, pa.total_allocated_bytes() - before)
+    want = Counter()
+    for doc, text in zip([None, *range(599)], texts, strict=True):
+        own = ids_of(encoder, text)
+        for at in range(0, len(own), 64):
+            want[doc, at, len(own[at:at + 64]), len(own), crc(own[at:at + 64])] += 2
+    assert pieces == want
+    assert most < batch.nbytes / 4
+
+
 def test_best_fit_decreasing_takes_the_tightest_window():
     rng = random.Random(2)
     for length in (8, 1000, 1024):
