@@ -145,3 +145,20 @@ def test_minhash_multiplies_whole_shingle_blocks_once(monkeypatch):
     x = np.unique(np.random.default_rng(3).integers(0, 2 ** 32, 20_000))
     hashing.minhash_block(x, a, b)
     assert sum(seen) < 0.02 * 143 * x.size
+
+
+def test_part_rows_travel_packed(spark, monkeypatch):
+    """A binary value for each task that rows go to, not a row for each part; what comes out has its part with another set."""
+    import pyarrow as pa
+    rng, kind = np.random.default_rng(4), pa.string()
+    part = rng.integers(0, 1 << exact.PART_BITS, 5000)
+    part[::7] = part[3]
+    table = pa.table([pa.array([f"é{i}" for i in range(5000)]), pa.array(part), pa.array(np.arange(5000), pa.int32()),
+                      pa.array(np.ones(5000), pa.int32())], schema=exact._row_schema(kind))
+    packed = exact._packed(table, 9)
+    assert packed.column(0).to_pylist() == list(range(9))
+    out = pa.Table.from_batches(exact._shared(kind)([packed]))
+    want = {f"é{i}": n for i, n in enumerate((part[:, None] == part[None, :]).sum(axis=1)) if n > 1}
+    assert len(want) == 715 + (3 % 7 != 0) and dict(zip(out["id"].to_pylist(), out["sets"].to_pylist())) == want
+    assert [f"é{i}" for i in out["size"].to_pylist()] == out["id"].to_pylist()
+    assert not list(exact._shared(kind)([]))
