@@ -150,15 +150,17 @@ def test_minhash_multiplies_whole_shingle_blocks_once(monkeypatch):
 def test_part_rows_travel_packed(spark, monkeypatch):
     """A binary value for each task that rows go to, not a row for each part; what comes out has its part with another set."""
     import pyarrow as pa
-    rng, kind = np.random.default_rng(4), pa.string()
+    rng = np.random.default_rng(4)
     part = rng.integers(0, 1 << exact.PART_BITS, 5000)
     part[::7] = part[3]
-    table = pa.table([pa.array([f"é{i}" for i in range(5000)]), pa.array(part), pa.array(np.arange(5000), pa.int32()),
-                      pa.array(np.ones(5000), pa.int32())], schema=exact._row_schema(kind))
-    packed = exact._packed(table, 9)
-    assert packed.column(0).to_pylist() == list(range(9))
-    out = pa.Table.from_batches(exact._shared(kind)([packed]))
-    want = {f"é{i}": n for i, n in enumerate((part[:, None] == part[None, :]).sum(axis=1)) if n > 1}
-    assert len(want) == 715 + (3 % 7 != 0) and dict(zip(out["id"].to_pylist(), out["sets"].to_pylist())) == want
-    assert [f"é{i}" for i in out["size"].to_pylist()] == out["id"].to_pylist()
-    assert not list(exact._shared(kind)([]))
+    size = np.arange(1, 5001) * np.where(np.arange(5000) % 3 == 0, -1, 1)
+    for ids in (pa.array([f"é{i}" for i in range(5000)]), pa.array(rng.permutation(5000) - 2500)):
+        packed = exact._packed(ids, part, size, 9)
+        assert packed.column(0).to_pylist() == list(range(9))
+        out = pa.Table.from_batches(exact._shared(ids.type, 0.85)([packed]))
+        want = {(ids[i].as_py(), part[i], size[i]): n for i, n in enumerate((part[:, None] == part[None, :]).sum(axis=1)) if n > 1}
+        assert len(want) == 716 and dict(zip(zip(*(out[c].to_pylist() for c in ("id", "part", "size"))), out["sets"].to_pylist())) == want
+        for n, least in set(zip(out["size"].to_pylist(), out["least"].to_pylist())):
+            tokens = np.unique(rng.integers(0, 1 << 32, 2 * abs(n)))[:abs(n)]
+            assert least == next((c for _, below, c in exact.counted_parts(tokens, 0.85) if below == (n < 0)), least)
+        assert not list(exact._shared(ids.type, 0.85)([]))
